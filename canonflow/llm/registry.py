@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import curriculum, exact_dedup, minhash, packing, quality_rules
 
 QUERIES = {
+    "op3_minhash_near_dedup": minhash.query,
+    "op6_best_fit_packing": packing.query,
+    "op8_quality_rules": quality_rules.query,
+    "op9_curriculum_mix": curriculum.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 

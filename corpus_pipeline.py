@@ -1,5 +1,57 @@
-"""Corpus pipeline."""
+"""From documents to packed sequences: quality rules, exact dedup, near dedup, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it as Parquet in the
+shared folder and hands the next stage what it reads back. All stages but the last return the
+columns of `documents`; a document that the mix takes twice is in two rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from canonflow.llm import curriculum, exact_dedup, minhash, packing, quality_rules
+from canonflow.llm.common import table, written
+
+
+def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base checks or a learned rule go."""
+    return quality_rules.apply_rules(docs, table(spark, sf_dir, "labels"))
+
+
+def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the largest doc_id stays."""
+    return exact_dedup.dedup(docs)
+
+
+def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the smallest doc_id stays."""
+    return minhash.near_dedup(docs)
+
+
+def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for, in training order."""
+    return curriculum.mix(docs)
+
+
+def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece: the sequence it lies in and where."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", _quality),
+    ("exact_dedup", _exact),
+    ("minhash_near_dedup", _near),
+    ("curriculum_mix", _mix),
+    ("best_fit_packing", _pack),
+]
+
+#: Learned rules and token ids can't be expressed in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
