@@ -1,0 +1,20 @@
+"""Directories, through Spark's own filesystem layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)

@@ -1,0 +1,353 @@
+"""The engine's behaviours on small records."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import os
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from canonflow.functions.identity import literal
+from canonflow.functions.numbers import number
+from canonflow.functions.timestamps import event_date, instant, utc_text
+from canonflow.operators.merge import spark_type, table_schema, typed_projection
+from canonflow.plans import publish, sink
+from canonflow.plans.transform import COUNTERS, Transform
+from canonflow.rulebook import Rulebook, RulebookError
+from canonflow.session import prepare
+from canonflow.sources import landing
+from canonflow.streaming.ingest import start_merge, stream_dsv
+
+WIDE = Rulebook(
+    vendor="acme",
+    source={"record": {"meter_field": "meter", "timestamp_field": "ts", "row_id_field": "id"}, "defaults": {"aggregation": "average", "interval_s": 60}},
+    mapping={
+        "source": "meters",
+        "columns": [
+            {"src": "v", "quantity": "voltage", "phase": "L1", "unit": "V", "transform": "scale_by_factor", "args": {"factor_field": "uk"}},
+            {"src": "f", "quantity": "frequency", "phase": "none", "unit": "Hz"},
+        ],
+    },
+)
+LONG = Rulebook(
+    vendor="acme_long",
+    source={
+        "shape": "long", "record": {"key_field": "key", "value_field": "value", "timestamp_field": "timestamp", "row_id_field": "none"},
+        "format": {"type": "csv", "delimiter": "\t", "datetime_format": "epoch_ms"}, "fields": [{"name": "key"}, {"name": "value"}, {"name": "timestamp"}],
+        "access": {"layout": "vendor=acme_long/date={date}"},
+    },
+    mapping={"rows": [
+        {"key": "1", "quantity": "power", "phase": "none", "unit": "W"}, {"key": "2", "quantity": "voltage", "phase": "L1", "unit": "V"},
+        {"key": "2", "quantity": "energy", "phase": "none", "unit": "kWh", "aggregation": "counter", "harmonic_order": 5},
+    ]},
+)
+SCHEMA = "meter string, ts string, id string, v string, f string"
+
+
+@pytest.fixture(autouse=True)
+def _settings(spark):
+    prepare(spark)
+
+
+def ruled(book, *rules):
+    return replace(book, validation={"rules": list(rules)})
+
+
+def wide(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def factors(spark):
+    return spark.createDataFrame([("7", 2.0, 3.0)], "meter string, uk double, ik double")
+
+
+def run(spark, book, *rows):
+    t, d = Transform(book), wide(spark, *rows)
+    return t.rows(d, factors(spark), "stamp").collect(), t.stats(d, factors(spark)).first().asDict()
+
+
+ROW = ("7", "2025-01-01T00:00:00", "1", "230.0", "50.0")
+
+
+def test_scaling_constants_and_id(spark):
+    rows, stats = run(spark, WIDE, ROW)
+    assert [(r.quantity, r.value, r.device_id, r.interval_s, r.quality, r.aggregation) for r in rows] == [
+        ("voltage", 460.0, "acme:meter:7", 60, "ok", "average"), ("frequency", 50.0, "acme:meter:7", 60, "ok", "average"),
+    ]
+    key = "source_vendor='acme'|device_id='acme:meter:7'|ts_utc='2025-01-01T00:00:00Z'|quantity='voltage'|phase='L1'|variant='none'|harmonic_order=None|aggregation='average'|source_row_id='1'"
+    assert rows[0].measurement_id == hashlib.sha256(key.encode()).hexdigest()[:32]
+    assert stats["rows_emitted"] == 2 and stats["records_in"] == 1
+    assert {r.ingested_at for r in rows} == {"stamp"}
+
+
+def test_missing_factor_and_null_cells_are_counted(spark):
+    rows, stats = run(spark, WIDE, ("8", "2025-01-01T00:00:00", "1", "230.0", None))
+    assert rows == [] and stats["cells_null_skipped"] == 1 and stats["cells_factor_missing"] == 1
+
+
+def test_garbage_raises(spark):
+    with pytest.raises(Exception, match="not a number"):
+        run(spark, WIDE, ("7", "2025-01-01T00:00:00", "1", "abc", None))
+
+
+def test_numbers(spark):
+    d = spark.createDataFrame([(x,) for x in ("1", " 2.5 ", "-inf", "nan", ".5", "1e3")], "x string")
+    assert [str(r[0]) for r in d.select(number(F.col("x"))).collect()] == ["1.0", "2.5", "-inf", "nan", "0.5", "1000.0"]
+    for bad in ("1.5d", "1.5f", "", "0x1", "1_000"):
+        with pytest.raises(Exception, match="not a number"):
+            spark.createDataFrame([(bad,)], "x string").select(number(F.col("x"))).collect()
+    flags = spark.createDataFrame([("true",), ("false",)], "x string").select(number(F.col("x"), booleans=True)).collect()
+    assert [r[0] for r in flags] == [1.0, 0.0]
+
+
+ISO = ["2025-01-01T00:00:00", "2025-01-01", "20250101T000000", "2025-01-01T12:00", "2025-01-01T12:00:00.123456789", "2025-01-01T00:00:00+02:00", "2025-01-01T00:00:00-0530",
+       "2025", "2025-01", "2025-1-1", "T12:00", "2025-02-30", "2025-01-01 00:00:00 UTC", "garbage", "", "2025-01-01T25:00:00", "20250101"]
+
+
+@pytest.mark.parametrize("text", ISO)
+def test_iso_texts(spark, text):
+    try:
+        parsed = datetime.fromisoformat(text)
+        expected = text if parsed.tzinfo else text + "Z"
+    except ValueError:
+        expected = None
+    got = spark.createDataFrame([(text,)], "x string").select(utc_text(F.col("x"), "iso8601").alias("u")).select("u", instant(F.col("u")).alias("i")).first()
+    assert got.u == expected and (got.i is not None) == (expected is not None)
+
+
+def test_epochs(spark):
+    cases = {"1781470800246": "2026-06-14T21:00:00.246Z", "-1500": "1969-12-31T23:59:58.500Z", " +5 ": "1970-01-01T00:00:00.005Z", "1.0": None, "x": None}
+    d = spark.createDataFrame([(k,) for k in cases], "x string").select("x", utc_text(F.col("x"), "epoch_ms").alias("u"))
+    assert {r.x: r.u for r in d.collect()} == cases
+    with pytest.raises(Exception, match="epoch out of range"):
+        spark.createDataFrame([("999999999999999",)], "x string").select(utc_text(F.col("x"), "epoch_ms")).collect()
+
+
+def test_event_date_follows_the_instant(spark):
+    d = spark.createDataFrame([("2025-01-01T23:00:00-05:00",), (None,), ("2025-01-01Z",)], "x string")
+    assert [str(r[0]) for r in d.select(event_date(F.col("x"))).collect()] == ["2025-01-02", "None", "2025-01-01"]
+
+
+@pytest.mark.parametrize("text", ["a", "it's", 'say "x"', "both ' and \"", "back\\slash", "tab\tnew\nret\r", "ä", "\x01\x7f\xa0\xad", None])
+def test_literals(spark, text):
+    assert spark.createDataFrame([(text,)], "x string").select(literal(F.col("x"))).first()[0] == repr(text)
+
+
+F_RANGE = {"quantity": "frequency", "type": "range", "min": 45, "max": 65}
+
+
+@pytest.mark.parametrize(("on_fail", "left", "counts"), [
+    ("flag_suspect", 2, {"rows_suspect": 1}), ("drop_row", 1, {"rows_dropped": 1}), ("reject_row", 0, {"records_rejected": 1}),
+])
+def test_quantity_rules(spark, on_fail, left, counts):
+    rows, stats = run(spark, ruled(WIDE, F_RANGE | {"on_fail": on_fail}), (*ROW[:4], "70"))
+    assert len(rows) == left
+    assert {k: stats[k] for k in counts} == counts
+
+
+def test_nan_passes_ranges(spark):
+    rows, _ = run(spark, ruled(WIDE, F_RANGE | {"on_fail": "drop_row"}), (*ROW[:4], "nan"))
+    assert len(rows) == 2
+
+
+def test_drops_before_a_reject_count_and_suspects_do_not(spark):
+    rules = [{"quantity": "voltage", "type": "range", "max": 400, "on_fail": "drop_row"}, F_RANGE | {"on_fail": "reject_row"}]
+    _, stats = run(spark, ruled(WIDE, *rules), (*ROW[:4], "70"))
+    assert (stats["rows_dropped"], stats["records_rejected"], stats["rows_emitted"]) == (1, 1, 0)
+    later = [{"quantity": "voltage", "type": "range", "max": 400, "on_fail": "reject_row"}, F_RANGE | {"on_fail": "drop_row"}]
+    _, stats = run(spark, ruled(WIDE, *later), (*ROW[:4], "70"))
+    assert (stats["rows_dropped"], stats["records_rejected"]) == (0, 1)
+
+
+def test_record_rules(spark):
+    rows, stats = run(spark, ruled(WIDE, {"field": "f", "type": "not_null", "on_fail": "drop_row"}), ROW, (*ROW[:4], None))
+    assert (len(rows), stats["records_rejected"], stats["cells_null_skipped"]) == (2, 1, 0)
+    rows, stats = run(spark, ruled(WIDE, {"field": "f", "type": "not_null", "on_fail": "flag_suspect"}), (*ROW[:4], None))
+    assert [r.quality for r in rows] == ["suspect"] and stats["rows_suspect"] == 1
+
+
+@pytest.mark.parametrize("rule", [
+    {"field": "f", "type": "regex", "on_fail": "drop_row"}, {"field": "f", "type": "range", "on_fail": "ignore"}, {"type": "range", "on_fail": "drop_row"},
+    {"entity": "measurement", "field": "unit", "type": "not_null", "on_fail": "drop_row"}, {"entity": "site", "field": "x", "type": "not_null", "on_fail": "drop_row"},
+])
+def test_bad_rules_raise_before_reading(rule):
+    with pytest.raises(RulebookError):
+        Transform(ruled(WIDE, rule))
+
+
+def test_entity_rule_on_value_is_accepted():
+    Transform(ruled(WIDE, {"entity": "measurement", "field": "value", "type": "not_null", "on_fail": "drop_row"}))
+
+
+@pytest.mark.parametrize("change", [
+    {"source": {"shape": "long"}}, {"source": {"shape": "tall"}}, {"source": {"format": {"type": "xml"}}}, {"source": {"format": {"datetime_format": "julian"}}},
+    {"source": {"format": {"type": "csv", "header": True}}}, {"target": {"measurement_id_from": ["unit"]}},
+    {"mapping": {"columns": [{"src": "v", "quantity": "x", "phase": "none", "unit": "V", "transform": "magic"}]}},
+    {"mapping": {"columns": [{"src": "v", "quantity": "x", "phase": "none", "unit": "V", "transform": "scale_by_factor", "args": {"factor_field": "zk"}}]}},
+])
+def test_bad_rulebooks_raise(change):
+    with pytest.raises(RulebookError):
+        Transform(replace(WIDE, **change))
+
+
+def test_long_lookup(spark):
+    d = spark.createDataFrame([("1", "230.5", "1781470800246"), ("2", "7", "x"), ("9", "1", "0"), ("1", None, "0"), (None, "1", "0")], "key string, value string, timestamp string")
+    t = Transform(LONG)
+    rows = t.rows(d).collect()
+    assert [(r.quantity, r.value, r.ts_utc, r.aggregation, r.harmonic_order, r.device_id) for r in rows] == [
+        ("power", 230.5, "2026-06-14T21:00:00.246Z", "instantaneous", None, "acme_long:device"), ("energy", 7.0, None, "counter", 5, "acme_long:device"),
+    ]
+    s = t.stats(d).first()
+    assert (s.records_in, s.records_unmapped, s.cells_null_skipped, s.rows_emitted) == (5, 2, 1, 2)
+    assert {(r.key, r.n) for r in t.unmapped(d).collect()} == {("9", 1), ("None", 1)}
+
+
+def test_empty_input(spark):
+    t = Transform(WIDE)
+    assert t.rows(wide(spark), factors(spark)).count() == 0
+    assert t.stats(wide(spark), factors(spark)).first().asDict() == dict.fromkeys(COUNTERS, 0)
+
+
+def test_quantity_pruning_keeps_rejecting_cells(spark):
+    book = ruled(WIDE, F_RANGE | {"on_fail": "reject_row"})
+    t, d = Transform(book), wide(spark, ROW, (*ROW[:4], "70"))
+    assert [r.quantity for r in t.rows(d, factors(spark), quantities={"voltage"}).collect()] == ["voltage"]
+
+
+def land(root, name, body, fetched_at=None):
+    os.makedirs(root, exist_ok=True)
+    with open(f"{root}/{name}", "w", encoding="utf-8") as f:
+        f.write(body)
+    if fetched_at is not None:
+        with open(f"{root}/{name.rsplit('.', 1)[0]}.meta.json", "w", encoding="utf-8") as f:
+            json.dump({"fetched_at": fetched_at}, f)
+
+
+def test_latest_json_snapshot(spark, tmp_path):
+    book = replace(WIDE, source=WIDE.source | {"access": {"layout": "date={date}/meter={meter}"}})
+    at = tmp_path / "date=2025-01-01"
+    land(at / "meter=7", "a.json", '[{"meter": 7, "ts": "2025-01-01T00:00:00", "id": 1, "f": 1.0}]', "2025-01-01T00:00:00Z")
+    land(at / "meter=7", "b.json", '[{"meter": 7, "ts": "2025-01-01T00:00:00", "id": 2, "f": 50.5}]', "2025-01-02T00:00:00Z")
+    land(at / "meter=7", "c.json", '[{"meter": 7, "id": 3}]')
+    land(at / "meter=7", "d.tmp", "unfinished")
+    land(at / "meter=8", "x.json", '{"meter": 8, "id": 4, "f": true}')
+    land(at / "meter=9", "x.json", "42")
+    rows = landing.read_records(spark, f"file://{tmp_path}", book, "2025-01-01").collect()
+    assert {(r.id, r.f) for r in rows} == {("2", "50.5"), ("4", "true")}
+    assert [r.id for r in landing.read_records(spark, f"file://{tmp_path}", book, "2025-01-01", "8").collect()] == ["4"]
+    assert landing.read_records(spark, f"file://{tmp_path}", book, "2024-01-01").count() == 0
+
+
+def test_broken_json_raises(spark, tmp_path):
+    land(tmp_path / "p", "a.json", '[{"id": 1}')
+    with pytest.raises(Exception, match="not JSON"):
+        landing.read_json(spark, [f"file://{tmp_path}/p/a.json"], ["id"]).collect()
+
+
+def test_dsv(spark, tmp_path):
+    land(tmp_path / "vendor=acme_long" / "date=2025-01-01", "a.tsv", '1\t49.98\t1781470800246\r\n\nbroken\n"2\t7\t0\n')
+    rows = landing.read_records(spark, f"file://{tmp_path}", LONG, "2025-01-01").collect()
+    assert [tuple(r) for r in rows] == [("1", "49.98", "1781470800246"), ('"2', "7", "0")]
+
+
+def test_device_factors(spark, tmp_path):
+    book = replace(WIDE, source=WIDE.source | {"device_factors": {"voltage_factor": "a", "current_factor": "b"}})
+    land(tmp_path / "vendor=acme" / "source=meters" / "date=2025-01-01", "m.json", '[{"id": 7, "a": 1, "b": 2}, {"id": 7, "a": 3, "b": 4}]')
+    assert [tuple(r) for r in landing.read_device_factors(spark, f"file://{tmp_path}", book, "2025-01-01").collect()] == [("7", 3.0, 4.0)]
+    land(tmp_path / "vendor=acme" / "source=meters" / "date=2025-01-02", "m.json", '[{"id": 7, "a": 1}]')
+    with pytest.raises(Exception, match="without b"):
+        landing.read_device_factors(spark, f"file://{tmp_path}", book, "2025-01-02").collect()
+
+
+def test_scopes(spark, tmp_path):
+    t, root = Transform(WIDE), f"file://{tmp_path}/canonical"
+    day = lambda n: ("7", f"2025-01-0{n}T00:00:00", str(n), "230", "50")
+    put = lambda scope, *rows: sink.write_canonical(t.rows(wide(spark, *rows), factors(spark)), root, scope)
+    put("a", day(1), day(2))
+    put("a", day(1), day(2))
+    put("b", day(1))
+    assert sink.read_canonical(spark, root).count() == 6
+    put("a", day(3))
+    assert {(r.run_scope, str(r.event_date)) for r in sink.read_canonical(spark, root).collect()} == {("a", "2025-01-03"), ("b", "2025-01-01")}
+    put("a")
+    assert sink.read_canonical(spark, root).count() == 4
+
+
+TARGET = replace(
+    LONG,
+    canonical={"entities": {"fact_test": {"fields": [
+        {"name": "measurement_id", "type": "string"}, {"name": "ts_utc", "type": "timestamp"}, {"name": "quantity", "type": "vocab:quantities"},
+        {"name": "value", "type": "double"}, {"name": "location_id", "type": "registry:places"}, {"name": "ingested_at", "type": "timestamp"},
+    ]}}},
+    target={"schema": "lab", "table": "fact_test", "merge_key": ["measurement_id"], "partition_by": ["event_date"], "table_properties": {"a.b": "it's"}, "serving_schema": "lab",
+            "reference_dimensions": {"dim_q": {"source_vocabulary": "quantities", "columns": [{"name": "k", "from": "__key__", "comment": "it's a key"}, {"name": "u", "from": "unit"}]}}},
+    vocabulary={"quantities": {"b": {"unit": "x\\t'"}, "a": {}}},
+)
+
+
+def staged(spark, *rows):
+    return spark.createDataFrame(list(rows), "measurement_id string, ts_utc string, quantity string, value double, ingested_at string")
+
+
+def test_types():
+    assert table_schema(TARGET).names[-1] == "event_date"
+    assert spark_type("enum:x").simpleString() == "string" and spark_type("long").simpleString() == "bigint"
+    with pytest.raises(RulebookError):
+        spark_type("decimal")
+
+
+def test_merge_converges(spark):
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    name = sink.ensure_table(spark, TARGET, "parquet")
+    one = staged(spark, ("m1", "2025-01-01T00:00:00Z", "q", 1.0, "2025-01-01T00:00:00+00:00"), ("m1", "2025-01-01T00:00:00Z", "q", 2.0, "2025-01-02T00:00:00+00:00"), ("m2", "2025-01-01T00:00:00Z", "q", 5.0, "2025-01-01T00:00:00+00:00"))
+    r = sink.merge(one, TARGET, "parquet")
+    assert (r.staged, r.merged, r.before, r.after) == (3, 2, 0, 2)
+    r = sink.merge(one, TARGET, "parquet")
+    assert (r.before, r.after) == (2, 2)
+    # m1 moves to another date; the partition that it leaves keeps m2
+    r = sink.merge(staged(spark, ("m1", "2025-02-01T00:00:00Z", "q", 3.0, "2025-01-03T00:00:00+00:00")), TARGET, "parquet")
+    assert r.after == 2
+    r = sink.merge(staged(spark, ("m2", "2025-02-01T00:00:00Z", "q", 3.0, "2025-01-03T00:00:00+00:00")), TARGET, "parquet")
+    assert r.after == 2
+    assert {(x.measurement_id, x.value, str(x.event_date)) for x in spark.table(name).collect()} == {("m1", 3.0, "2025-02-01"), ("m2", 3.0, "2025-02-01")}
+    with pytest.raises(Exception, match="null in the merge key"):
+        sink.merge(staged(spark, (None, None, "q", 1.0, None)), TARGET, "parquet")
+
+
+def test_typed_projection_fills_nulls(spark):
+    row = typed_projection(staged(spark, ("m", "2025-01-01Z", "q", 1.0, "2025-01-01T00:00:00+00:00")), table_schema(TARGET)).first()
+    assert row.location_id is None and str(row.ts_utc) == "2025-01-01 00:00:00" and str(row.event_date) == "2025-01-01"
+
+
+def test_publishing(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS lab")
+    for x in ("dim_q", "by_q"):
+        spark.sql(f"DROP TABLE IF EXISTS lab.{x}")
+    assert publish.publish_dimensions(spark, TARGET, "parquet") == ["lab.dim_q"]
+    assert sorted(map(tuple, spark.table("lab.dim_q").collect())) == [("a", None), ("b", "x\\t'")]
+    assert spark.table("lab.dim_q").schema["k"].metadata["comment"] == "it's a key"
+    sink.ensure_table(spark, TARGET, "parquet")
+    body = "SELECT quantity, count(*) AS n FROM {canonical} GROUP BY quantity"
+    assert publish.publish_serving(spark, TARGET, {"view_q": body}) == ["lab.view_q"]
+    assert spark.table("lab.view_q").columns == ["quantity", "n"]
+    snapshot = replace(TARGET, target=TARGET.target | {"serving_mode": "table"})
+    assert publish.publish_serving(spark, snapshot, {"by_q": body}, "parquet") == ["lab.by_q"]
+    for bad in ({"serving_mode": "cube"}, {"serving_schema": None}):
+        with pytest.raises(RulebookError):
+            publish.publish_serving(spark, replace(TARGET, target=TARGET.target | bad), {"x": body})
+    with pytest.raises(RulebookError):
+        TARGET.terms("colours")
+
+
+def test_stream_upserts(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    name = sink.ensure_table(spark, TARGET, "parquet")
+    land(tmp_path / "in", "a.tsv", "1\t5\t1781470800246\n9\t5\t0\n")
+    for _ in range(2):
+        start_merge(stream_dsv(spark, f"file://{tmp_path}/in", TARGET), TARGET, f"file://{tmp_path}/cp", "parquet", "2025-01-01T00:00:00+00:00").awaitTermination(120)
+        land(tmp_path / "in", "b.tsv", "1\t6\t1781470800246\n1\t7\t1781470900000\n")
+    assert sorted(r.value for r in spark.table(name).collect()) == [6.0, 7.0]
