@@ -84,7 +84,7 @@ def minute_completeness(rows: DataFrame) -> DataFrame:
     """device_id, minutes_present, minutes_possible, percent: between a device's first and last
     minute."""
     minute = F.date_trunc("minute", instant(F.col("ts_utc")))
-    d = rows.withColumn("__m", minute).where("__m is not null").groupBy("device_id").agg(
+    d = rows.withColumn("__m", minute).groupBy("device_id").agg(
         F.countDistinct("__m").alias("minutes_present"), ((F.unix_seconds(F.max("__m")) - F.unix_seconds(F.min("__m"))) / 60 + 1).cast("long").alias("minutes_possible")
     )
-    return d.withColumn("percent", F.round(F.lit(100.0) * F.col("minutes_present") / F.col("minutes_possible"), 4))
+    return d.where("minutes_present > 0").withColumn("percent", F.round(F.lit(100.0) * F.col("minutes_present") / F.col("minutes_possible"), 4))

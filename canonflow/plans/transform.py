@@ -33,7 +33,8 @@ class Transform:
     def __init__(self, book: Rulebook):
         self.book = book.check()
         self.booleans = book.format.get("type", "json") == "json"
-        self.on_record = book.rules()[0]
+        self.on_record, on_quantity = book.rules()
+        self.can_reject = any(r.on_fail == "reject_row" for rules in on_quantity.values() for r in rules)
 
     def frame(self, records: DataFrame, factors: DataFrame | None = None, keep: set[str] | None = None) -> DataFrame:
         """One row per record: identity columns, judged cells and counts. A record that a record
@@ -67,8 +68,11 @@ class Transform:
         """Canonical rows. ingested_at: the run's one stamp. quantities: builds only what they
         need. extra: raw fields carried along."""
         book = self.book
-        d = self.frame(records, factors, quantities).where(~F.col("__rejected") & F.col("__reject_at").isNull())
-        flat = d.select("__device", "__ts", "__row_id", "__suspect", *extra, F.inline(F.filter("__cells", lambda c: c["outcome"] == "keep")))
+        # Rejection by a value lies in the generator: as a filter it would be pushed below the
+        # cells and have them computed twice. Rejection by a raw field is a plain filter.
+        d = self.frame(records, factors, quantities).where(~F.col("__rejected"))
+        whole = F.col("__reject_at").isNull() if self.can_reject else F.lit(True)
+        flat = d.select("__device", "__ts", "__row_id", "__suspect", *extra, F.inline(F.filter("__cells", lambda c: (c["outcome"] == "keep") & whole)))
         if quantities is not None:
             flat = flat.where(F.col("quantity").isin(*sorted(quantities)))
         stamp = ingested_at or datetime.now(UTC).isoformat()
