@@ -27,18 +27,14 @@ def write_canonical(rows: DataFrame, root: str, scope: str) -> None:
     if rows.isEmpty():
         return
     dated = rows.withColumn("event_date", event_date(F.col("ts_utc"))).withColumn("run_scope", F.lit(scope))
-    # A scope's files lie under its own name, so a date that it no longer has can be removed.
-    before = set(matching(spark, f"{root}/source_vendor=*/event_date=*/run_scope={quote(scope, safe='-_. ')}"))
-    stamp = uuid.uuid4().hex
-    fresh = f"{root}/_fresh_{stamp}"
-    dated.hint("rebalance", "source_vendor", "event_date").write.partitionBy(*PARTITIONS).parquet(fresh)
-    typed = spark.read.schema(dated.schema).parquet(fresh)
-    typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(root)
-    tails = {p.split(f"_fresh_{stamp}/")[1] for p in matching(spark, f"{fresh}/source_vendor=*/event_date=*/run_scope=*")}
-    for path in before:
-        if path[path.index("source_vendor=") :] not in tails:
-            delete(spark, path)
-    delete(spark, fresh)
+    files = f"{root}/source_vendor=*/event_date=*/run_scope={quote(scope, safe='-_. ')}/*"
+    before = set(matching(spark, files))
+    writer = dated.hint("rebalance", "source_vendor", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITIONS).parquet(root)
+    # A partition that was written again has new files; one that still has its old files belongs
+    # to a date that the scope no longer has.
+    for path in {f.rsplit("/", 1)[0] for f in before & set(matching(spark, files))}:
+        delete(spark, path)
 
 
 def read_canonical(spark: SparkSession, root: str) -> DataFrame:
