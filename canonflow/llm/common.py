@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import scratch
+
 #: A word is a run of characters other than these six.
 WHITESPACE = " \t\n\x0b\x0c\r"
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -17,15 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that the driver and all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows read from a table in the shared folder: lineage ends there, and a lost
     executor costs only the tasks it was running."""
