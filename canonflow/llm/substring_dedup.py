@@ -92,13 +92,16 @@ class Block:
         self.is_first = np.zeros(len(order), bool)
         self.is_first[order[new]] = True  # lexsort is stable: the first of equals is the earliest
 
-    def sent(self, buckets: int) -> list[np.ndarray]:
-        """Per bucket, the windows sent, in order of their start."""
+    def sent(self, buckets: int) -> list[tuple[int, np.ndarray]]:
+        """The buckets that get windows of this block, and those windows in order of start."""
         mine = np.flatnonzero(self.is_first)
+        if not len(mine):
+            return []
         to = ((self.hash[mine] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[order], np.arange(buckets + 1))
-        return [mine[order[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        dealt = to[order]
+        cuts = np.concatenate([[0], np.flatnonzero(dealt[1:] != dealt[:-1]) + 1, [len(dealt)]])
+        return [(int(dealt[a]), mine[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def removed(self, repeated: np.ndarray) -> np.ndarray:
         """Which words the repeated windows cover."""
@@ -135,10 +138,9 @@ def _sent(blocks: DataFrame, buckets: int, width: int) -> DataFrame:
                 b = Block(batch.column(2)[row].as_py(), width)
                 ids = np.array([_NONE if x is None else x for x in batch.column(1)[row].as_py()], np.int64)
                 out: list[tuple] = []
-                for bucket, mine in enumerate(b.sent(buckets)):
-                    if len(mine):
-                        docs, runs = np.unique(b.doc[mine], return_counts=True)
-                        out.append((bucket, b.hash[mine].tobytes(), b.tag[mine].tobytes(), ids[docs].tobytes(), runs.astype(np.uint32).tobytes()))
+                for bucket, mine in b.sent(buckets):
+                    docs, runs = np.unique(b.doc[mine], return_counts=True)
+                    out.append((bucket, b.hash[mine].tobytes(), b.tag[mine].tobytes(), ids[docs].tobytes(), runs.astype(np.uint32).tobytes()))
                 if out:
                     cols = list(zip(*out, strict=True))
                     block = pa.array([batch.column(0)[row].as_py()] * len(out))
@@ -183,11 +185,10 @@ def _applied(found: DataFrame, buckets: int, width: int) -> DataFrame:
                 b = Block(batch.column(1)[row].as_py(), width)
                 repeated = ~b.is_first
                 masks = {m["bucket"]: m["mask"] for m in batch.column(2)[row].as_py() or []}
-                for bucket, mine in enumerate(b.sent(buckets)):
-                    if bucket in masks:
-                        repeated[mine] = np.unpackbits(np.frombuffer(masks[bucket], np.uint8), count=len(mine)).view(bool)
-                    elif len(mine):
+                for bucket, mine in b.sent(buckets):
+                    if bucket not in masks:
                         raise RuntimeError("a block's windows got no answer")
+                    repeated[mine] = np.unpackbits(np.frombuffer(masks[bucket], np.uint8), count=len(mine)).view(bool)
                 rows = list(b.results(b.removed(repeated)))
                 cols = [batch.column(0)[row].as_py(), *zip(*rows, strict=True)]
                 cols[3] = [[{"start": x, "end": y} for x, y in spans] for spans in cols[3]]
