@@ -23,9 +23,9 @@ def duck():
 
 def _rows(df: pd.DataFrame) -> list[tuple]:
     def text(v):
-        if v is None or v is pd.NaT or v != v:
+        if pd.isna(v):
             return "null"
-        return repr(round(float(v), 6)) if isinstance(v, float) or hasattr(v, "dtype") else repr(round(float(v), 6)) if isinstance(v, int) and not isinstance(v, bool) else str(v)
+        return repr(round(float(v), 6)) if isinstance(v, (int, float)) or hasattr(v, "dtype") else str(v)
 
     return sorted(tuple(text(v) for v in row) for row in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
