@@ -36,12 +36,34 @@ from .common import partitions, scratch, table, text_or_empty
 from .words import OTHER_BASE, WORD_BASE, Words, window_hashes
 
 WIDTH = 20
-BLOCK_BYTES = 6 << 20
-WINDOWS_PER_BUCKET = 2_000_000
+BLOCK_BYTES = 3 << 20
+WINDOWS_PER_BUCKET = 1_000_000
 #: Below all document numbers; stands for a null doc_id.
 _NONE = np.iinfo(np.int64).min
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    kind = np.min_scalar_type(values.max())
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.uint64)
+
+
+def _packed_ids(ids: np.ndarray) -> bytes:
+    """Sorted document numbers as steps; they wrap around as unsigned numbers do."""
+    ids = ids.view(np.uint64)
+    return ids[:1].tobytes() + _packed(np.concatenate([np.zeros(1, np.uint64), ids[1:] - ids[:-1]]))
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    steps = _unpacked(data[8:])
+    steps[0] = np.frombuffer(data[:8], np.uint64)[0]
+    return np.cumsum(steps, dtype=np.uint64).view(np.int64)
+
+
 def _blocks(docs: DataFrame, size: int) -> DataFrame:
     """block, doc_ids, texts: runs of a partition's rows, sorted by doc_id within the block."""
     kind = pa.schema([("block", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))])
@@ -140,7 +162,7 @@ def _sent(blocks: DataFrame, buckets: int, width: int) -> DataFrame:
                 out: list[tuple] = []
                 for bucket, mine in b.sent(buckets):
                     docs, runs = np.unique(b.doc[mine], return_counts=True)
-                    out.append((bucket, b.hash[mine].tobytes(), b.tag[mine].tobytes(), ids[docs].tobytes(), runs.astype(np.uint32).tobytes()))
+                    out.append((bucket, b.hash[mine].tobytes(), b.tag[mine].tobytes(), _packed_ids(ids[docs]), _packed(runs)))
                 if out:
                     cols = list(zip(*out, strict=True))
                     block = pa.array([batch.column(0)[row].as_py()] * len(out))
@@ -161,7 +183,7 @@ def _answered(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     twin[:-1] |= twin[1:]
     some = order[twin]  # windows whose hash another block sent too
     tags = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["tags"]])[some]
-    docs = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(r, np.uint32)) for d, r in zip(rows["docs"], rows["runs"], strict=True)])[some]
+    docs = np.concatenate([np.repeat(_unpacked_ids(d), _unpacked(r).astype(np.int64)) for d, r in zip(rows["docs"], rows["runs"], strict=True)])[some]
     rank = np.argsort(np.argsort(rows["block"].to_numpy(dtype=str)))
     block = np.repeat(rank, sizes)[some]
     sort = np.lexsort((block, docs, tags, h[some]))
