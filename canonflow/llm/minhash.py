@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import partitions, table, written
 from .components import components
 from .words import Words, mix64, text_bytes, window_hashes
 
@@ -128,7 +128,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "set_key", "bands", "sig"],
                 )
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [batch.column(0).slice(a, b - a).take(pa.array(right, pa.int32())), pa.array([sets[k].view(np.int64) for k in right], pa.list_(pa.int64()))], ["node", "shingles"]
                 )
 
-    texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
     return texts.join(wanted, "node").select("node", "text", "set_key").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
@@ -176,17 +176,14 @@ class _Forest:
         self.up[self.find(x)] = self.find(y)
 
 
-def _links_within(rows: pd.DataFrame, here: int) -> list[tuple[int, int]]:
-    """Links that connect components inside one block or between two. rows: node, component,
-    side, sig, shingles. here: the bucket's key, to leave pairs to the first band they share."""
-    sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(len(rows), -1)
+def _links_within(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], here: int) -> list[tuple[int, int]]:
+    """Links that connect components inside one block of a bucket or between two. here: the
+    bucket's key, to leave pairs to the first band they share."""
     keys = band_keys(sig, BANDS, ROWS)
-    comp, side, node = rows["component"].to_numpy(), rows["side"].to_numpy(), rows["node"].to_numpy()
-    sets = [np.frombuffer(s, np.int64) for s in rows["shingles"]]
     size = np.array([len(s) for s in sets])
     split = len(set(side)) > 1
     likely = []
-    for i in range(len(rows)):
+    for i in range(len(node)):
         other = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (not split))) + i + 1
         other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
         if len(other):
@@ -204,6 +201,20 @@ def _links_within(rows: pd.DataFrame, here: int) -> list[tuple[int, int]]:
     return out
 
 
+def _links_of_buckets(rows: pd.DataFrame) -> pd.DataFrame:
+    """The same for each of the buckets in `rows`: key, node, component, side, sig, shingles."""
+    rows = rows.sort_values("key", kind="stable")
+    key = rows["key"].to_numpy()
+    cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+    sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(len(rows), -1)
+    node, comp, side = (rows[c].to_numpy() for c in ("node", "component", "side"))
+    sets = [np.frombuffer(s, np.int64) for s in rows["shingles"]]
+    out: list[tuple[int, int]] = []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        out += _links_within(node[a:b], comp[a:b], side[a:b], sig[a:b], sets[a:b], int(key[a]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that share a bucket. members: key, node."""
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -213,14 +224,13 @@ def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets
     blocks = open_.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = open_.join(blocks, "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), F.col("own").alias("side"), "node", "component", "sig")
-    blob = _as_bytes(sets)
-    dealt = dealt.join(blob, "node")
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_links_within(rows, int(key[0])), columns=["a", "b"]).astype("int64")
-
-    return dealt.groupBy("key", "p", "q").applyInPandas(run, "a long, b long")
+    # Buckets of one block share a call, about as many as make a block.
+    total = open_.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    calls = max(partitions(members.sparkSession), 2 * total[0] // BLOCK_ROWS, 2 * total[1] // BLOCK_SHINGLES)
+    call = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(calls))).otherwise(F.col("key"))
+    places = F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), F.col("own").alias("side")
+    dealt = dealt.select(call.alias("call"), (F.col("blocks") > 1).alias("alone"), *places, "key", "node", "component", "sig").join(_as_bytes(sets), "node")
+    return dealt.groupBy("call", "alone", "p", "q").applyInPandas(_links_of_buckets, "a long, b long")
 
 
 def _as_bytes(sets: DataFrame) -> DataFrame:
@@ -240,7 +250,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     reps = all_.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(best)
     reps = written(reps.select("set_key", F.col("best.doc_id").alias("rep"), "best.bands", "best.sig", "best.n_shingles"), "classes")
     slots = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("node"))
-    buckets = slots.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
+    # Written, so that the join has a plain exchange on either side: Spark can then split a huge
+    # bucket's partition.
+    buckets = written(slots.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi"), "buckets")
     members = written(slots.join(buckets, "key"), "members")
     pairs = members.select("node", F.explode(F.array("lo", "hi")).alias("b")).where("node != b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     wanted = members.select("node").distinct().join(reps.select(F.col("rep").alias("node"), "set_key"), "node")
