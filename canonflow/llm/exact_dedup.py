@@ -125,7 +125,9 @@ def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK) -> DataFra
     key = ["fp", "n_bytes", "cls"]
     prints = written(fingerprints(docs, bits).withColumn("cls", F.lit(0)), "prints")
     for level in range(1, 1 << 31):
-        groups = prints.groupBy(*key).agg(F.max(F.struct("doc_id", "text_sha256")).alias("rep"), F.count("*").alias("group_size"))
+        # Written, so that the joins below have a plain exchange on either side: Spark can then
+        # split a huge group's partition.
+        groups = written(prints.groupBy(*key).agg(F.max(F.struct("doc_id", "text_sha256")).alias("rep"), F.count("*").alias("group_size")), "groups")
         several = groups.where("group_size > 1 and n_bytes > 0").select(
             *key, "rep", F.concat_ws("/", *key).alias("gid"), F.ceil(F.col("group_size") / F.lit(SALT_ROWS)).cast("int").alias("salts")
         )
