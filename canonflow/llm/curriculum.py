@@ -27,7 +27,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SLOPES = (-0.5, 0.0, 0.5)
 SHARE = 1.5
 CAP = 2
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
+LEAST_RANGES = 64
 
 
 def _cycle(rank: Column, values: tuple) -> Column:
@@ -72,7 +73,7 @@ def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     sized = written(sized.withColumn("h", F.xxhash64("doc_id", "size", F.lit(seed))), "sized")
     targets = written(source_targets(sized), "targets")
     # As many hash ranges as the largest source needs; one number comes to the driver.
-    ranges = max(16, -(-(targets.agg(F.max("n_rows")).first()[0] or 0) // ROWS_PER_RANGE))
+    ranges = max(LEAST_RANGES, -(-(targets.agg(F.max("n_rows")).first()[0] or 0) // ROWS_PER_RANGE))
     # The top 31 bits of the hash, as a fraction of their range, times the number of ranges.
     in_range = F.floor((F.shiftright("h", 33) + F.lit(1 << 30)) * F.lit(ranges) / F.lit(1 << 31)).cast("int")
     sized = sized.withColumn("range", in_range)
