@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Control and Latin-1 characters that a literal shows as \xNN.
-_HIDDEN = [chr(c) for c in [*range(0, 9), 11, 12, *range(14, 32), *range(127, 161), 173]]
+#: Fixed value: control and Latin-1 characters that a literal shows in hexadecimal.
+_HIDDEN = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\xa0\\xad]"
 
 
 def literal(text: Column) -> Column:
@@ -15,10 +15,9 @@ def literal(text: Column) -> Column:
     out = text
     for raw, shown in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
         out = F.replace(out, F.lit(raw), F.lit(shown))
-    hidden = out
-    for c in _HIDDEN:
-        hidden = F.replace(hidden, F.lit(c), F.lit(f"\\x{ord(c):02x}"))
-    out = F.when(text.rlike("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\xa0\\xad]"), hidden).otherwise(out)
+    shown_hex = lambda c: F.concat(F.lit("\\x"), F.lower(F.lpad(F.hex(F.ascii(c)), 2, "0")))
+    one_by_one = F.transform(F.split(out, ""), lambda c: F.when(c.rlike(_HIDDEN), shown_hex(c)).otherwise(c))
+    out = F.when(text.rlike(_HIDDEN), F.array_join(one_by_one, "")).otherwise(out)
     double = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
     shown = F.when(double, F.concat(F.lit('"'), out, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(out, F.lit("'"), F.lit("\\'")), F.lit("'")))
     return F.coalesce(shown, F.lit("None"))

@@ -132,7 +132,7 @@ def test_event_date_follows_the_instant(spark):
     assert [str(r[0]) for r in d.select(event_date(F.col("x"))).collect()] == ["2025-01-02", "None", "2025-01-01"]
 
 
-@pytest.mark.parametrize("text", ["a", "it's", 'say "x"', "both ' and \"", "back\\slash", "tab\tnew\nret\r", "ä", "\x01\x7f\xa0\xad", None])
+@pytest.mark.parametrize("text", ["a", "it's", 'say "x"', "both ' and \"", "back\\slash", "tab\tnew\nret\r", "ä", "\x01\x7f\xa0\xad", "😀\x01ä\\", None])
 def test_literals(spark, text):
     assert spark.createDataFrame([(text,)], "x string").select(literal(F.col("x"))).first()[0] == repr(text)
 
