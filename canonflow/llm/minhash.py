@@ -4,8 +4,9 @@ Two permutations of the 32-bit circle make a whole signature: sigma scatters a d
 shingles once, and coordinate k is the least pi(sigma(s) + k), pi being the second permutation
 shifted by k. Bands of coordinates are hashed; documents that share a band are candidates.
 
-At a Jaccard similarity of 0.85, BANDS bands of ROWS coordinates miss a pair with a probability
-of (1 - 0.85**5)**25 = 5e-7. Everything after banding is exact:
+The threshold is given in percent, and `Fit` chooses the bands by it: so many bands of ROWS
+coordinates that a pair at the threshold is missed with a probability of MISSED at most, which is
+25 bands at 0.85, (1 - 0.85**5)**25 = 5e-7, and 37 at 0.80. Everything after banding is exact:
 
 1. Documents with equal shingle sets form a class, and the class's smallest doc_id goes on.
 2. In each bucket, members are compared with its smallest and its largest member. Links found
@@ -13,7 +14,7 @@ of (1 - 0.85**5)**25 = 5e-7. Everything after banding is exact:
 3. Buckets that still hold several components are compared inside tasks, in blocks: members of
    different components whose signatures agree in at least the share `likely` of coordinates are
    compared set by set, until they are connected. Only links leave a task, fewer than members.
-   The share lies 4.7 standard errors below the threshold.
+   The share lies ERRORS standard errors below the threshold.
 
 No step emits all pairs of a bucket, and no task holds more than two blocks of one.
 
@@ -26,7 +27,9 @@ if that is null; other columns, whatever their names, pass through `near_dedup`.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -40,8 +43,9 @@ from .words import Words, mix64, text_bytes, window_hashes
 
 WIDTH = 5
 PERCENT = 85
-BANDS, ROWS = 25, 5
-LIKELY = 0.70
+ROWS = 5
+MISSED = 5e-7
+ERRORS = 4.7
 #: Rows and hashed shingles of a block of a bucket.
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 4_000_000
@@ -49,6 +53,26 @@ BLOCK_SHINGLES = 4_000_000
 BATCH_BYTES = 4 << 20
 
 
+@dataclass(frozen=True)
+class Fit:
+    """Bands and the least share of equal coordinates for a threshold in percent."""
+
+    percent: int
+
+    def __post_init__(self):
+        if not 50 <= self.percent < 100:
+            raise ValueError(f"a threshold of {self.percent} percent; 50 to 99 can be banded")
+
+    @property
+    def bands(self) -> int:
+        return math.ceil(math.log(MISSED) / math.log1p(-((self.percent / 100) ** ROWS)))
+
+    @property
+    def likely(self) -> float:
+        j = self.percent / 100
+        return j - ERRORS * math.sqrt(j * (1 - j) / (self.bands * ROWS))
+
+
 def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles."""
     words = Words(texts, lower=True)
@@ -110,15 +134,16 @@ def _slices(batch: pa.RecordBatch, size: int = BATCH_BYTES) -> Iterator[tuple[in
         yield at, batch.num_rows, some
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, fit: Fit) -> DataFrame:
     """doc_id, n_shingles, set_key (null if empty), bands, sig."""
+    count = fit.bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in _slices(batch):
                 sets = shingle_sets(texts)
-                sig = signatures(sets, BANDS * ROWS)
-                keys = band_keys(sig, BANDS, ROWS).view(np.int64)
+                sig = signatures(sets, count * ROWS)
+                keys = band_keys(sig, count, ROWS).view(np.int64)
                 set_key = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -150,16 +175,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "node").select("node", "text", "set_key").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
-def _linked(n_both, n_a, n_b):
-    return 100 * n_both >= PERCENT * (n_a + n_b - n_both)
+def _linked(percent: int, n_both, n_a, n_b):
+    return 100 * n_both >= percent * (n_a + n_b - n_both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as asked."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").where(_linked(both, F.size("sa"), F.size("sb"))).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(_linked(percent, both, F.size("sa"), F.size("sb"))).select("a", "b")
 
 
 class _Forest:
@@ -176,32 +201,32 @@ class _Forest:
         self.up[self.find(x)] = self.find(y)
 
 
-def _links_within(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], here: int) -> list[tuple[int, int]]:
+def _links_within(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], here: int, fit: Fit) -> list[tuple[int, int]]:
     """Links that connect components inside one block of a bucket or between two. here: the
     bucket's key, to leave pairs to the first band they share."""
-    keys = band_keys(sig, BANDS, ROWS)
+    keys, least = band_keys(sig, fit.bands, ROWS), fit.likely
     size = np.array([len(s) for s in sets])
     split = len(set(side)) > 1
     likely = []
     for i in range(len(node)):
         other = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (not split))) + i + 1
-        other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
+        other = other[100 * np.minimum(size[other], size[i]) >= fit.percent * np.maximum(size[other], size[i])]
         if len(other):
             share = (sig[other] == sig[i]).mean(axis=1)
             first = (keys[other] == keys[i]).argmax(axis=1)
-            ok = (share >= LIKELY) & (keys[i][first] == np.uint64(here & (1 << 64) - 1))
+            ok = (share >= least) & (keys[i][first] == np.uint64(here & (1 << 64) - 1))
             likely += [(-s, i, j) for s, j in zip(share[ok].tolist(), other[ok].tolist(), strict=True)]
     forest, out = _Forest(), []
     for _, i, j in sorted(likely):
         if forest.find(comp[i]) != forest.find(comp[j]):
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if _linked(both, size[i], size[j]):
+            if _linked(fit.percent, both, size[i], size[j]):
                 forest.join(comp[i], comp[j])
                 out.append((node[i], node[j]))
     return out
 
 
-def _links_of_buckets(rows: pd.DataFrame) -> pd.DataFrame:
+def _links_of_buckets(rows: pd.DataFrame, fit: Fit) -> pd.DataFrame:
     """The same for each of the buckets in `rows`: key, node, component, side, sig, shingles."""
     rows = rows.sort_values("key", kind="stable")
     key = rows["key"].to_numpy()
@@ -211,11 +236,11 @@ def _links_of_buckets(rows: pd.DataFrame) -> pd.DataFrame:
     sets = [np.frombuffer(s, np.int64) for s in rows["shingles"]]
     out: list[tuple[int, int]] = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        out += _links_within(node[a:b], comp[a:b], side[a:b], sig[a:b], sets[a:b], int(key[a]))
+        out += _links_within(node[a:b], comp[a:b], side[a:b], sig[a:b], sets[a:b], int(key[a]), fit)
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, fit: Fit) -> DataFrame:
     """Links between components that share a bucket. members: key, node."""
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
@@ -230,7 +255,7 @@ def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets
     call = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(calls))).otherwise(F.col("key"))
     places = F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), F.col("own").alias("side")
     dealt = dealt.select(call.alias("call"), (F.col("blocks") > 1).alias("alone"), *places, "key", "node", "component", "sig").join(_as_bytes(sets), "node")
-    return dealt.groupBy("call", "alone", "p", "q").applyInPandas(_links_of_buckets, "a long, b long")
+    return dealt.groupBy("call", "alone", "p", "q").applyInPandas(lambda rows: _links_of_buckets(rows, fit), "a long, b long")
 
 
 def _as_bytes(sets: DataFrame) -> DataFrame:
@@ -242,9 +267,11 @@ def _as_bytes(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node long, shingles binary")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of `docs`."""
-    all_ = written(sketches(docs), "sketches")
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of `docs`; pairs of a Jaccard
+    similarity of `percent` or more are linked."""
+    fit = Fit(percent)
+    all_ = written(sketches(docs, fit), "sketches")
     best = F.min(F.struct("doc_id", "bands", "sig", "n_shingles")).alias("best")
     # One row per distinct shingle set, pre-aggregated before the shuffle.
     reps = all_.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(best)
@@ -257,9 +284,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     pairs = members.select("node", F.explode(F.array("lo", "hi")).alias("b")).where("node != b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     wanted = members.select("node").distinct().join(reps.select(F.col("rep").alias("node"), "set_key"), "node")
     sets = written(_sets_of(docs, wanted), "sets")
-    links = written(_verified(pairs, sets), "links")
+    links = written(_verified(pairs, sets, percent), "links")
     labels = components(links)
-    more = written(_residual_links(members.select("key", "node"), labels, reps, sets), "more")
+    more = written(_residual_links(members.select("key", "node"), labels, reps, sets, fit), "more")
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = reps.select("set_key", F.col("rep").alias("node")).join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
@@ -268,9 +295,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each group, the smallest doc_id."""
-    stay = near_groups(docs).where("kept").select(F.col("doc_id").alias("__stay_id")).distinct()
+    stay = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("__stay_id")).distinct()
     return docs.join(stay, docs["doc_id"].eqNullSafe(stay["__stay_id"]), "left_semi")
 
 

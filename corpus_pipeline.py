@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from canonflow.llm import curriculum, exact_dedup, minhash, packing, quality_rules
 from canonflow.llm.common import table, written
 
+#: op3's query links from 85 on; the pipeline takes pairs of a Jaccard similarity of 0.8 or more.
+NEAR_PERCENT = 80
+
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base checks or a learned rule go."""
@@ -25,7 +28,7 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the smallest doc_id stays."""
-    return minhash.near_dedup(docs)
+    return minhash.near_dedup(docs, NEAR_PERCENT)
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from canonflow.llm import chat_format, components, curriculum, exact_dedup, knn_quality, minhash, packing, quality_rules, substring_dedup, token_counts, tokens, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -164,6 +165,26 @@ def test_residual_links_join_chains(spark):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == brute_groups(rows)
 
 
+def test_pipeline_links_from_80(spark):
+    """Pairs between 0.80 and 0.85 are linked at 80 and not at 85; those below 0.80 at neither."""
+    rng, rows, similar = random.Random(6), [], {}
+    for pair in range(40):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        other = list(w)
+        for k in range(rng.randrange(3, 6)):
+            other[20 + 35 * k] = f"n{pair}_{k}"
+        rows += [(2 * pair, " ".join(w), "en", "s", 0), (2 * pair + 1, " ".join(other), "en", "s", 0)]
+        a, b = (shingles(x[1]) for x in rows[-2:])
+        similar[2 * pair + 1] = 100 * len(a & b) / len(a | b)
+    assert {k for k, s in similar.items() if 80 <= s < 85} and {k for k, s in similar.items() if s < 80}
+    d = spark.createDataFrame(rows, SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    for percent, kept in ((80, stage(spark, d, "")), (85, minhash.near_dedup(d, 85))):
+        assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows if similar.get(i, 0) < percent}
+    fit = minhash.Fit(80)
+    assert (1 - 0.8**minhash.ROWS) ** fit.bands <= 5e-7 and (0.8 - fit.likely) / math.sqrt(0.16 / (fit.bands * minhash.ROWS)) > 4.6
+
+
 def test_circulant_signatures_estimate_similarity():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 2**63, 2000).astype(np.uint64)
