@@ -108,8 +108,9 @@ def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it, sorted by training position."""
+def mix(docs: DataFrame, seed: int = 1, position: str | None = None) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it, sorted by training position, which a
+    column named `position` holds if asked for."""
     key = plan(docs, seed).groupBy("doc_id", "source", "size").agg(*[F.max(c).alias(f"__m_{c}") for c in ("copies", "source_size", "target", "middle", "slope")])
     key = key.where("__m_copies > 0").withColumnsRenamed({"doc_id": "__m_id", "source": "__m_source", "size": "__m_size"})
     size = F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long")
@@ -117,7 +118,8 @@ def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
     taken = docs.join(key, same).withColumn("__m_copy", F.explode(F.sequence(F.lit(0), (F.col("__m_copies") - 1).cast("int"))))
     words = F.least(F.col("__m_target"), F.col("__m_middle") + F.col("__m_copy") * F.col("__m_source_size"))
     at = _position(words, F.greatest(F.col("__m_target"), F.lit(1.0)), F.col("__m_slope"))
-    return taken.withColumn("__m_at", at).orderBy("__m_at", "doc_id", "__m_copy").select(*[docs[c] for c in docs.columns])
+    told = [F.col("__m_at").alias(position)] if position else []
+    return taken.withColumn("__m_at", at).orderBy("__m_at", "doc_id", "__m_copy").select(*[docs[c] for c in docs.columns], *told)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ fullest closes first. Texts don't take part: only lengths are shuffled.
 Each task packs `PIECES_PER_TASK` pieces or so; a task of that size leaves at most `OPEN_BINS`
 bins that later pieces could have filled.
 
+Instead of the hashed order, pieces may arrive in the order of a column, as the pipeline's do in
+training order. Each task then packs one range of it, and sequence ids rise with the ranges, of
+which there are `LEAST_RANGES` at least; inside a range, with the time a sequence is opened.
+
 Defined cases: a null text counts as empty and makes the closing id alone; equal rows are packed
 each for itself; other columns are not read; an empty table gives no rows.
 """
@@ -30,6 +34,7 @@ LENGTH = 2048
 CLOSING_ID = 0
 OPEN_BINS = 1024
 PIECES_PER_TASK = 100_000
+LEAST_RANGES = 16
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -38,8 +43,10 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, length) for at in range(first, n, length))]
 
 
-def encoded_pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: one row per piece, without a shuffle."""
+def encoded_pieces(docs: DataFrame, path: str, length: int = LENGTH, order: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and the column `order`, if given: one row per piece,
+    without a shuffle."""
+    orders = [order] if order else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,10 +60,12 @@ def encoded_pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFram
                     size.append(n)
                     crc.append(zlib.crc32(ids[at : at + n].tobytes()))
             columns = [batch.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, size, crc))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+            columns += [batch.column(2 + k).take(pa.array(row, pa.int32())) for k in range(len(orders))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", *orders])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    kind = lambda c: docs.schema[c].dataType.simpleString()
+    kinds = ", ".join([f"doc_id {kind('doc_id')}, piece int, start long, length long, ids_crc32 long", *(f"{c} {kind(c)}" for c in orders)])
+    return docs.select("doc_id", text_or_empty().alias("text"), *orders).mapInArrow(run, kinds)
 
 
 class OpenBins:
@@ -90,8 +99,8 @@ class OpenBins:
         return bin_, self.length - free
 
 
-def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, per_task: int = PIECES_PER_TASK) -> DataFrame:
-    """`pieces` with sequence_id and offset."""
+def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, per_task: int = PIECES_PER_TASK, order: str | None = None) -> DataFrame:
+    """`pieces` with sequence_id and offset; they arrive in the order of a column, or hashed."""
     tasks = max(1, round(pieces.count() / per_task))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,16 +115,23 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, pe
             rows = batch.drop_columns(["part", "h"])
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids), pa.array(placed[:, 1])], [*rows.schema.names, "sequence_id", "offset"])
 
-    # `part` is a function of the row alone: a retried task gets the same rows and packs them alike.
-    hashed = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32")).repartition(tasks, "h")
-    dealt = hashed.withColumn("part", F.spark_partition_id()).sortWithinPartitions("h", "doc_id", "piece")
+    hashed = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32"))
+    if order:
+        # The ranges' bounds are drawn once a job. Ties of the order are split by the other keys.
+        keys = [order, "doc_id", "piece", "h"]
+        hashed = hashed.repartitionByRange(max(LEAST_RANGES, tasks), *keys)
+    else:
+        # `part` is a function of the row alone: a retried task gets the same rows and packs them alike.
+        keys = ["h", "doc_id", "piece"]
+        hashed = hashed.repartition(tasks, "h")
+    dealt = hashed.withColumn("part", F.spark_partition_id()).sortWithinPartitions(*keys)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
     return dealt.mapInArrow(run, f"{kinds}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, order: str | None = None) -> DataFrame:
     """One row per piece of every row of `docs`: where its ids go."""
-    return pack(written(encoded_pieces(docs, path or vocabulary_path(), length), "pieces"), length)
+    return pack(written(encoded_pieces(docs, path or vocabulary_path(), length, order), "pieces"), length, order=order)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it as Parquet in the
 shared folder and hands the next stage what it reads back. All stages but the last return the
-columns of `documents`; a document that the mix takes twice is in two rows.
+columns of `documents`; a document that the mix takes twice is in two rows, and the mix adds the
+training position, by which the last stage packs.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from canonflow.llm.common import table, written
 
 #: op3's query links from 85 on; the pipeline takes pairs of a Jaccard similarity of 0.8 or more.
 NEAR_PERCENT = 80
+#: A table's rows come back in any order, so the mix tells each row's place in a column.
+POSITION = "train_at"
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +36,12 @@ def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, in training order."""
-    return curriculum.mix(docs)
+    return curriculum.mix(docs, position=POSITION)
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece: the sequence it lies in and where."""
-    return packing.pack_documents(docs)
+    """One row per piece: the sequence it lies in and where; sequences rise with training."""
+    return packing.pack_documents(docs, order=POSITION)
 
 
 STAGES = [

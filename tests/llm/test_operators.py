@@ -340,6 +340,30 @@ def test_packing_of_nothing(empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_sequences_rise_with_training(spark):
+    """The copies of a document lie in different sequences, and sequence ranges follow the order."""
+    rng = random.Random(8)
+    d = spark.createDataFrame([(k, prose(rng, rng.randrange(5, 60)), "en", f"s{k % 3}", 0) for k in range(300)], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)
+    mixed = stage["curriculum_mix"](spark, d, "")
+    assert mixed.columns == [*d.columns, corpus_pipeline.POSITION]
+    at = defaultdict(list)
+    for r in mixed.collect():
+        at[r.doc_id].append(r.train_at)
+    assert max(map(len, at.values())) == 2 and all(x[0] != x[-1] for x in at.values() if len(x) == 2)
+    # Rows come back from a table in any order.
+    found = stage["best_fit_packing"](spark, mixed.repartition(5), "").collect()
+    assert {i: sorted(r.train_at for r in found if r.doc_id == i and r.piece == 0) for i in at} == {i: sorted(x) for i, x in at.items()}
+    ranges, used = defaultdict(list), defaultdict(int)
+    for r in found:
+        ranges[r.sequence_id >> 40].append(r.train_at)
+        used[r.sequence_id] += r.length
+    assert len(ranges) > 8 and max(used.values()) <= packing.LENGTH
+    ordered = [ranges[k] for k in sorted(ranges)]
+    assert all(max(a) <= min(b) for a, b in zip(ordered[:-1], ordered[1:], strict=True))
+    assert max(Counter((r.doc_id, r.sequence_id) for r in found).values()) == 1
+
+
 def test_open_bins_are_best_fit_and_bounded():
     rng, length, most = random.Random(4), 100, 8
     bins, free, open_ = packing.OpenBins(length, most), {}, []
