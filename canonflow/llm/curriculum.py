@@ -6,8 +6,11 @@ demand D(t); a document that stands at cumulative word c of its source's stream
 the position where D(t) = c. Documents are then sorted by range on that position.
 
 A source's stream is its documents in hashed order, repeated while the target asks for more. A
-document is taken whole, so the last pass takes those that end within the rest of the target
-and then the one document that fills the gap best. Cumulative words come from two levels, sums
+document is taken whole, so the last pass takes those that end within the rest of the target.
+Behind a document that is longer than the gap it would fill, further rounds take from the rest of
+the stream the documents of half the gap at most that end within it; each round halves the gap or
+leaves no such document. Then the one document that fills the gap best is taken, after which no
+other fits. Cumulative words come from two levels, sums
 of hash ranges and running sums inside a range, so no task holds a whole source.
 
 Defined cases: a null text has size 0; a null source is a source and sorts last; a source of
@@ -66,6 +69,51 @@ def _position(words: Column, target: Column, slope: Column) -> Column:
     return F.when(u <= 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), 2 * u / (1 - slope + root)))
 
 
+def _late(rows: DataFrame) -> DataFrame:
+    """l_source, l_doc_id, l_h, l_size, l_words: what the last pass takes behind the first document
+    that doesn't fit, and the words at which each is trained. rows: the streams.
+
+    Rows that repeat a doc_id, size and source are taken together.
+    """
+    key = ["source", "range", "h", "doc_id", "size"]
+    gaps = rows.groupBy("source").agg((F.max("rest") - F.coalesce(F.max(F.when(F.col("within"), F.col("end"))), F.lit(0))).alias("gap"), F.max("target").alias("target"))
+    gaps = written(gaps, "gaps")
+    outside = rows.where(~F.col("within") & (F.col("passes") < CAP) & (F.col("size") > 0)).groupBy(*key).agg(F.sum("size").alias("total"))
+    outside = written(outside, "outside")
+
+    def to_fill(some: DataFrame) -> DataFrame:
+        named = gaps.select(F.col("source").alias("g_source"), "gap", "target")
+        return some.select(*key, "total").join(named, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+
+    def without(some: DataFrame, gone: DataFrame) -> DataFrame:
+        gone = gone.select(*[F.col(c).alias(f"x_{c}") for c in key])
+        return some.join(gone, [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key], "left_anti")
+
+    taken = None
+    small = written(to_fill(outside).where("2 * total <= gap"), "small")
+    while not small.isEmpty():
+        before = Window.partitionBy("r_source").orderBy("r_range").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = small.groupBy(F.col("source").alias("r_source"), F.col("range").alias("r_range")).agg(F.sum("total").alias("range_size"), F.max("gap").alias("range_gap"))
+        ranges = ranges.withColumn("range_from", F.coalesce(F.sum("range_size").over(before), F.lit(0))).where("range_from < range_gap").select("r_source", "r_range", "range_from")
+        inside = Window.partitionBy("source", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ahead = small.join(ranges, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("range") == F.col("r_range")))
+        ended = ahead.withColumn("end", F.col("range_from") + F.sum("total").over(inside)).where("end <= gap")
+        now = written(ended.select(*key, "total", (F.col("target") - F.col("gap") + F.col("end") - F.col("total") / 2).alias("words")), "late")
+        filled = now.groupBy(F.col("source").alias("n_source")).agg(F.sum("total").alias("filled"))
+        left = gaps.join(filled, F.col("source").eqNullSafe(F.col("n_source")), "left")
+        gaps = written(left.select("source", (F.col("gap") - F.coalesce("filled", F.lit(0))).alias("gap"), "target"), "gaps")
+        small = written(to_fill(without(small, now)).where("2 * total <= gap"), "small")
+        taken = now if taken is None else taken.union(now)
+    if taken is not None:
+        outside = without(outside, taken)
+    misses = F.abs(F.col("total") - F.col("gap"))
+    best = F.min(F.struct(misses.alias("misses"), "h", "doc_id", "range", "size", "total", "target")).alias("best")
+    fillers = to_fill(outside).where(misses < F.col("gap")).groupBy("source").agg(best)
+    fillers = fillers.select("source", *[f"best.{c}" for c in (*key[1:], "total")], F.col("best.target").alias("words"))
+    late = written(fillers if taken is None else fillers.union(taken), "late")
+    return late.select(*[F.col(c).alias(f"l_{c}") for c in ("source", "doc_id", "h", "size", "words")])
+
+
 def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, position (of the first copy) and
     last_position of every row."""
@@ -87,36 +135,32 @@ def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rows = ended.join(named, F.col("source").eqNullSafe(F.col("t_source"))).withColumn("passes", F.least(F.lit(CAP), passes))
     rows = rows.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).withColumn("within", F.col("end") <= F.col("rest"))
-    rows = written(rows.select("doc_id", "source", "size", "h", "source_size", "target", "slope", "passes", "rest", "within", "end"), "streams")
-    # The gap that the last pass leaves, and the document outside it that fills the gap best.
-    # The first document outside is longer than the gap, so its size bounds what can be lost.
-    gaps = rows.groupBy("source").agg((F.max("rest") - F.coalesce(F.max(F.when(F.col("within"), F.col("end"))), F.lit(0))).alias("gap"))
-    gaps = gaps.select(F.col("source").alias("g_source"), "gap")
-    outside = rows.where(~F.col("within") & (F.col("passes") < CAP)).join(gaps, F.col("source").eqNullSafe(F.col("g_source")))
-    misses = F.abs(F.col("size") - F.col("gap"))
-    filler = outside.where(misses < F.col("gap")).groupBy("source").agg(F.min(F.struct(misses.alias("misses"), "h", "doc_id")).alias("best"))
-    filler = filler.select(F.col("source").alias("f_source"), F.col("best.doc_id").alias("f_id"), F.col("best.h").alias("f_h"))
-    rows = rows.join(filler, F.col("source").eqNullSafe(F.col("f_source")), "left")
-    fills = ~F.col("within") & F.coalesce(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("h") == F.col("f_h")), F.lit(False))
+    rows = written(rows.select("doc_id", "source", "size", "h", "source_size", "target", "slope", "passes", "rest", "within", "end", "range"), "streams")
+    more = _late(rows)
+    same = [rows[c].eqNullSafe(more[f"l_{c}"]) for c in ("source", "doc_id", "h", "size")]
+    rows = rows.join(more, [*same, ~rows["within"], rows["passes"] < CAP], "left")
+    fills = F.col("l_words").isNotNull()
     copies = (F.col("passes") + F.col("within").cast("long") + fills.cast("long")).alias("copies")
     middle = F.col("end") - F.col("size") / 2
-    first = F.when(F.col("passes") + F.col("within").cast("long") > 0, middle).when(fills, F.col("target"))
-    last = F.when(F.col("within") | (F.col("passes") > 0), middle + F.col("source_size") * (F.col("passes") - 1 + F.col("within").cast("long"))).when(fills, F.col("target"))
+    final = middle + F.col("source_size") * (F.col("passes") - 1 + F.col("within").cast("long"))
+    first = F.when(F.col("passes") + F.col("within").cast("long") > 0, middle).when(fills, F.col("l_words"))
+    last = F.when(fills, F.col("l_words")).when(F.col("within") | (F.col("passes") > 0), final)
     at = lambda words: _position(words, F.greatest(F.col("target"), F.lit(1.0)), F.col("slope"))
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", copies, F.when(first.isNotNull(), at(first)).alias("position"), F.when(last.isNotNull(), at(last)).alias("last_position"), (middle).alias("middle"), "slope"
+        "doc_id", "source", "size", "source_size", "target", copies, F.when(first.isNotNull(), at(first)).alias("position"), F.when(last.isNotNull(), at(last)).alias("last_position"), (middle).alias("middle"), "slope", last.alias("last_words"),
     )
 
 
 def mix(docs: DataFrame, seed: int = 1, position: str | None = None) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, sorted by training position, which a
     column named `position` holds if asked for."""
-    key = plan(docs, seed).groupBy("doc_id", "source", "size").agg(*[F.max(c).alias(f"__m_{c}") for c in ("copies", "source_size", "target", "middle", "slope")])
+    key = plan(docs, seed).groupBy("doc_id", "source", "size").agg(*[F.max(c).alias(f"__m_{c}") for c in ("copies", "source_size", "target", "middle", "slope", "last_words")])
     key = key.where("__m_copies > 0").withColumnsRenamed({"doc_id": "__m_id", "source": "__m_source", "size": "__m_size"})
     size = F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long")
     same = docs["doc_id"].eqNullSafe(key["__m_id"]) & docs["source"].cast("string").eqNullSafe(key["__m_source"]) & (size == key["__m_size"])
     taken = docs.join(key, same).withColumn("__m_copy", F.explode(F.sequence(F.lit(0), (F.col("__m_copies") - 1).cast("int"))))
-    words = F.least(F.col("__m_target"), F.col("__m_middle") + F.col("__m_copy") * F.col("__m_source_size"))
+    words = F.when(F.col("__m_copy") == F.col("__m_copies") - 1, F.col("__m_last_words")).otherwise(F.col("__m_middle") + F.col("__m_copy") * F.col("__m_source_size"))
+    words = F.least(F.col("__m_target"), words)
     at = _position(words, F.greatest(F.col("__m_target"), F.lit(1.0)), F.col("__m_slope"))
     told = [F.col("__m_at").alias(position)] if position else []
     return taken.withColumn("__m_at", at).orderBy("__m_at", "doc_id", "__m_copy").select(*[docs[c] for c in docs.columns], *told)

@@ -494,6 +494,22 @@ def test_mix(docs, rows):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({r.doc_id: r.copies for r in found if r.copies})
 
 
+def test_long_documents_leave_no_gap_that_others_fit(spark):
+    rng = random.Random(10)
+    sizes = [4000, *(rng.randrange(1, 40) for _ in range(300))]
+    d = spark.createDataFrame([(k, "w " * n, "en", "s", 0) for k, n in enumerate(sizes)], SCHEMA)
+    for seed in (1, 2, 3):
+        found = curriculum.plan(d, seed).collect()
+        taken, target = sum(r["size"] * r.copies for r in found), found[0].target
+        assert not [r.doc_id for r in found if r.copies < 2 and r["size"] <= target - taken]
+        # The long one ends the last pass early, and the others stand behind it one after the other.
+        assert all(r.copies == 2 for r in found if r["size"] < 4000) or abs(target - taken) < 40
+        twice = [r.last_position for r in found if r.copies == 2 and r["size"] < 4000]
+        assert len(set(twice)) == len(twice)
+        mixed = Counter(r.doc_id for r in curriculum.mix(d, seed).collect())
+        assert mixed == Counter({r.doc_id: r.copies for r in found})
+
+
 def test_mix_is_the_same_again(docs):
     key = lambda r: (r.doc_id, r.copies, r.position or -1)
     assert sorted(map(key, curriculum.plan(docs).collect())) == sorted(map(key, curriculum.plan(docs.repartition(5)).collect()))
