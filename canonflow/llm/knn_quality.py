@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .words import Words, text_bytes, window_hashes
+from .words import Words, slices, window_hashes
 
 SAMPLE = 4000
 TRIGRAMS = 1984
@@ -36,6 +36,8 @@ DIMENSIONS = 64
 NEIGHBOURS = 25
 POWER = 8
 BLOCK = 256
+#: Bytes of text taken at once.
+BATCH_BYTES = 2 << 20
 #: Marks counted as symbols.
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>!{}=~^@_")] = True
@@ -130,19 +132,6 @@ def held_out(doc_id: str = "doc_id"):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1
 
 
-def _runs(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
-    at, held, some = 0, 0, []
-    for k in range(batch.num_rows):
-        x = text_bytes(batch.column(1).slice(k, 1))[0]
-        if some and (held + len(x) > size or len(some) == 1024):
-            yield at, k, some
-            at, held, some = k, 0, []
-        some.append(x)
-        held += len(x)
-    if some:
-        yield at, batch.num_rows, some
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from labelled rows outside the held-out fold."""
     marked = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -150,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in _runs(batch):
+            for a, b, texts in slices(batch, 1, BATCH_BYTES, 1024):
                 rows = [x.tobytes() for x in term_vectors(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(rows, pa.binary()), batch.column(2).slice(a, b - a)], ["doc_id", "terms", "quality"])
 
@@ -169,7 +158,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in _runs(batch):
+            for a, b, texts in slices(batch, 1, BATCH_BYTES, 1024):
                 found = shared.value.scores(term_vectors(texts))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found, pa.float64())], ["doc_id", "score"])
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, table, written
 from .components import components
-from .words import Words, mix64, text_bytes, window_hashes
+from .words import Words, mix64, slices, window_hashes
 
 WIDTH = 5
 PERCENT = 85
@@ -120,27 +120,13 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-def _slices(batch: pa.RecordBatch, size: int = BATCH_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
-    """The batch's rows in runs of at most `size` bytes of text (column 1), at least one row."""
-    at, held, some = 0, 0, []
-    for k in range(batch.num_rows):
-        x = text_bytes(batch.column(1).slice(k, 1))[0]
-        if some and held + len(x) > size:
-            yield at, k, some
-            at, held, some = k, 0, []
-        some.append(x)
-        held += len(x)
-    if some:
-        yield at, batch.num_rows, some
-
-
 def sketches(docs: DataFrame, fit: Fit) -> DataFrame:
     """doc_id, n_shingles, set_key (null if empty), bands, sig."""
     count = fit.bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in _slices(batch):
+            for a, b, texts in slices(batch, 1, BATCH_BYTES):
                 sets = shingle_sets(texts)
                 sig = signatures(sets, count * ROWS)
                 keys = band_keys(sig, count, ROWS).view(np.int64)
@@ -164,7 +150,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in _slices(batch):
+            for a, b, texts in slices(batch, 1, BATCH_BYTES):
                 sets = shingle_sets(texts)
                 right = [k for k, s in enumerate(sets) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == batch.column(2)[a + k].as_py()]
                 yield pa.RecordBatch.from_arrays(

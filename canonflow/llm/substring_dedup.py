@@ -1,129 +1,114 @@
 """Substring deduplication: words in 20-word windows that already started earlier are removed.
 
-1. Documents are gathered into blocks of about `BLOCK_BYTES` of text, one row each, and written
-   once as a table bucketed by block.
-2. A task hashes every window of a block (Rabin-Karp sums modulo 2**64, and 16 bits of a second
-   polynomial), keeps each hash's first window in the block, and sends the hashes to buckets by
-   their top bits: one row of packed arrays per block and bucket, not a row per window.
-3. A task per bucket finds, for hashes that several blocks hold, the window that starts first
-   (smallest doc_id), and answers each block with one bit per window it sent.
-4. Blocks meet their answers where they lie. Their windows are hashed again, repeated windows
-   merge into maximal intervals of words, and what is left of each text is joined.
-
-A common passage is one window per block in its bucket, however often it occurs. Buckets and
-blocks are sized by bytes, so a task's memory doesn't grow with the corpus. Windows are told
-apart by 80 bits: among n windows, n**2 / 2**81 pairs are expected to be mistaken for equal
-(1e-8 for the largest test table, 40 for ten trillion windows).
-
-Defined cases: a null text has no words and an empty kept_text; repeated rows are documents of
-their own, of which the one in the block with the smaller number counts as earlier; a null
-doc_id sorts below all others; texts shorter than a window are kept; other columns are not read;
-an empty table gives no rows.
+Every window of a document has a Rabin-Karp hash (sums modulo 2**64, and 16 bits of a second
+polynomial), and a core: the least hash among the runs of `core_width` words in it. Equal windows
+have equal cores, and neighbouring windows mostly share theirs, so there are six times fewer cores
+than windows. Spark counts in two steps, and texts are shuffled once, by doc_id:
+
+1. Documents' distinct cores are counted; those of one document alone can't be in a repeated
+   window. A join tells every document which of its cores others have too.
+2. Windows around those cores go out by hash, a row each, and an aggregation finds the smallest
+   doc_id that has each. That document is told that it keeps the window.
+3. A document's windows around shared cores that it doesn't keep, and those that started before
+   in itself, are repeated. They merge into maximal intervals of words, and the rest of the text
+   is joined.
+
+Both aggregations combine before they shuffle, so a passage in every document is a row a task.
+Cores are compared by as many bits as keep chance meetings rare: they only cost work, as windows
+are told apart by 80 bits. Among n windows around shared cores, n**2 / 2**81 pairs are expected to
+be mistaken for equal (4e-10 for the largest test table, 4 for ten trillion windows).
+
+Defined cases: a null text has no words and an empty kept_text; texts shorter than a window are
+kept; a null doc_id sorts below all others; rows that repeat a doc_id are documents of their own,
+neither of which is earlier, so they don't remove each other's windows, and equal rows get equal
+results; other columns are not read; an empty table gives no rows. A text is held whole by the
+task that cuts it, with about 15 bytes for each of its bytes; `BATCH_BYTES` bounds how many
+shorter ones are held at once.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, scratch, table, text_or_empty
-from .words import OTHER_BASE, WORD_BASE, Words, window_hashes
+from .common import table, text_or_empty, written
+from .words import OTHER_BASE, Words, mix64, slices, window_hashes
 
 WIDTH = 20
-BLOCK_BYTES = 3 << 20
-WINDOWS_PER_BUCKET = 1_000_000
+BATCH_BYTES = 3 << 20
 #: Below all document numbers; stands for a null doc_id.
 _NONE = np.iinfo(np.int64).min
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs."""
-    kind = np.min_scalar_type(values.max())
-    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+def core_width(width: int) -> int:
+    return max(1, 2 * width // 5)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.uint64)
+def core_bits(size: int) -> int:
+    """Bits of a core's key, for texts of `size` bytes: one pair in 128 or fewer meets by chance."""
+    return min(63, max(16, (size // 32).bit_length() + 7))
 
 
-def _packed_ids(ids: np.ndarray) -> bytes:
-    """Sorted document numbers as steps; they wrap around as unsigned numbers do."""
-    ids = ids.view(np.uint64)
-    return ids[:1].tobytes() + _packed(np.concatenate([np.zeros(1, np.uint64), ids[1:] - ids[:-1]]))
+def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    span, low = 1, x
+    while 2 * span <= width:
+        low, span = np.minimum(low[:-span], low[span:]), 2 * span
+    n = len(x) - width + 1
+    return np.minimum(low[:n], low[width - span : width - span + n])
 
 
-def _unpacked_ids(data: bytes) -> np.ndarray:
-    steps = _unpacked(data[8:])
-    steps[0] = np.frombuffer(data[:8], np.uint64)[0]
-    return np.cumsum(steps, dtype=np.uint64).view(np.int64)
+class Windows:
+    """The windows of some texts: place of the first word, row, hash, tag, and key of the core."""
 
-
-def _blocks(docs: DataFrame, size: int) -> DataFrame:
-    """block, doc_ids, texts: runs of a partition's rows, sorted by doc_id within the block."""
-    kind = pa.schema([("block", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some: list[tuple] = []
-        held = 0
-
-        def made() -> pa.RecordBatch:
-            some.sort(key=lambda r: _NONE if r[0] is None else r[0])
-            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([[r[0] for r in some]], kind.field(1).type), pa.array([[r[1] for r in some]], kind.field(2).type)], schema=kind)
-
-        for batch in batches:
-            for row in range(batch.num_rows):
-                text = batch.column(1)[row].as_py()
-                if some and held + len(text) > size:
-                    yield made()
-                    some, held = [], 0
-                some.append((batch.column(0)[row].as_py(), text))
-                held += len(text)
-        if some:
-            yield made()
-
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, "block string, doc_ids array<long>, texts array<string>")
-
-
-class Block:
-    """A block's words and windows, and those windows that it sends to each bucket."""
-
-    def __init__(self, texts: list[str], width: int):
-        self.texts, self.width = texts, width
-        self.words = Words([x.encode() for x in texts])
-        hashes = self.words.hashes()
-        first, n = self.words.first, np.diff(self.words.first)
-        starts = window_hashes(hashes, width)
+    def __init__(self, texts: list[bytes], width: int, bits: int):
+        self.width, self.words = width, Words(texts)
+        hashes, first = self.words.hashes(), self.words.first
+        n = np.diff(first)
+        count = max(0, len(hashes) - width + 1)
         # windows that lie in one text: all that start early enough before its end
-        inside = np.ones(len(starts), bool)
-        last = np.repeat(first[1:], n)[: len(starts)]
-        inside &= np.arange(len(starts)) + width <= last
-        self.at = np.flatnonzero(inside)
-        self.hash = starts[self.at]
-        self.tag = (window_hashes(hashes, width, OTHER_BASE)[self.at] >> np.uint64(48)).astype(np.uint16)
-        self.doc = np.searchsorted(first, self.at, side="right") - 1
-        order = np.lexsort((self.at, self.tag, self.hash))
-        h, t = self.hash[order], self.tag[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-        self.is_first = np.zeros(len(order), bool)
-        self.is_first[order[new]] = True  # lexsort is stable: the first of equals is the earliest
-
-    def sent(self, buckets: int) -> list[tuple[int, np.ndarray]]:
-        """The buckets that get windows of this block, and those windows in order of start."""
-        mine = np.flatnonzero(self.is_first)
-        if not len(mine):
-            return []
-        to = ((self.hash[mine] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        dealt = to[order]
-        cuts = np.concatenate([[0], np.flatnonzero(dealt[1:] != dealt[:-1]) + 1, [len(dealt)]])
-        return [(int(dealt[a]), mine[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        self.at = np.flatnonzero(np.arange(count) + width <= np.repeat(first[1:], n)[:count])
+        self.row = np.repeat(np.arange(len(texts)), n)[self.at]
+        self.cuts = np.searchsorted(self.row, np.arange(len(texts) + 1))
+        self.hash = window_hashes(hashes, width)[self.at].view(np.int64)
+        self.tag = (window_hashes(hashes, width, OTHER_BASE)[self.at] >> np.uint64(48)).astype(np.int32)
+        if len(self.at):
+            inner = core_width(width)
+            least = _sliding_min(window_hashes(hashes, inner), width - inner + 1)[self.at]
+            self.core = (mix64(least) >> np.uint64(64 - bits)).view(np.int64)
+        else:
+            self.core = np.empty(0, np.int64)
+
+    def cores(self) -> tuple[np.ndarray, np.ndarray]:
+        """row, core: the distinct cores of each row."""
+        new = np.ones(len(self.at), bool)
+        new[1:] = (self.core[1:] != self.core[:-1]) | (self.row[1:] != self.row[:-1])
+        row, core = self.row[new], self.core[new]
+        order = np.lexsort((core, row))
+        row, core = row[order], core[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (core[1:] != core[:-1]) | (row[1:] != row[:-1])
+        return row[new], core[new]
+
+    def among(self, values: np.ndarray, lists: list) -> np.ndarray:
+        """Whether each window's value is in its row's list, which may be null."""
+        out = np.zeros(len(self.at), bool)
+        for k, some in enumerate(lists):
+            a, b = self.cuts[k], self.cuts[k + 1]
+            if a < b and some is not None and len(some):
+                out[a:b] = np.isin(values[a:b], some)
+        return out
+
+    def again(self) -> np.ndarray:
+        """Windows that started before in the same row."""
+        order = np.lexsort((self.hash, self.row))  # stable: equal ones stay in order of start
+        h, r = self.hash[order], self.row[order]
+        out = np.zeros(len(order), bool)
+        out[order[1:]] = (h[1:] == h[:-1]) & (r[1:] == r[:-1])
+        return out
 
     def removed(self, repeated: np.ndarray) -> np.ndarray:
         """Which words the repeated windows cover."""
@@ -133,7 +118,7 @@ class Block:
         return np.cumsum(step[:-1]) > 0
 
     def results(self, gone: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int]], str]]:
-        """n_words, n_removed, spans of removed words, kept text of every document."""
+        """n_words, n_removed, spans of removed words, kept text of every row."""
         w, buf = self.words, self.words.buf.copy()
         buf[w.end] = 32  # the byte after a word, always a space of some kind
         step = np.zeros(len(buf) + 1, np.int8)
@@ -151,89 +136,74 @@ class Block:
             yield int(b - a), n, spans, text[length[a] : max(length[a], length[b] - 1)].decode()
 
 
-def _sent(blocks: DataFrame, buckets: int, width: int) -> DataFrame:
-    """bucket, block, hashes, tags, docs (doc_id of each window, run by run), runs."""
+def _lists(batch: pa.RecordBatch, column: int, a: int, b: int) -> list:
+    """Rows a to b of a column of lists as arrays, or None where null."""
+    return [batch.column(column)[k].values.to_numpy() if batch.column(column)[k].is_valid else None for k in range(a, b)]
+
+
+def _cores(docs: DataFrame, width: int, bits: int) -> DataFrame:
+    """core, doc: the distinct cores of each row of doc, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                b = Block(batch.column(2)[row].as_py(), width)
-                ids = np.array([_NONE if x is None else x for x in batch.column(1)[row].as_py()], np.int64)
-                out: list[tuple] = []
-                for bucket, mine in b.sent(buckets):
-                    docs, runs = np.unique(b.doc[mine], return_counts=True)
-                    out.append((bucket, b.hash[mine].tobytes(), b.tag[mine].tobytes(), _packed_ids(ids[docs]), _packed(runs)))
-                if out:
-                    cols = list(zip(*out, strict=True))
-                    block = pa.array([batch.column(0)[row].as_py()] * len(out))
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), block, *(pa.array(x, pa.binary()) for x in cols[1:])], ["bucket", "block", "hashes", "tags", "docs", "runs"])
-
-    return blocks.select("block", "doc_ids", "texts").mapInArrow(run, "bucket int, block string, hashes binary, tags binary, docs binary, runs binary")
-
-
-def _answered(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """A bit per window sent: whether the same words start earlier in another block."""
-    hashes = [np.frombuffer(x, np.uint64) for x in rows["hashes"]]
-    sizes = np.array([len(x) for x in hashes])
-    h = np.concatenate(hashes)
-    order = np.argsort(h)
-    s = h[order]
-    twin = np.zeros(len(s), bool)
-    twin[1:] = s[1:] == s[:-1]
-    twin[:-1] |= twin[1:]
-    some = order[twin]  # windows whose hash another block sent too
-    tags = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["tags"]])[some]
-    docs = np.concatenate([np.repeat(_unpacked_ids(d), _unpacked(r).astype(np.int64)) for d, r in zip(rows["docs"], rows["runs"], strict=True)])[some]
-    rank = np.argsort(np.argsort(rows["block"].to_numpy(dtype=str)))
-    block = np.repeat(rank, sizes)[some]
-    sort = np.lexsort((block, docs, tags, h[some]))
-    hs, ts = h[some][sort], tags[sort]
-    later = np.zeros(len(sort), bool)
-    later[1:] = (hs[1:] == hs[:-1]) & (ts[1:] == ts[:-1])
-    bits = np.zeros(len(h), bool)
-    bits[some[sort[later]]] = True
-    ends = np.cumsum(sizes)
-    masks = [np.packbits(bits[e - n : e]).tobytes() for e, n in zip(ends, sizes, strict=True)]
-    return pd.DataFrame({"block": rows["block"], "bucket": np.int32(key[0]), "mask": masks})
-
-
-def _applied(found: DataFrame, buckets: int, width: int) -> DataFrame:
+            ids = batch.column(0).to_numpy()
+            for a, _b, texts in slices(batch, 1, BATCH_BYTES):
+                row, core = Windows(texts, width, bits).cores()
+                yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(ids[a + row])], ["core", "doc"])
+
+    return docs.select("doc", "text").mapInArrow(run, "core long, doc long")
+
+
+def _around(told: DataFrame, width: int, bits: int) -> DataFrame:
+    """hash, tag, doc: the windows around shared cores. told: doc, text, cores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for a, b, texts in slices(batch, 1, BATCH_BYTES):
+                w = Windows(texts, width, bits)
+                mine = w.among(w.core, _lists(batch, 2, a, b))
+                yield pa.RecordBatch.from_arrays([pa.array(w.hash[mine]), pa.array(w.tag[mine]), pa.array(ids[a + w.row[mine]])], ["hash", "tag", "doc"])
+
+    return told.select("doc", "text", "cores").mapInArrow(run, "hash long, tag int, doc long")
+
+
+def _cut(told: DataFrame, width: int, bits: int) -> DataFrame:
+    """The results. told: doc, text, cores, keeps (hashes of the windows that the document keeps)."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string()]
     names = ["doc_id", "n_words", "n_removed", "spans", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                b = Block(batch.column(1)[row].as_py(), width)
-                repeated = ~b.is_first
-                masks = {m["bucket"]: m["mask"] for m in batch.column(2)[row].as_py() or []}
-                for bucket, mine in b.sent(buckets):
-                    if bucket not in masks:
-                        raise RuntimeError("a block's windows got no answer")
-                    repeated[mine] = np.unpackbits(np.frombuffer(masks[bucket], np.uint8), count=len(mine)).view(bool)
-                rows = list(b.results(b.removed(repeated)))
-                cols = [batch.column(0)[row].as_py(), *zip(*rows, strict=True)]
+            ids = [None if x == _NONE else x for x in batch.column(0).to_pylist()]
+            for a, b, texts in slices(batch, 1, BATCH_BYTES):
+                w = Windows(texts, width, bits)
+                shared = w.among(w.core, _lists(batch, 2, a, b))
+                kept = w.among(w.hash, _lists(batch, 3, a, b))
+                rows = list(w.results(w.removed(w.again() | (shared & ~kept))))
+                cols = [ids[a:b], *zip(*rows, strict=True)]
                 cols[3] = [[{"start": x, "end": y} for x, y in spans] for spans in cols[3]]
-                for at in range(0, len(rows), 512):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 512], k) for c, k in zip(cols, kinds, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"
-    return found.select("doc_ids", "texts", "answers").mapInArrow(run, schema)
+    return told.select("doc", "text", "cores", "keeps").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, per_bucket: int = WINDOWS_PER_BUCKET) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, spans (of removed words), kept_text of every row of `docs`."""
-    spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_or_empty())), F.lit(0))).first()[0]
-    # A word and the space after it take four bytes at least in most languages.
-    buckets = max(8, -(-size // (4 * per_bucket)))
-    parts = max(partitions(spark), -(-size // (4 * block_bytes)))
-    name = f"blocks_{uuid.uuid4().hex}"
-    _blocks(docs, block_bytes).write.bucketBy(int(parts), "block").option("path", scratch(spark, "blocks")).saveAsTable(name)
-    blocks = spark.table(name)
-    answers = _sent(blocks, int(buckets), width).groupBy("bucket").applyInPandas(_answered, "block string, bucket int, mask binary")
-    answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "mask")).alias("answers"))  # a bit per word of a block
-    return _applied(blocks.join(answers.hint("shuffle_hash"), "block", "left"), int(buckets), width)
+    bits = core_bits(size)
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), text_or_empty().alias("text"))
+    cores = _cores(texts, width, bits)
+    # Written, so that the join has a plain exchange on either side: Spark can then split the rows
+    # of a core that most documents have.
+    shared = written(cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
+    mine = cores.join(shared, "core").groupBy("doc").agg(F.collect_list("core").alias("cores"))  # fewer than its words
+    # The same join twice, with one exchange of the texts.
+    told = texts.join(mine, "doc", "left")
+    first = _around(told, width, bits).groupBy("hash", "tag").agg(F.min("doc").alias("doc"))
+    keeps = first.groupBy("doc").agg(F.collect_list("hash").alias("keeps"))
+    return _cut(told.join(keeps, "doc", "left"), width, bits)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

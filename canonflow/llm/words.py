@@ -7,7 +7,10 @@ is the difference of two prefix sums, divided by a power), mixed to spread their
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 
 #: Bytes whose words are hashed at once; memory for powers and sums is a few times this.
 SEGMENT = 1 << 20
@@ -87,6 +90,15 @@ def window_hashes(words: np.ndarray, width: int, base: int = WORD_BASE) -> np.nd
     return mix64((sums[width:] - sums[:-width]) * down[: n - width + 1])
 
 
-def text_bytes(column) -> list[bytes]:
-    """An Arrow column of strings as UTF-8; nulls as empty."""
-    return [b"" if x is None else x.encode() for x in column.to_pylist()]
+def slices(batch: pa.RecordBatch, column: int, size: int, most: int = 1 << 30) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The batch's rows in runs of at most `size` bytes of text and `most` rows, one row at least."""
+    at, held, some = 0, 0, []
+    for k, x in enumerate(batch.column(column)):
+        data = b"" if not x.is_valid else x.as_py().encode()
+        if some and (held + len(data) > size or len(some) == most):
+            yield at, k, some
+            at, held, some = k, 0, []
+        some.append(data)
+        held += len(data)
+    if some:
+        yield at, batch.num_rows, some

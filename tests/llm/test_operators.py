@@ -76,15 +76,42 @@ def brute_repeats(rows, width):
     return out
 
 
-@pytest.mark.parametrize("block", [300, 1 << 20])
-def test_substrings(docs, rows, block):
-    found = collected(substring_dedup.remove_repeats(docs, 20, block_bytes=block, per_bucket=500))
+@pytest.mark.parametrize("held", [300, 1 << 20])
+def test_substrings(docs, rows, held, monkeypatch):
+    """Texts shorter and longer than a slice."""
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", held)
+    found = collected(substring_dedup.remove_repeats(docs, 20))
     assert {i: (r.n_words, r.n_removed, r.kept_text) for i, r in found.items()} == brute_repeats(rows, 20)
     for i, r in found.items():
         assert sum(s.end - s.start for s in r.spans) == r.n_removed
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:], strict=False)), i
 
 
+@pytest.mark.parametrize("width", [1, 2, 7])
+def test_substrings_of_other_widths(docs, rows, width):
+    found = collected(substring_dedup.remove_repeats(docs, width))
+    assert {i: (r.n_words, r.n_removed, r.kept_text) for i, r in found.items()} == brute_repeats(rows, width)
+
+
+def test_cores_that_meet_by_chance_change_nothing(docs, rows, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "core_bits", lambda size: 3)
+    found = collected(substring_dedup.remove_repeats(docs, 20))
+    assert {i: (r.n_words, r.n_removed, r.kept_text) for i, r in found.items()} == brute_repeats(rows, 20)
+
+
+def test_substrings_of_repeated_ids(spark):
+    """Rows with one doc_id don't remove each other's windows, whatever tasks they lie in."""
+    rng = random.Random(14)
+    same, own = prose(rng, 40), [prose(rng, 30) for _ in range(6)]
+    rows = [(5, f"{own[k]} {same}", "en", "s", 0) for k in range(6)] + [(5, f"{own[0]} {same}", "en", "s", 0), (9, same, "en", "s", 0), (None, own[1], "en", "s", 0)]
+    runs = []
+    for parts in (1, 2, 3, 9):
+        found = substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+        runs.append(Counter((r.doc_id, r.n_words, r.n_removed) for r in found))
+    assert runs[0] == Counter({(5, 70, 0): 6, (5, 70, 30): 1, (9, 40, 40): 1, (None, 30, 0): 1})
+    assert all(r == runs[0] for r in runs)
+
+
 def test_substrings_of_nothing(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
