@@ -30,3 +30,10 @@ def partitions(spark: SparkSession) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def free(columns: list[str], name: str) -> str:
+    """`name`, with underscores added until no column's name begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name

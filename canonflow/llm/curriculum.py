@@ -14,8 +14,11 @@ other fits. Cumulative words come from two levels, sums
 of hash ranges and running sums inside a range, so no task holds a whole source.
 
 Defined cases: a null text has size 0; a null source is a source and sorts last; a source of
-size 0 has target 0; identical rows are interchangeable; rows that repeat a doc_id, size and
-source share one plan; other columns pass through `mix`; an empty table gives no rows.
+size 0 has target 0; rows that repeat a doc_id, text and source are interchangeable: the plan has a
+row for each, and `mix` deals these rows to them one by one, in the order of the other columns; other
+columns, whatever their names, pass through `mix`; an empty table gives no rows. Very long texts
+are only counted and hashed, in the JVM; one that is longer than the rest of its source's target is
+left out of the last pass, which goes on behind it.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, table, text_or_empty, written
+from .common import WORD_SQL, free, table, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's density of words rises or falls along the training time by this much.
@@ -114,11 +117,15 @@ def _late(rows: DataFrame) -> DataFrame:
     return late.select(*[F.col(c).alias(f"l_{c}") for c in ("source", "doc_id", "h", "size", "words")])
 
 
+def _hashed(seed: int) -> Column:
+    return F.xxhash64("doc_id", text_or_empty(), F.lit(seed))
+
+
 def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, position (of the first copy) and
-    last_position of every row."""
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long").alias("size"))
-    sized = written(sized.withColumn("h", F.xxhash64("doc_id", "size", F.lit(seed))), "sized")
+    last_position of every row, and what `mix` needs besides."""
+    size = F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long").alias("size")
+    sized = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), size, _hashed(seed).alias("h")), "sized")
     targets = written(source_targets(sized), "targets")
     # As many hash ranges as the largest source needs; one number comes to the driver.
     ranges = max(LEAST_RANGES, -(-(targets.agg(F.max("n_rows")).first()[0] or 0) // ROWS_PER_RANGE))
@@ -147,26 +154,60 @@ def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
     last = F.when(fills, F.col("l_words")).when(F.col("within") | (F.col("passes") > 0), final)
     at = lambda words: _position(words, F.greatest(F.col("target"), F.lit(1.0)), F.col("slope"))
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", copies, F.when(first.isNotNull(), at(first)).alias("position"), F.when(last.isNotNull(), at(last)).alias("last_position"), (middle).alias("middle"), "slope", last.alias("last_words"),
-    )
+        "doc_id", "source", "size", "source_size", "target", copies, F.when(first.isNotNull(), at(first)).alias("position"), F.when(last.isNotNull(), at(last)).alias("last_position"),
+        middle.alias("middle"), "slope", last.alias("last_words"), "h", "end",
+    )
+
+
+#: What a row and its plan have in common, and what `mix` takes from the plan.
+KEY = ["doc_id", "source", "h"]
+_TAKEN = ["copies", "source_size", "target", "middle", "slope", "last_words"]
+
+
+def _matched(docs: DataFrame, planned: DataFrame, seed: int, m: str) -> DataFrame:
+    """`docs` with a struct `m` of the plan, each plan given to one row."""
+    own = {"doc_id": F.col("doc_id"), "source": F.col("source").cast("string"), "h": _hashed(seed)}
+
+    def same(others: list[str]):
+        test = F.lit(True)
+        for k in KEY:
+            test = test & own[k].eqNullSafe(F.col(f"{m}_{k}"))
+        for k in others:
+            test = test & (F.col(k) == F.col(f"{m}{k}"))
+        return test
+
+    named = [F.col(k).alias(f"{m}_{k}") for k in KEY]
+    keys = planned.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in _TAKEN])
+    once = keys.where("n = 1 and copies > 0").select(*named, F.struct(*_TAKEN).alias(m))
+    out = docs.join(once, same([])).select(*[F.col(f"`{c}`") for c in docs.columns], m)
+    again = written(keys.where("n > 1").select(*named), "again")
+    if again.isEmpty():
+        return out
+    # Rows that repeat are numbered on either side.
+    no = f"{m}_no"
+    mine = Window.partitionBy(*[f"{m}_{k}" for k in KEY]).orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    rows = docs.join(again, same([])).withColumn(no, F.row_number().over(mine))
+    theirs = planned.withColumn("no", F.row_number().over(Window.partitionBy(*KEY).orderBy("end"))).where("copies > 0")
+    theirs = theirs.select(*named, F.col("no").alias(f"{m}{no}"), F.struct(*_TAKEN).alias(m))
+    rows = rows.drop(*[f"{m}_{k}" for k in KEY]).join(theirs, same([no]))
+    return out.union(rows.select(*[F.col(f"`{c}`") for c in docs.columns], m))
 
 
 def mix(docs: DataFrame, seed: int = 1, position: str | None = None) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, sorted by training position, which a
-    column named `position` holds if asked for."""
-    key = plan(docs, seed).groupBy("doc_id", "source", "size").agg(*[F.max(c).alias(f"__m_{c}") for c in ("copies", "source_size", "target", "middle", "slope", "last_words")])
-    key = key.where("__m_copies > 0").withColumnsRenamed({"doc_id": "__m_id", "source": "__m_source", "size": "__m_size"})
-    size = F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long")
-    same = docs["doc_id"].eqNullSafe(key["__m_id"]) & docs["source"].cast("string").eqNullSafe(key["__m_source"]) & (size == key["__m_size"])
-    taken = docs.join(key, same).withColumn("__m_copy", F.explode(F.sequence(F.lit(0), (F.col("__m_copies") - 1).cast("int"))))
-    words = F.when(F.col("__m_copy") == F.col("__m_copies") - 1, F.col("__m_last_words")).otherwise(F.col("__m_middle") + F.col("__m_copy") * F.col("__m_source_size"))
-    words = F.least(F.col("__m_target"), words)
-    at = _position(words, F.greatest(F.col("__m_target"), F.lit(1.0)), F.col("__m_slope"))
-    told = [F.col("__m_at").alias(position)] if position else []
-    return taken.withColumn("__m_at", at).orderBy("__m_at", "doc_id", "__m_copy").select(*[docs[c] for c in docs.columns], *told)
+    column named `position` holds if asked for (in place of one that `docs` may have)."""
+    m = free(docs.columns, "__m")
+    copy, place, p = f"{m}_copy", f"{m}_at", lambda c: F.col(m)[c]
+    taken = _matched(docs, written(plan(docs, seed), "plan"), seed, m)
+    taken = taken.withColumn(copy, F.explode(F.sequence(F.lit(0), (p("copies") - 1).cast("int"))))
+    words = F.when(F.col(copy) == p("copies") - 1, p("last_words")).otherwise(p("middle") + F.col(copy) * p("source_size"))
+    at = _position(F.least(p("target"), words), F.greatest(p("target"), F.lit(1.0)), p("slope"))
+    told = [F.col(place).alias(position)] if position else []
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != (position or "").lower() or not position]
+    return taken.withColumn(place, at).orderBy(place, "doc_id", copy).select(*own, *told)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     rows = plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return rows.select("doc_id", "size", "source_size", "target", taken, "position", "source").orderBy("position", "doc_id")
+    return rows.select("doc_id", "size", "source_size", "target", taken, "copies", "position", "last_position", "source").orderBy("position", "doc_id")

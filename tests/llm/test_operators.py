@@ -605,3 +605,31 @@ def test_repeated_rows_and_null_ids(spark):
     curriculum.mix(d).collect()
     exact_dedup.dedup(d).collect()
     minhash.near_dedup(d).collect()
+
+
+def test_mix_of_equal_rows(spark):
+    """Of six equal rows, the plan takes three twice and three once; so does the mix."""
+    rows = [(1, "w " * 100, "en", "s", k) for k in range(6)]
+    d = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = curriculum.plan(d).collect()
+    assert sorted(r.copies for r in found) == [1, 1, 1, 2, 2, 2] and sum(r["size"] * r.copies for r in found) == 900
+    mixed = Counter(r.n_chars for r in curriculum.mix(d).collect())
+    assert sorted(mixed.values()) == [1, 1, 1, 2, 2, 2]
+    assert mixed == Counter(r.n_chars for r in curriculum.mix(d.repartition(2)).collect())
+    more = [(k, prose(random.Random(k), 50), "en", None, 0) for k in range(40)] + rows + [(None, None, None, None, None)] * 3
+    d = spark.createDataFrame(more, SCHEMA)
+    taken = sum(r["size"] * r.copies for r in curriculum.plan(d).collect())
+    assert sum(len(words(r.text)) for r in curriculum.mix(d).collect()) == taken
+
+
+def clashing(docs, names):
+    return docs.withColumns({c: F.lit(f"own {c}") for c in names})
+
+
+def test_mix_keeps_clashing_columns(docs):
+    names = ["__m", "__m_copies", "__m_target", "__m__", "copies", "copy", "position", "h", "no", "__m_no", "a.b"]
+    found = curriculum.mix(clashing(docs, names), position="train_at")
+    assert found.columns == [*clashing(docs, names).columns, "train_at"]
+    rows = found.collect()
+    assert all(r[c] == f"own {c}" for r in rows for c in names)
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in curriculum.mix(docs).collect())
