@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..scratch import scratch
 
-#: A word is a run of characters other than these six.
-WHITESPACE = " \t\n\x0b\x0c\r"
+#: Words are runs of characters other than six kinds of space.
 WORD_SQL = r"[^\x20\x09-\x0D]+"
+SPACE_SQL = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -203,7 +203,7 @@ def mix(docs: DataFrame, seed: int = 1, position: str | None = None) -> DataFram
     words = F.when(F.col(copy) == p("copies") - 1, p("last_words")).otherwise(p("middle") + F.col(copy) * p("source_size"))
     at = _position(F.least(p("target"), words), F.greatest(p("target"), F.lit(1.0)), p("slope"))
     told = [F.col(place).alias(position)] if position else []
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != (position or "").lower() or not position]
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != (position or "").lower()]
     return taken.withColumn(place, at).orderBy(place, "doc_id", copy).select(*own, *told)
 
 

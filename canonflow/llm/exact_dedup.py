@@ -1,15 +1,20 @@
 """Exact deduplication with composable polynomial fingerprints.
 
 A text's UTF-8 bytes are cut into fixed chunks. Each chunk hashes to sum(b[i] * B**(n-1-i))
-modulo two 31-bit primes, and the chunks' hashes combine by H(xy) = H(x) * B**len(y) + H(y), so
-chunks of a huge text can be hashed one after another or in parallel with one result. Equal
-fingerprints only nominate: members of a group are compared chunk by chunk with the group's
-representative, as rows of a join, so no task holds two whole texts or a whole group. Members
-that differ from their representative form groups of their own, until none differs.
+modulo two 31-bit primes, and the chunks' hashes combine by H(xy) = H(x) * B**len(y) + H(y). A
+text of up to `HUGE` bytes is hashed by the task that reads it, chunk after chunk. The chunks of a
+longer one become rows, which many tasks hash at once; each is shifted by the length behind it, and
+Spark sums them up: the result is the same.
+
+Equal fingerprints only nominate: members of a group are compared chunk by chunk with the group's
+representative, as rows of a join, so no task holds two whole texts or a whole group. Huge texts
+are cut before that join's shuffle. Members that differ from their representative form groups of
+their own, until none differs.
 
 Defined cases: a null text counts as empty; empty texts are equal; a null doc_id sorts below all
 others; rows that repeat the staying doc_id with the same text count as that row and stay with
-it; other columns, whatever their names, pass through `dedup`; an empty table gives no rows.
+it; other columns, whatever their names, pass through `dedup`; an empty table gives no rows. A very
+long text is held whole only by the task that reads it.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty, written
+from .common import partitions, table, text_or_empty, written
 
 #: Two Mersenne-size primes below 2**31 and a base for each.
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 CHUNK = 1 << 16
+#: Bytes above which a text's chunks are hashed as rows.
+HUGE = 4 << 20
 SALT_ROWS = 256
 
 
@@ -61,26 +68,78 @@ class Fingerprint:
         return (out[0] & self.mask) << 31 | (out[1] & self.mask)
 
 
-def fingerprints(docs: DataFrame, bits: int = 31) -> DataFrame:
-    """doc_id, fp, n_bytes, text_sha256 of every row, in one pass without a shuffle."""
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
+
+
+def fingerprints(docs: DataFrame, bits: int = 31, chunk: int = CHUNK, huge: int = HUGE) -> DataFrame:
+    """doc_id, fp, n_bytes, text_sha256 of every row. Texts of up to `huge` bytes need one pass
+    without a shuffle; of longer ones, only chunks are shuffled."""
+    names = ["doc_id", "fp", "n_bytes", "text_sha256", "no", "piece"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Fingerprint(bits=bits)
+        made = Fingerprint(chunk, bits)
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts, long, small = batch.column(1).cast(pa.large_binary()), [], []
             fp, size, sha = [], [], []
-            for x in texts:
+            for row, x in enumerate(texts):
                 data = x.as_py()
+                if len(data) > huge:
+                    long.append(row)
+                    continue
+                small.append(row)
                 fp.append(made.of(data))
                 size.append(len(data))
                 sha.append(hashlib.sha256(data).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), pa.array(sha, pa.string())],
-                ["doc_id", "fp", "n_bytes", "text_sha256"],
-            )
+            none = [None] * len(small)
+            ids = batch.column(0).take(pa.array(small, pa.int32()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, k) for x, k in zip((fp, size, sha, none, none), kinds, strict=True))], names)
+            for row in long:
+                data = texts[row].as_py()
+                digest = hashlib.sha256(data).hexdigest()
+                for at in range(0, len(data), chunk * 64):
+                    cut = [data[k : k + chunk] for k in range(at, min(at + chunk * 64, len(data)), chunk)]
+                    n, no = len(cut), list(range(at // chunk, at // chunk + len(cut)))
+                    ids = batch.column(0).take(pa.array([row] * n, pa.int32()))
+                    cols = ([None] * n, [len(data)] * n, [digest] * n, no, cut)
+                    yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, k) for x, k in zip(cols, kinds, strict=True))], names)
+
+    kind = _kind(docs)
+    found = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, n_bytes long, text_sha256 string, no long, piece binary")
+    found = written(found, "prints")
+    whole, cut = found.where("piece is null").select(*names[:4]), found.where("piece is not null")
+    if cut.isEmpty():
+        return whole
+    return whole.union(_combined(cut, bits, chunk))
+
+
+def _dealt(cut: DataFrame) -> DataFrame:
+    """Chunks dealt one by one, so that those of one text go to many tasks."""
+    return cut.repartition(partitions(cut.sparkSession), "doc_id", "text_sha256", "no")
+
+
+def _combined(cut: DataFrame, bits: int, chunk: int) -> DataFrame:
+    """The fingerprints of texts that come as rows of chunks."""
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, n_bytes long, text_sha256 string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Fingerprint(chunk, bits)
+        for batch in batches:
+            shifted = []
+            for size, no, piece in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)), strict=True):
+                own = made.of_chunk(np.frombuffer(piece, np.uint8))
+                shifted.append(made.combine(own, (0, 0), size - no * chunk - len(piece)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 2, 3)), *(pa.array(list(x), pa.int64()) for x in zip(*shifted, strict=True))], ["doc_id", "n_bytes", "text_sha256", "no", "x", "y"])
+
+    hashed = _dealt(cut.select("doc_id", "n_bytes", "text_sha256", "no", "piece")).mapInArrow(run, f"doc_id {_kind(cut)}, n_bytes long, text_sha256 string, no long, x long, y long")
+    # Rows that repeat a doc_id and text are told by their first chunks; each adds the same sum.
+    copies = F.sum((F.col("no") == 0).cast("long"))
+    low = lambda c, p: F.pmod(F.sum(c) / copies, F.lit(p)).cast("long").bitwiseAND(F.lit((1 << bits) - 1))
+    sums = hashed.groupBy("doc_id", "n_bytes", "text_sha256").agg(
+        (F.shiftleft(low("x", PRIMES[0]), 31).bitwiseOR(low("y", PRIMES[1]))).alias("fp"), copies.alias("copies")
+    )
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return sums.select("doc_id", "fp", "n_bytes", "text_sha256", each.alias("copy")).drop("copy")
 
 
 def _pieces(rows: DataFrame, size: int) -> DataFrame:
@@ -102,16 +161,21 @@ def _pieces(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("text", *names).mapInArrow(run, f"{kinds}, no long, piece binary")
 
 
-def _verified(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """Of `members` (doc_id, text_sha256, gid, is_rep, salts), those that differ from their
-    group's representative in some piece.
+def _verified(docs: DataFrame, members: DataFrame, size: int, huge: int) -> DataFrame:
+    """Of `members` (doc_id, text_sha256, n_bytes, gid, is_rep, salts), those that differ from
+    their group's representative in some piece.
 
     The representative's pieces are repeated once per SALT_ROWS members, so a huge group of
     copies is compared by many tasks.
     """
     texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text")).withColumn("sha", F.sha2("text", 256))
-    rows = texts.join(members, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))).drop("id", "sha")
-    pieces = _pieces(rows, size)
+    same_row = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
+    few = texts.where(F.octet_length("text") <= huge).join(members.where(F.col("n_bytes") <= huge), same_row)
+    pieces = _pieces(few.drop("id", "sha", "n_bytes"), size)
+    long = members.where(F.col("n_bytes") > huge)
+    if not long.isEmpty():
+        cut = _pieces(texts.where(F.octet_length("text") > huge), size)
+        pieces = pieces.unionByName(cut.join(long, same_row).drop("id", "sha", "n_bytes"))
     own = F.pmod(F.xxhash64("doc_id", "text_sha256"), F.col("salts")).cast("int")
     theirs = pieces.where("not is_rep").select("doc_id", "text_sha256", "gid", own.alias("salt"), "no", "piece")
     salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
@@ -120,10 +184,10 @@ def _verified(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     return same.where(~F.col("piece").eqNullSafe(F.col("rep_piece"))).select("doc_id", "text_sha256", "gid").distinct()
 
 
-def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK) -> DataFrame:
+def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK, huge: int = HUGE) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of `docs`."""
     key = ["fp", "n_bytes", "cls"]
-    prints = written(fingerprints(docs, bits).withColumn("cls", F.lit(0)), "prints")
+    prints = fingerprints(docs, bits, chunk, huge).withColumn("cls", F.lit(0))
     for level in range(1, 1 << 31):
         # Written, so that the joins below have a plain exchange on either side: Spark can then
         # split a huge group's partition.
@@ -132,8 +196,8 @@ def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK) -> DataFra
             *key, "rep", F.concat_ws("/", *key).alias("gid"), F.ceil(F.col("group_size") / F.lit(SALT_ROWS)).cast("int").alias("salts")
         )
         is_rep = F.struct("doc_id", "text_sha256").eqNullSafe(F.col("rep")).alias("is_rep")
-        members = prints.join(several, key).select("doc_id", "text_sha256", "gid", is_rep, "salts").distinct()
-        differs = written(_verified(docs, members, chunk), "differs")
+        members = prints.join(several, key).select("doc_id", "text_sha256", "n_bytes", "gid", is_rep, "salts").distinct()
+        differs = written(_verified(docs, members, chunk, huge), "differs")
         if differs.isEmpty():
             break
         # Not the representative's text after all: the next class of the same fingerprint.

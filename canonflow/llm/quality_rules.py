@@ -11,8 +11,10 @@ statistics (a dozen numbers a row) reach the driver.
 
 Defined cases: a null or empty text has no words, every count is 0 and base_failed is true; with
 no usable labels the list is empty and the base checks decide; documents labelled more than once
-count once, with the lowest label; other columns pass through `apply_rules`. 3-word windows are
-compared by 64-bit hashes.
+count once, with the lowest label; repeated rows are judged each, and equal ones alike; ties among
+thresholds go to the first feature in order; other columns, whatever their names, pass through
+`apply_rules`; an empty table gives no rows. 3-word windows are compared by 64-bit hashes. A very
+long text is held by one task with its words, hashes and, if windows repeat, one sorted array.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITESPACE, table, text_or_empty
+from .common import SPACE_SQL, WORD_SQL, free, table, text_or_empty
 
 #: Fixed values of the base checks.
 SYMBOLS = "#*$%&|<>"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Bounds of the learner.
@@ -43,36 +46,40 @@ def _without(col: Column, chars: str) -> Column:
 
 
 def with_statistics(docs: DataFrame, at: str = "__q") -> DataFrame:
-    """`docs` and one struct column `at` of STATS. Each step reads only columns of the step
-    before, so that no lambda holds an array's expression in place of the array."""
-    t, w, s, p, x = (f"{at}_{k}" for k in ("text", "words", "sorted", "places", "lines"))
-    blank = F.trim(F.translate(F.col(t), WHITESPACE, " " * len(WHITESPACE)))
+    """`docs` and one struct column `at` of STATS; no column's name may begin with `at`.
+
+    Each step reads only columns of the step before, so that no lambda holds an array's expression
+    in place of the array. Windows are sorted only in texts where one occurs twice.
+    """
+    if free(docs.columns, at) != at:
+        raise ValueError(f"a column's name begins with {at!r}")
+    t, w, x, m, h, s, p = (f"{at}_{k}" for k in ("text", "words", "lines", "marks", "hashes", "sorted", "places"))
     one = docs.withColumn(t, text_or_empty())
     two = one.withColumns({
-        w: F.when(blank == "", F.array().cast("array<string>")).otherwise(F.split(blank, " +")),
-        x: F.filter(F.split(F.col(t), "\n"), lambda line: _without(line, WHITESPACE) > 0),
+        w: F.array_remove(F.split(F.col(t), SPACE_SQL), ""),
+        x: F.filter(F.split(F.col(t), "\n"), lambda line: line.rlike(WORD_SQL)),
+        m: F.translate(F.col(t), f"{LETTERS} ", ""),  # the little that is counted by kind
     })
-    window = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))
-    three = two.withColumn(
-        s, F.when(F.size(w) >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window)))
-    )
+    window = lambda word, i: F.xxhash64(word, F.get(w, i + 1), F.get(w, i + 2))
+    three = two.withColumn(h, F.when(F.size(w) >= 3, F.slice(F.transform(w, window), F.lit(1), F.size(w) - 2)))
+    numbered = F.arrays_zip(F.col(h).alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("i")).cast("array<struct<h:bigint,i:int>>")
+    four = three.withColumn(s, F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(numbered)))
     twin = lambda e, k: (e["h"] == F.get(s, k - 1)["h"]) | (e["h"] == F.get(s, k + 1)["h"])
-    four = three.withColumn(p, F.sort_array(F.transform(F.filter(s, twin), lambda e: e["i"])))
+    five = four.withColumn(p, F.sort_array(F.transform(F.filter(s, twin), lambda e: e["i"])))
     # A window covers its three words; one that starts within the last covers only the rest.
     covers = F.transform(p, lambda i, k: F.least(F.lit(3), i - F.coalesce(F.get(p, k - 1), F.lit(-3))))
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     stats = F.struct(
         F.size(w).cast("long").alias("n_words"),
-        _without(F.col(t), WHITESPACE).cast("long").alias("word_chars"),
-        (F.length(t) - _without(F.col(t), SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        (F.length(m) - _without(F.col(m), SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(covers, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(x).cast("long").alias("n_lines"),
-        (F.length(t) - _without(F.col(t), upper)).cast("long").alias("n_upper"),
+        (F.length(m) - _without(F.col(m), LETTERS.upper())).cast("long").alias("n_upper"),
         F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words"),
-        (F.length(t) - _without(F.col(t), "0123456789")).cast("long").alias("n_digits"),
+        (F.length(m) - _without(F.col(m), "0123456789")).cast("long").alias("n_digits"),
     )
-    return four.withColumn(at, stats).drop(t, w, s, p, x)
+    return five.withColumn(at, stats).drop(t, w, x, m, h, s, p)
 
 
 def base_failed(at: Column) -> Column:
@@ -195,7 +202,7 @@ def verdict(rules: list[list[Condition]], at: Column) -> Column:
 
 
 def judged(docs: DataFrame, rules: list[list[Condition]], at: str = "__q") -> DataFrame:
-    """`docs` with statistics and the columns __q_base_failed, __q_rule and __q_kept."""
+    """`docs` with statistics `at` and, named after it, _base_failed, _rule and _kept."""
     d = with_statistics(docs, at)
     d = d.withColumns({f"{at}_base_failed": base_failed(F.col(at)), f"{at}_rule": verdict(rules, F.col(at))})
     return d.withColumn(f"{at}_kept", ~F.col(f"{at}_base_failed") & (F.col(f"{at}_rule") == 0))
@@ -204,9 +211,10 @@ def judged(docs: DataFrame, rules: list[list[Condition]], at: str = "__q") -> Da
 def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep. A generator drops the others: a filter would be
     pushed below the statistics and have them computed twice."""
-    d = judged(docs, learn(labelled_examples(docs, labels)))
-    stays = F.when(F.col("__q_kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    return d.select(*docs.columns, F.explode(stays).alias("__q_stays")).drop("__q_stays")
+    at = free(docs.columns, "__q")
+    d = judged(docs, learn(labelled_examples(docs, labels)), at)
+    stays = F.when(F.col(f"{at}_kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(stays).alias(f"{at}_stays")).drop(f"{at}_stays")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -633,3 +633,39 @@ def test_mix_keeps_clashing_columns(docs):
     rows = found.collect()
     assert all(r[c] == f"own {c}" for r in rows for c in names)
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in curriculum.mix(docs).collect())
+
+
+def test_chunks_of_huge_texts_are_hashed_as_rows(spark, docs, rows):
+    """The same groups and fingerprints whether chunks are hashed in line or as rows."""
+    plain = exact_dedup.fingerprints(docs, chunk=64, huge=1 << 20)
+    cut = exact_dedup.fingerprints(docs.union(docs.where("doc_id = 10")), chunk=64, huge=100)
+    show = lambda d: Counter(tuple(r) for r in d.select("doc_id", "fp", "n_bytes", "text_sha256").collect())
+    assert show(cut) == show(plain) + Counter(r for r in show(plain).elements() if r[0] == 10)
+    key = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    for bits in (31, 1):
+        small, large = (exact_dedup.exact_groups(docs, bits, 64, huge).select(*key) for huge in (1 << 20, 100))
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_one_huge_text_spreads_over_tasks(spark):
+    text = "some words of a huge text " * 500_000
+    d = spark.createDataFrame([(1, text, "en", "s", 0), (2, text + "x", "en", "s", 0), (3, text, "en", "s", 0)], SCHEMA)
+    found = collected(exact_dedup.exact_groups(d))
+    assert {i: (r.keep_id, r.group_size, r.kept) for i, r in found.items()} == {1: (3, 2, False), 2: (2, 1, True), 3: (3, 2, True)}
+    whole = exact_dedup.Fingerprint().of(text.encode())
+    assert [r.fp for r in exact_dedup.fingerprints(d).where("doc_id = 1").collect()] == [whole]
+    dealt = exact_dedup._dealt(exact_dedup._pieces(d.where("doc_id = 1").select("doc_id", "text").withColumn("text_sha256", F.sha2("text", 256)), exact_dedup.CHUNK))
+    assert dealt.select(F.spark_partition_id()).distinct().count() >= 4
+
+
+def test_rules_keep_clashing_columns(spark, docs, empty):
+    names = ["__q", "__q_text", "__q_stays", "__q_kept", "__Q_", "quality"]
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = quality_rules.apply_rules(clashing(docs, names), none)
+    assert found.columns == clashing(docs, names).columns
+    rows = found.collect()
+    assert all(r[c] == f"own {c}" for r in rows for c in names)
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in quality_rules.apply_rules(docs, none).collect())
+    assert quality_rules.apply_rules(empty, none).count() == 0
+    with pytest.raises(ValueError):
+        quality_rules.with_statistics(clashing(docs, ["__Q_text"]))
