@@ -10,15 +10,20 @@ stated length and the block's and payload's digests agree. After a failed check
 the next member or version line whose record does count, goes on from there, and logs the bytes
 between as a gap with its reason.
 
+Tasks open archives through Arrow's filesystems, since Spark has no writer for them: the shared
+folder must be one that both can open, and `store_of` says so before any task starts.
+
 Defined cases: a null html is an empty payload; a null url makes a record without a target; a
 null page_id sorts above all others and reads back as null; rows with equal payloads and the
-smallest page_id are all responses; other columns are not read; an empty table gives no files
-and no rows.
+smallest page_id are all responses; repeated rows make a record each; other columns are not read;
+an empty table gives no files and no rows. A task holds one record whole, however long it or its
+headers are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,6 +47,8 @@ DATE = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSIONS = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
+#: Names that Spark and Arrow give the same stores.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def record_id(page_id, digest: str) -> str:
@@ -112,16 +119,17 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
 
 
 class Archive:
-    """Windowed access to an archive: at most one record and one window are in memory."""
+    """Windowed access to an archive: at most one member and one window are in memory."""
 
-    def __init__(self, file, size: int):
-        self.file, self.size = file, size
+    def __init__(self, file, size: int, packed: bool = True):
+        self.file, self.size, self.packed = file, size, packed
 
     def read(self, at: int, n: int) -> bytes:
         self.file.seek(at)
         return self.file.read(min(n, self.size - at)) if at < self.size else b""
 
-    def _member(self, at: int) -> tuple[dict, bytes, int]:
+    def _member(self, at: int) -> tuple[bytes, int]:
+        """What the member inflates to, and where it ends."""
         if self.read(at, 3) != _GZIP:
             raise Broken("no gzip member")
         z, out, p = zlib.decompressobj(31), [], at
@@ -134,22 +142,34 @@ class Archive:
                 raise Broken("the member is cut off")
         except zlib.error as error:
             raise Broken(f"the member doesn't inflate: {str(error)[:60]}") from None
-        headers, block, used = parse_record(data := b"".join(out))
-        if used != len(data):
-            raise Broken("bytes after the record")
-        return headers, block, p - len(z.unused_data)
+        return b"".join(out), p - len(z.unused_data)
 
     def _plain(self, at: int) -> tuple[dict, bytes, int]:
-        head = self.read(at, WINDOW)
-        m = re.search(rb"\r\ncontent-length:[ \t]*(\d+)\r\n", head, re.I)
-        stop = head.find(b"\r\n\r\n")
-        if not m or stop < 0 or not _VERSIONS.match(head):
-            raise Broken("no record")
+        head, stop = b"", -1
+        while stop < 0:
+            part = self.read(at + len(head), WINDOW)
+            head += part
+            if not part or not _VERSIONS.match(head):
+                raise Broken("no record")
+            stop = head.find(b"\r\n\r\n", max(0, len(head) - len(part) - 3))
+        m = re.search(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", head[: stop + 2], re.I)
+        if not m:
+            raise Broken("no length")
         headers, block, used = parse_record(self.read(at, stop + 4 + int(m[1]) + 4))
         return headers, block, at + used
 
-    def _record(self, at: int) -> tuple[dict, bytes, int]:
-        return self._member(at) if self.read(at, 1) == _GZIP[:1] else self._plain(at)
+    def _at(self, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int]:
+        """Headers, block, "" of the record at a place, and where it ends. A member may hold several
+        records, and gaps between them: None, b"", the reason."""
+        if not self.packed or self.read(at, 1) != _GZIP[:1]:
+            headers, block, end = self._plain(at)
+            return [(headers, block, "")], end
+        data, end = self._member(at)
+        inside = Archive(io.BytesIO(data), len(data), packed=False).records()
+        found = [(h, block, h is None and f"{why}: {n} bytes from {o} on in the inflated member" or "") for o, n, h, block, why in inside]
+        if all(h is None for h, _, _ in found):
+            raise Broken(found[0][2] if found else "the member is empty")
+        return found, end
 
     def _candidates(self, at: int) -> Iterator[int]:
         """Places from `at` on where a member's first bytes or a version line stand."""
@@ -157,47 +177,60 @@ class Archive:
         while at < self.size:
             part = self.read(at, WINDOW + keep)
             for m in re.finditer(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n", part):
-                if m.start() < WINDOW:
+                if m.start() < WINDOW and (self.packed or m[0] != _GZIP):
                     yield at + m.start()
             at += WINDOW
 
     def records(self) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
         """(offset, length, headers, block, "") of records, (offset, length, None, b"", reason)
-        of gaps, in the archive's order."""
+        of gaps, in the archive's order; those in one member have its place."""
         at = 0
         while at < self.size:
             try:
-                headers, block, end = self._record(at)
-                yield at, end - at, headers, block, ""
-                at = end
-                continue
+                found, end = self._at(at)
             except Broken as error:
                 reason = str(error)
-            for there in self._candidates(at + 1):
-                try:
-                    self._record(there)
-                    break
-                except Broken:
-                    continue
-            else:
-                there = self.size
-            yield at, there - at, None, b"", reason
-            at = there
+                for there in self._candidates(at + 1):
+                    try:
+                        self._at(there)
+                        break
+                    except Broken:
+                        continue
+                else:
+                    there = self.size
+                yield at, there - at, None, b"", reason
+                at = there
+                continue
+            for headers, block, why in found:
+                yield at, end - at, headers, block, why
+            at = end
 
 
 def _marks(pages: DataFrame, least: int) -> DataFrame:
     """m_id, m_digest, refers_to: of each page and payload, the page it revisits, if any. Only
-    digests are shuffled, and counted before the shuffle."""
+    digests are shuffled, and counted before the shuffle. The repeated ones are written, so that the
+    join has a plain exchange on either side: Spark can then split the pages of a frequent one."""
     html = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     seen = pages.select("page_id", F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("size")).distinct()
     several = seen.where(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    several = written(several, "digests")
     marked = seen.join(several, "digest", "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return marked.select(F.col("page_id").alias("m_id"), F.col("digest").alias("m_digest"), refers.alias("refers_to"))
 
 
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's filesystem for a folder that Spark names, and the folder's path in it."""
+    scheme, mark, rest = folder.partition("://")
+    try:
+        return fs.FileSystem.from_uri(_SCHEMES.get(scheme, scheme) + mark + rest)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, ImportError, OSError) as error:
+        raise ValueError(f"archives need a folder that Arrow's filesystems can open, not {folder}: {error}") from None
+
+
 def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT, roll: int = ROLL_BYTES) -> DataFrame:
     """Writes a record per row of `pages` and returns path, bytes, records of each archive."""
+    store_of(folder)
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     texts = pages.select("page_id", F.col("url").cast("string").alias("url"), html)
     marks = _marks(pages, least).where("refers_to is not null")
@@ -216,7 +249,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT, ro
             for row in range(batch.num_rows):
                 page, url, html, refers = (batch.column(k)[row].as_py() for k in range(4))
                 if out is None:
-                    store, base = fs.FileSystem.from_uri(folder)
+                    store, base = store_of(folder)
                     store.create_dir(base, recursive=True)
                     path, held, count, n = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}-{n}.warc.gz", 0, 0, n + 1
                     out = store.open_output_stream(f"{base}/{path}", compression=None)
@@ -254,7 +287,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                store, base = fs.FileSystem.from_uri(folder)
+                store, base = store_of(folder)
                 with store.open_input_file(f"{base}/{path}") as file:
                     rows, held = [], 0
                     for found in Archive(file, file.size()).records():
@@ -269,12 +302,26 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("path").mapInArrow(run, schema)
 
 
+def read_logged(archives: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Records, without their payloads, and the log of quarantined gaps, both from one written
+    table. Raises, naming the log, if fewer records come back than `archives` says were written."""
+    stated = archives.agg(F.count("*"), F.coalesce(F.sum("records"), F.lit(0))).first()
+    # One archive per task: paths are dealt anew, as the table of archives is a small file.
+    found = read_archives(archives.repartition(max(1, stated[0]), "path"), folder).drop("payload")
+    found = written(found, "warc-records")
+    gaps = found.where("gap is not null").select("path", "offset", "length", "gap")
+    records = found.where("gap is null").drop("gap")
+    if (n := records.count()) < stated[1]:
+        log = scratch(archives.sparkSession, "warc-gaps")
+        gaps.write.parquet(log)
+        raise RuntimeError(f"{stated[1]} records were written and {n} read; the gaps are logged in {log}")
+    return records, gaps
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
-    archives = write_archives(table(spark, sf_dir, "pages"), folder)
-    # One archive per task: paths are dealt anew, as the table of archives is a small file.
-    records = read_archives(archives.repartition(max(1, archives.count()), "path"), folder)
-    return records.where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records, _gaps = read_logged(write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """

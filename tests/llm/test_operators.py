@@ -483,6 +483,46 @@ def test_salvage(packed):
     assert all(reason for *_, h, _, reason in found if h is None)
 
 
+def test_salvage_of_long_headers_and_shared_members():
+    pad = b"X-Pad: " + b"p" * 200_000 + b"\r\n"
+    records = [warc.make_record(k, "http://x/", (f"page {k} " * 50).encode(), None) for k in range(5)]
+    long = records[1].replace(b"WARC-Date", pad + b"WARC-Date", 1)
+    data = records[0] + long + records[2]
+    found = list(warc.Archive(Bytes(data), len(data)).records())
+    assert [(at, n, h is None) for at, n, h, _, _ in found] == [(0, len(records[0]), False), (len(records[0]), len(long), False), (len(records[0] + long), len(records[2]), False)]
+    # one member for all, as where a whole file is compressed, with damage inside
+    member = warc.gzip_member(records[0] + records[1][:-30] + records[2])
+    data = member + warc.gzip_member(records[3])
+    found = list(warc.Archive(Bytes(data), len(data)).records())
+    assert [h and warc._page_of(h["warc-record-id"]) for _, _, h, _, _ in found] == [0, None, 2, 3]
+    assert [(at, n) for at, n, *_ in found[:3]] == [(0, len(member))] * 3 and found[1][4]
+
+
+def test_salvage_of_written_archives(spark, tmp_path):
+    """Bytes of a written archive are overwritten: the other records come back, and the gap is logged."""
+    folder = f"file://{tmp_path}/w"
+    rows = [(k, "http://x/", f"page {k} " * 60) for k in range(40)]
+    archives = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1), folder)
+    records, gaps = warc.read_logged(archives, folder)
+    assert records.count() == 40 and gaps.count() == 0
+    before = warc.read_archives(archives, folder).collect()
+    hurt = next(r for r in before if r.page_id == 7)
+    path = tmp_path / "w" / hurt.path
+    data = bytearray(path.read_bytes())
+    data[hurt.offset + 30 : hurt.offset + 40] = b"\0" * 10
+    path.write_bytes(data)
+    found = warc.read_archives(archives, folder).collect()
+    assert {r.page_id for r in found if r.gap is None} == set(range(40)) - {7}
+    assert [(r.path, r.offset, r.length) for r in found if r.gap] == [(hurt.path, hurt.offset, hurt.length)]
+    with pytest.raises(RuntimeError, match="40 records were written and 39 read"):
+        warc.read_logged(archives, folder)
+
+
+def test_archives_need_a_store_that_arrow_opens(spark, tmp_path):
+    with pytest.raises(ValueError, match="viewfs"):
+        warc.write_archives(pages(spark)[1], "viewfs://store/x")
+
+
 # 9
 
 
