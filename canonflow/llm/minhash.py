@@ -11,17 +11,20 @@ coordinates that a pair at the threshold is missed with a probability of MISSED
 1. Documents with equal shingle sets form a class, and the class's smallest doc_id goes on.
 2. In each bucket, members are compared with its smallest and its largest member. Links found
    give components.
-3. Buckets that still hold several components are compared inside tasks, in blocks: members of
-   different components whose signatures agree in at least the share `likely` of coordinates are
-   compared set by set, until they are connected. Only links leave a task, fewer than members.
-   The share lies ERRORS standard errors below the threshold.
+3. In buckets that still hold several components, every member is compared with those of other
+   components, inside tasks: common shingles of all pairs of two blocks are counted by one matrix
+   product. The component with the most members is dealt once for each block of the others, which
+   mostly are few, and never meets itself. Only links leave a task, fewer than its components.
 
-No step emits all pairs of a bucket, and no task holds more than two blocks of one.
+No step emits all pairs of a bucket, and no task holds more than two blocks of one. Work in step 3
+grows with a bucket's members times those outside its largest component.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with nothing and is
 kept; with fewer words than a shingle, the whole sequence is one shingle; rows that repeat a
 doc_id share its class; a row with a null doc_id takes its class's component and is kept only
-if that is null; other columns, whatever their names, pass through `near_dedup`.
+if that is null; equal similarities need no order, as links are only present or absent; other columns,
+whatever their names, pass through `near_dedup`; an empty table gives no rows. A very long text is
+held by one task with its words and shingles, some 60 bytes for each word.
 """
 
 from __future__ import annotations
@@ -45,17 +48,18 @@ WIDTH = 5
 PERCENT = 85
 ROWS = 5
 MISSED = 5e-7
-ERRORS = 4.7
 #: Rows and hashed shingles of a block of a bucket.
-BLOCK_ROWS = 1024
-BLOCK_SHINGLES = 4_000_000
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 2_000_000
+#: Shingles, as columns of a matrix, counted at once.
+COLUMNS = 4096
 #: Bytes of text whose words are hashed at once.
 BATCH_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bands and the least share of equal coordinates for a threshold in percent."""
+    """Bands for a threshold in percent."""
 
     percent: int
 
@@ -67,11 +71,6 @@ class Fit:
     def bands(self) -> int:
         return math.ceil(math.log(MISSED) / math.log1p(-((self.percent / 100) ** ROWS)))
 
-    @property
-    def likely(self) -> float:
-        j = self.percent / 100
-        return j - ERRORS * math.sqrt(j * (1 - j) / (self.bands * ROWS))
-
 
 def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles."""
@@ -187,61 +186,86 @@ class _Forest:
         self.up[self.find(x)] = self.find(y)
 
 
-def _links_within(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], here: int, fit: Fit) -> list[tuple[int, int]]:
-    """Links that connect components inside one block of a bucket or between two. here: the
-    bucket's key, to leave pairs to the first band they share."""
-    keys, least = band_keys(sig, fit.bands, ROWS), fit.likely
-    size = np.array([len(s) for s in sets])
-    split = len(set(side)) > 1
-    likely = []
-    for i in range(len(node)):
-        other = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (not split))) + i + 1
-        other = other[100 * np.minimum(size[other], size[i]) >= fit.percent * np.maximum(size[other], size[i])]
-        if len(other):
-            share = (sig[other] == sig[i]).mean(axis=1)
-            first = (keys[other] == keys[i]).argmax(axis=1)
-            ok = (share >= least) & (keys[i][first] == np.uint64(here & (1 << 64) - 1))
-            likely += [(-s, i, j) for s, j in zip(share[ok].tolist(), other[ok].tolist(), strict=True)]
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many members each set of `left` (row) shares with each of `right` (column)."""
+    both = np.zeros((len(left), len(right)))
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # a member of one set alone is in no intersection
+    some = count[column] > 1
+    row, column = row[some], number[column[some]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)  # counts up to COLUMNS are exact
+        has[row[a:b], column[a:b] - first] = 1
+        both += has[left] @ has[right].T
+    return both
+
+
+def _links_within(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect components inside one block of a bucket or between two."""
+    sides = np.unique(side)
+    left, right = (np.flatnonzero(side == sides[k]) for k in (0, -1))
+    size = np.array([len(s) for s in sets], np.float64)
+    both = _common(sets, left, right)
+    whole = size[left][:, None] + size[right][None, :] - both
+    i, j = np.nonzero((100 * both >= percent * whole) & (comp[left][:, None] != comp[right][None, :]))
+    # One pair for each two components, then those that join two that weren't joined.
+    names, number = np.unique(comp, return_inverse=True)
+    _, pick = np.unique(number[left[i]] * len(names) + number[right[j]], return_index=True)
     forest, out = _Forest(), []
-    for _, i, j in sorted(likely):
-        if forest.find(comp[i]) != forest.find(comp[j]):
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if _linked(fit.percent, both, size[i], size[j]):
-                forest.join(comp[i], comp[j])
-                out.append((node[i], node[j]))
+    for x, y in zip(left[i[pick]].tolist(), right[j[pick]].tolist(), strict=True):
+        if forest.find(comp[x]) != forest.find(comp[y]):
+            forest.join(comp[x], comp[y])
+            out.append((node[x], node[y]))
     return out
 
 
-def _links_of_buckets(rows: pd.DataFrame, fit: Fit) -> pd.DataFrame:
-    """The same for each of the buckets in `rows`: key, node, component, side, sig, shingles."""
+def _links_of_buckets(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The same for each of the buckets in `rows`: key, node, component, side, shingles."""
     rows = rows.sort_values("key", kind="stable")
     key = rows["key"].to_numpy()
     cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-    sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(len(rows), -1)
     node, comp, side = (rows[c].to_numpy() for c in ("node", "component", "side"))
     sets = [np.frombuffer(s, np.int64) for s in rows["shingles"]]
     out: list[tuple[int, int]] = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        out += _links_within(node[a:b], comp[a:b], side[a:b], sig[a:b], sets[a:b], int(key[a]), fit)
+        out += _links_within(node[a:b], comp[a:b], side[a:b], sets[a:b], percent)
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, fit: Fit) -> DataFrame:
+def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that share a bucket. members: key, node."""
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    open_ = named.join(mixed, "key").join(reps.select(F.col("rep").alias("node"), "sig", "n_shingles"), "node")
+    mixed = written(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key"), "mixed")
+    open_ = named.join(mixed, "key").join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node")
     open_ = written(open_, "open")
-    blocks = open_.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = open_.join(blocks, "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Buckets of one block share a call, about as many as make a block.
+    # Blocks of the largest component, and of all others; a small bucket is one block of others.
+    parts = open_.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    largest = F.max(F.struct("n", "component", "s"))
+    keys = parts.groupBy("key").agg(largest.alias("big"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    blocks = lambda n, s: F.ceil(F.greatest(n / BLOCK_ROWS, s / BLOCK_SHINGLES)).cast("int")
+    small = (F.col("n") <= BLOCK_ROWS) & (F.col("s") <= BLOCK_SHINGLES)
+    keys = keys.select(
+        "key", F.when(~small, F.col("big.component")).alias("largest"), F.when(small, 1).otherwise(blocks(F.col("n") - F.col("big.n"), F.col("s") - F.col("big.s"))).alias("others"),
+        F.when(small, 0).otherwise(blocks(F.col("big.n"), F.col("big.s"))).alias("own"),
+    )
+    keys = written(keys, "blocks")
+    hashed = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    is_big = F.coalesce(F.col("component") == F.col("largest"), F.lit(False))
+    place = F.when(is_big, F.col("others") + hashed(F.col("own"))).otherwise(hashed(F.col("others")))
+    meets = F.when(is_big, F.col("others")).otherwise(F.col("others") + F.col("own"))
+    dealt = open_.join(keys, "key").withColumn("side", place).withColumn("with", F.explode(F.sequence(F.lit(0), meets - 1)))
+    # Small buckets share a call, about as many as make a block.
     total = open_.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     calls = max(partitions(members.sparkSession), 2 * total[0] // BLOCK_ROWS, 2 * total[1] // BLOCK_SHINGLES)
-    call = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(calls))).otherwise(F.col("key"))
-    places = F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), F.col("own").alias("side")
-    dealt = dealt.select(call.alias("call"), (F.col("blocks") > 1).alias("alone"), *places, "key", "node", "component", "sig").join(_as_bytes(sets), "node")
-    return dealt.groupBy("call", "alone", "p", "q").applyInPandas(lambda rows: _links_of_buckets(rows, fit), "a long, b long")
+    alone = F.col("largest").isNotNull()
+    call = F.when(alone, F.col("key")).otherwise(F.pmod("key", F.lit(calls)))
+    pair = F.least("side", "with").alias("p"), F.greatest("side", "with").alias("q")
+    dealt = dealt.select(call.alias("call"), alone.alias("alone"), *pair, "side", "key", "node", "component").join(_as_bytes(sets), "node")
+    return dealt.groupBy("call", "alone", "p", "q").applyInPandas(lambda rows: _links_of_buckets(rows, percent), "a long, b long")
 
 
 def _as_bytes(sets: DataFrame) -> DataFrame:
@@ -272,7 +296,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = written(_sets_of(docs, wanted), "sets")
     links = written(_verified(pairs, sets, percent), "links")
     labels = components(links)
-    more = written(_residual_links(members.select("key", "node"), labels, reps, sets, fit), "more")
+    more = written(_residual_links(members.select("key", "node"), labels, reps, sets, percent), "more")
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = reps.select("set_key", F.col("rep").alias("node")).join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
