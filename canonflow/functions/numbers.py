@@ -11,25 +11,21 @@ NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|na
 
 def number(raw: Column, booleans: bool = False, numeric: bool = False) -> Column:
     """A text or number as double; other text raises. booleans: true and false count as 1 and 0,
-    for JSON sources, whose booleans arrive as text. numeric: the column's type is a number."""
+    for JSON sources, whose booleans arrive as text. numeric: the column's type is a number.
+
+    A text that casts, ends in a digit and isn't hexadecimal needs no pattern."""
     if numeric:
         return raw.cast("double")
     text = raw.cast("string")
+    cast = F.trim(text).try_cast("double")
+    plain = F.right(text, F.lit(1)).between("0", "9") & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
     bad = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
-    out = F.when(text.rlike(NUMBER), F.trim(text).cast("double")).when(text.isNotNull(), bad)
+    out = F.when(cast.isNotNull() & plain, cast).when(text.rlike(NUMBER), F.trim(text).cast("double")).when(text.isNotNull(), bad)
     if booleans:
         out = F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(out)
     return out
 
 
-def decimal(raw: Column, separator: Column | str = ".", booleans: bool = False) -> Column:
-    """A text whose decimals follow `separator`, taken literally."""
-    text = raw.cast("string")
-    if isinstance(separator, str):
-        return number(text if separator == "." else F.replace(text, F.lit(separator), F.lit(".")), booleans)
-    return number(F.replace(text, separator, F.lit(".")), booleans)
-
-
 def factor(name: str, uk: Column, ik: Column) -> Column:
     """A device factor, null if a part of it is missing."""
     return {"uk": uk, "ik": ik, "uk_ik": uk * ik}[name]

@@ -58,6 +58,15 @@ def utc_text(raw: Column, kind: str) -> Column:
     return F.when(inside, shown).when(ticks.isNotNull(), outside)
 
 
+def utc_instant(raw: Column, kind: str) -> Column:
+    """The instant of what `utc_text` shows, from the raw value; null where it is null."""
+    text = raw.cast("string")
+    if kind == "iso8601":
+        return iso_instant(text)
+    ticks = F.trim(text).try_cast("bigint")
+    return F.timestamp_millis(ticks) if kind == "epoch_ms" else F.timestamp_seconds(ticks)
+
+
 def instant(ts_utc: Column) -> Column:
     """The instant of a canonical text. A date with Z glued on is midnight."""
     return iso_instant(F.when(F.length(ts_utc) <= 11, F.rtrim(ts_utc, F.lit("Z"))).otherwise(ts_utc))

@@ -5,8 +5,8 @@ from __future__ import annotations
 _L = """
 l AS (SELECT event_id, event_type AS key, value, epoch_us(ts) // 1000 AS ms, ts FROM events),
 m(key, quantity, phase, unit, harmonic_order, aggregation) AS (VALUES
-  ('click', 'voltage', 'L1', 'V', NULL, 'instantaneous'), ('view', 'current', 'L1', 'A', NULL, 'instantaneous'),
-  ('purchase', 'energy_active_import', 'none', 'kWh', NULL, 'counter'), ('signup', 'voltage_harmonic', 'L1', 'V', 3, 'instantaneous')),
+  ('click', 'pressure', 'inlet', 'bar', NULL, 'instantaneous'), ('view', 'flow', 'inlet', 'l/s', NULL, 'instantaneous'),
+  ('purchase', 'volume_total', 'none', 'm3', NULL, 'counter'), ('signup', 'pressure_ripple', 'inlet', 'bar', 3, 'instantaneous')),
 lr AS (SELECT l.*, m.* EXCLUDE (key), strftime(make_timestamp_ms(ms), '%Y-%m-%dT%H:%M:%S.%gZ') AS ts_utc FROM l JOIN m USING (key))
 """
 _W = """
@@ -16,13 +16,13 @@ w AS (SELECT CAST(l_suppkey AS VARCHAR) AS meter, strftime(l_shipdate, '%Y-%m-%d
 f AS (SELECT CAST(s_suppkey AS VARCHAR) AS meter, s_acctbal AS uk, CAST(s_nationkey AS DOUBLE) AS ik FROM supplier WHERE s_suppkey % 10 <> 0),
 wf AS (SELECT row_number() OVER () AS rec, w.*, uk, ik FROM w LEFT JOIN f USING (meter)),
 c AS (SELECT *, 0 AS ord, 'load' AS quantity, 'none' AS phase, 'pcs' AS unit, q AS value FROM wf
-  UNION ALL SELECT *, 1, 'voltage', 'L1', 'V', price * uk FROM wf WHERE uk IS NOT NULL
-  UNION ALL SELECT *, 2, 'current', 'L1', 'A', disc FROM wf WHERE disc IS NOT NULL
-  UNION ALL SELECT *, 3, 'thd', 'none', '%', tax FROM wf)
+  UNION ALL SELECT *, 1, 'pressure', 'inlet', 'bar', price * uk FROM wf WHERE uk IS NOT NULL
+  UNION ALL SELECT *, 2, 'flow', 'inlet', 'l/s', disc FROM wf WHERE disc IS NOT NULL
+  UNION ALL SELECT *, 3, 'turbidity', 'none', 'ntu', tax FROM wf)
 """
 _G = """
-g AS (SELECT id, 'L1' AS phase, 1 AS harmonic_order, q AS value FROM w UNION ALL SELECT id, 'L2', 1, price FROM w
-  UNION ALL SELECT id, 'L1', 3, disc FROM w WHERE disc IS NOT NULL UNION ALL SELECT id, 'L2', 3, tax FROM w)
+g AS (SELECT id, 'inlet' AS phase, 1 AS harmonic_order, q AS value FROM w UNION ALL SELECT id, 'outlet', 1, price FROM w
+  UNION ALL SELECT id, 'inlet', 3, disc FROM w WHERE disc IS NOT NULL UNION ALL SELECT id, 'outlet', 3, tax FROM w)
 """
 _M = """
 t AS (SELECT event_id, ts AS ts_utc, event_type, value, CAST(NULL AS VARCHAR) AS location_id, '2025-01-01 00:00:00' AS ingested_at FROM events WHERE event_id % 5 < 3),
@@ -40,7 +40,7 @@ def _with(parts: str, select: str) -> str:
 
 
 def _ruled(where: str = "true", quality: str = "'ok'", extra: str = "") -> str:
-    return _with(_W + extra, f"SELECT quantity, {quality} AS quality, {_SPAN} FROM c WHERE {where} GROUP BY ALL")
+    return _with(_W + extra, f"SELECT id, quantity, value, {quality} AS quality FROM c WHERE {where}")
 
 
 _ISO = """
@@ -80,14 +80,14 @@ ORACLES = {
     "join_device_factors": _with(_W, "SELECT meter, uk, ik, count(*) AS n FROM wf GROUP BY ALL"),
     "wide_unpivot": _with(_W, "SELECT id, quantity, phase, unit, value FROM c"),
     "wide_generated_harmonics": _with(_W + "," + _G, "SELECT id, phase, harmonic_order, value FROM g"),
-    "wide_all_cells": _with(_W + "," + _G, """SELECT quantity, phase, CAST(NULL AS INT) AS harmonic_order, count(*) AS n, round(sum(value) / 1e6, 2) AS total_millions FROM c GROUP BY ALL
-        UNION ALL SELECT 'voltage_harmonic', phase, harmonic_order, count(*), round(sum(value) / 1e6, 2) FROM g GROUP BY ALL"""),
+    "wide_all_cells": _with(_W + "," + _G, """SELECT quantity, phase, CAST(NULL AS INT) AS harmonic_order, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) AS total FROM c GROUP BY ALL
+        UNION ALL SELECT 'pressure_ripple', phase, harmonic_order, count(*), CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) FROM g GROUP BY ALL"""),
     "null_cell_skip": _with(_W, "SELECT count(*) AS cells_null_skipped FROM w WHERE disc IS NULL"),
     "rule_record_not_null": _ruled("disc IS NOT NULL"),
     "rule_record_suspect": _ruled(quality="CASE WHEN disc IS NULL THEN 'suspect' ELSE 'ok' END"),
     "rule_record_range": _ruled("q BETWEEN 2 AND 48"),
     "rule_quantity_suspect": _ruled(quality="CASE WHEN quantity = 'load' AND value > 48 THEN 'suspect' ELSE 'ok' END"),
-    "rule_quantity_drop": _ruled("NOT (quantity = 'current' AND value > 0.09)"),
+    "rule_quantity_drop": _ruled("NOT (quantity = 'flow' AND value > 0.09)"),
     "rule_quantity_reject": _ruled("coalesce(price * uk, 0) <= 8e8"),
     "rule_one_sided_range": _ruled(quality="CASE WHEN quantity = 'load' AND value < 10 THEN 'suspect' ELSE 'ok' END"),
     # values over 48 are dropped by the rule before the one that would reject
@@ -110,18 +110,18 @@ ORACLES = {
     "merge_report": _with(_M, "SELECT 'staged' AS step, count(*) AS n FROM s UNION ALL SELECT 'merged', count(*) FROM d UNION ALL SELECT 'before', count(*) FROM t UNION ALL SELECT 'after', count(*) FROM u"),
     "sink_rerun_idempotent": _with(_L, "SELECT 'demo_long' AS source_vendor, 'site-1' AS run_scope, count(*) AS n, count(*) AS n_ids FROM lr"),
     "sink_scopes_coexist": _with(_L, "SELECT 'demo_long' AS source_vendor, 'site-' || x AS run_scope, count(*) AS n, count(*) AS n_ids FROM lr, (VALUES (1), (2)) v(x) GROUP BY x"),
-    "dim_publish": _with(_L, """SELECT v.*, (SELECT count(*) FROM lr WHERE lr.quantity = v.quantity) AS n FROM (VALUES ('current', 'A', 'IEC 61000-4-30', 'RMS current'),
-        ('energy_active_import', 'kWh', NULL, 'Meter''s import register'), ('load', 'pcs', NULL, NULL), ('voltage', 'V', 'IEC 61000-4-30', 'RMS voltage')) v(quantity, default_unit, standard_ref, description)"""),
-    "dim_join": _with(_L, """SELECT lr.quantity, unit, default_unit, standard_ref, description, count(*) AS n FROM lr LEFT JOIN (VALUES ('current', 'A', 'IEC 61000-4-30', 'RMS current'),
-        ('energy_active_import', 'kWh', NULL, 'Meter''s import register'), ('load', 'pcs', NULL, NULL), ('voltage', 'V', 'IEC 61000-4-30', 'RMS voltage')) v(quantity, default_unit, standard_ref, description) ON v.quantity = lr.quantity GROUP BY ALL"""),
-    "serving_minute_wide": _with(_W + "," + _L, """SELECT source_vendor, device_id, minute, round(avg(value) FILTER (quantity = 'voltage') / 1e6, 4) AS voltage_l1, round(avg(value) FILTER (quantity = 'current'), 4) AS current_l1,
-        round(avg(value) FILTER (quantity = 'energy_active_import'), 4) AS energy_active_import, round(avg(value) FILTER (quantity = 'voltage_harmonic'), 4) AS voltage_harmonic_l1, round(avg(value) FILTER (quantity = 'load'), 4) AS load
-        FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS minute, quantity, value FROM c WHERE quantity <> 'thd'
+    "dim_publish": _with(_L, """SELECT v.*, (SELECT count(*) FROM lr WHERE lr.quantity = v.quantity) AS n FROM (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
+        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description)"""),
+    "dim_join": _with(_L, """SELECT lr.quantity, unit, default_unit, standard_ref, description, count(*) AS n FROM lr LEFT JOIN (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
+        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description) ON v.quantity = lr.quantity GROUP BY ALL"""),
+    "serving_minute_wide": _with(_W + "," + _L, """SELECT source_vendor, device_id, minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'pressure') AS DOUBLE) / count(*) FILTER (quantity = 'pressure') AS pressure_inlet, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'flow') AS DOUBLE) / count(*) FILTER (quantity = 'flow') AS flow_inlet,
+        CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'volume_total') AS DOUBLE) / count(*) FILTER (quantity = 'volume_total') AS volume_total, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'pressure_ripple') AS DOUBLE) / count(*) FILTER (quantity = 'pressure_ripple') AS pressure_ripple_inlet, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'load') AS DOUBLE) / count(*) FILTER (quantity = 'load') AS load
+        FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS minute, quantity, value FROM c WHERE quantity <> 'turbidity'
           UNION ALL SELECT 'demo_long', 'demo:site:device', strftime(ts, '%Y-%m-%d %H:%M'), quantity, value FROM lr) x GROUP BY source_vendor, device_id, minute"""),
-    "serving_snapshot": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, quantity, phase, left(ts_utc, 16) AS minute, round(avg(value), 4) AS mean, count(*) AS n FROM lr GROUP BY ALL"),
+    "serving_snapshot": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) AS total, count(*) AS n FROM lr GROUP BY ALL"),
     "minute_completeness": _with(_L, """SELECT 'demo:site:device' AS device_id, p AS minutes_present, q AS minutes_possible, round(100.0 * p / q, 4) AS percent
         FROM (SELECT count(DISTINCT date_trunc('minute', ts)) AS p, epoch_us(max(date_trunc('minute', ts)) ) // 60000000 - epoch_us(min(date_trunc('minute', ts))) // 60000000 + 1 AS q FROM lr) z"""),
     "union_vendors": _with(_W + "," + _L, "SELECT 'demo_wide' AS source_vendor, count(*) AS n FROM c UNION ALL SELECT 'demo_long', count(*) FROM lr"),
-    "convergence": _with(_W + "," + _L, f"""SELECT source_vendor, device_id, {_SPAN} FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, value FROM c WHERE quantity = 'voltage'
-        UNION ALL SELECT 'demo_long', 'demo:site:device', value FROM lr WHERE quantity = 'voltage') x GROUP BY source_vendor, device_id"""),
+    "convergence": _with(_W + "," + _L, f"""SELECT source_vendor, device_id, {_SPAN} FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, value FROM c WHERE quantity = 'pressure'
+        UNION ALL SELECT 'demo_long', 'demo:site:device', value FROM lr WHERE quantity = 'pressure') x GROUP BY source_vendor, device_id"""),
 }

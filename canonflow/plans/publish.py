@@ -41,13 +41,22 @@ def _name(quantity: str, phase: str) -> str:
     return quantity if phase == "none" else f"{quantity}_{phase.lower()}"
 
 
-def minute_wide(fact: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """vendor, device, minute and the mean of each (quantity, phase), of rows that are ok."""
-    ts = instant(F.col("ts_utc")) if isinstance(fact.schema["ts_utc"].dataType, T.StringType) else F.col("ts_utc")
+def minute_wide(fact: DataFrame, pairs: list[tuple[str, str]], moment: str = "ts_utc", digits: int | None = None) -> DataFrame:
+    """vendor, device, minute and the mean of each (quantity, phase), of rows that are ok. moment: the
+    column with a row's instant; canonical text is parsed. digits: values are summed as decimals with
+    so many places, so that a mean doesn't depend on their order."""
+    ts = instant(F.col(moment)) if isinstance(fact.schema[moment].dataType, T.StringType) else F.col(moment)
     test: Column = F.lit(False)
     for q, p in pairs:
         test = test | ((F.col("quantity") == q) & (F.col("phase") == p))
-    means = [F.avg(F.when((F.col("quantity") == q) & (F.col("phase") == p), F.col("value"))).alias(_name(q, p)) for q, p in pairs]
+
+    def mean(q: str, p: str) -> Column:
+        value = F.when((F.col("quantity") == q) & (F.col("phase") == p), F.col("value"))
+        if digits is None:
+            return F.avg(value)
+        return F.sum(value.cast(f"decimal(28,{digits})")).cast("double") / F.count(value)
+
+    means = [mean(q, p).alias(_name(q, p)) for q, p in pairs]
     some = fact.where((F.col("quality") == "ok") & test).withColumn("minute", F.date_trunc("minute", ts))
     return some.groupBy("source_vendor", "device_id", "minute").agg(*means)
 

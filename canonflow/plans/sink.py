@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import event_date
@@ -65,10 +65,12 @@ def ensure_table(spark: SparkSession, book: Rulebook, provider: str = "delta") -
 
 @dataclass(frozen=True)
 class MergeReport:
+    """Rows staged, rows merged, and the table's rows before and after, if they were counted."""
+
     staged: int
     merged: int
-    before: int
-    after: int
+    before: int | None
+    after: int | None
 
 
 def prepared(staged: DataFrame, book: Rulebook) -> DataFrame:
@@ -77,24 +79,32 @@ def prepared(staged: DataFrame, book: Rulebook) -> DataFrame:
     return dedupe_latest(keyed(typed_projection(staged, table_schema(book)), key), key)
 
 
-def merge(staged: DataFrame, book: Rulebook, provider: str = "delta") -> MergeReport:
-    """Upserts staged rows and counts. `staged` is evaluated once."""
+def merge(staged: DataFrame, book: Rulebook, provider: str = "delta", count_table: bool = True) -> MergeReport:
+    """Upserts staged rows and counts. `staged` is evaluated once: its rows are counted on their way
+    into the merge. count_table: also counts the whole table before and after, which a stream of small
+    batches shouldn't."""
     spark, name, key = staged.sparkSession, book.table_name(), book.target["merge_key"]
-    counted = staged.count()
-    rows = prepared(staged, book).persist()
+    seen = Observation()
+    rows = prepared(staged.observe(seen, F.count(F.lit(1)).alias("n")), book).persist()
+    whole = lambda: spark.table(name).count() if count_table else None
     try:
-        merged, before = rows.count(), spark.table(name).count()
+        merged, before = rows.count(), whole()
         if provider in ROW_LEVEL:
-            own = name.rsplit(".", 1)[-1]
-            same = " AND ".join(f"{own}.{k} = staged.{k}" for k in key)
-            rows.alias("staged").mergeInto(name, F.expr(same)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+            merge_rows(rows, name, key)
         else:
             _rebuild(spark, rows, name, key, book.target.get("partition_by", []))
-        return MergeReport(counted, merged, before, spark.table(name).count())
+        return MergeReport(seen.get["n"], merged, before, whole())
     finally:
         rows.unpersist()
 
 
+def merge_rows(rows: DataFrame, name: str, key: list[str]) -> None:
+    """The table's own MERGE: matching rows are replaced, others are inserted."""
+    own = name.rsplit(".", 1)[-1]
+    same = " AND ".join(f"{own}.{k} = staged.{k}" for k in key)
+    rows.alias("staged").mergeInto(name, F.expr(same)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def _rebuild(spark: SparkSession, rows: DataFrame, name: str, key: list[str], parts: list[str]) -> None:
     """Upsert for tables without MERGE: partitions that staged rows touch, or whose rows they
     replace, are written anew. Not atomic across partitions."""

@@ -1,7 +1,7 @@
 """The rulebook compiled to one DataFrame plan: raw records to canonical rows and counts.
 
-The plan has one stage: scan, broadcast lookup, projections, `inline`. Rules never need a
-shuffle, since a record's cells stay together in an array until they have been judged.
+The plan has one compiled stage: scan, broadcast lookup, projections, `inline`. Rules never need a
+shuffle, since a record's cells stay together until they have been judged.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import measurement_id
 from ..functions.templates import filled
-from ..functions.timestamps import utc_text
-from ..operators.cells import join_factors, long_cells, look_up, wide_cells
+from ..functions.timestamps import utc_instant, utc_text
+from ..operators.cells import join_factors, judged, long_cells, look_up, wide_cells
 from ..operators.rules import any_of, record_fails
 from ..rulebook import Rulebook
 
@@ -33,53 +33,53 @@ class Transform:
     def __init__(self, book: Rulebook):
         self.book = book.check()
         self.booleans = book.format.get("type", "json") == "json"
-        self.on_record, on_quantity = book.rules()
-        self.can_reject = any(r.on_fail == "reject_row" for rules in on_quantity.values() for r in rules)
+        self.on_record, _ = book.rules()
 
     def frame(self, records: DataFrame, factors: DataFrame | None = None, keep: set[str] | None = None) -> DataFrame:
         """One row per record: identity columns, judged cells and counts. A record that a record
         rule discards has no cells."""
         book, r = self.book, self.book.record
-        for name in book.raw_fields():
-            if name not in records.columns:
-                records = records.withColumn(name, F.lit(None).cast("string"))
+        absent = [name for name in book.raw_fields() if name not in records.columns]
+        if absent:
+            records = records.withColumns({name: F.lit(None).cast("string") for name in absent})
         rejected = any_of([record_fails(x, self.booleans) for x in self.on_record if x.discards])
         suspect = any_of([record_fails(x, self.booleans) for x in self.on_record if not x.discards])
-        d = records.withColumns({"__rejected": rejected, "__suspect": suspect})
-        meter = r.get("meter_field")
+        meter, stamp = r.get("meter_field"), F.col(f"`{r.get('timestamp_field', 'timestamp')}`")
+        told = {"__rejected": rejected, "__suspect": suspect}
         if meter and factors is not None:
-            d = join_factors(d, factors, meter)
+            records = join_factors(records, factors, meter)
         else:
-            d = d.withColumns({"__uk": F.lit(None).cast("double"), "__ik": F.lit(None).cast("double")})
-        if book.shape == "long":
-            d = look_up(d, book)
-            d = long_cells(d, book, self.booleans).withColumn("__unmapped", ~F.col("__rejected") & F.col("__key").isNull())
-        else:
-            d = wide_cells(d, book, keep, self.booleans).withColumn("__unmapped", F.lit(False))
-        first_reject = F.array_min(F.transform(F.filter("__cells", lambda c: c["outcome"] == "reject"), lambda c: c["ord"]))
-        return d.withColumns({
-            "__device": filled(book.device_template),
-            "__ts": utc_text(F.col(f"`{r.get('timestamp_field', 'timestamp')}`"), book.datetime_format),
+            told |= {"__uk": F.lit(None).cast("double"), "__ik": F.lit(None).cast("double")}
+        d = records.withColumns(told | {
+            "__device": filled(book.device_template), "__ts": utc_text(stamp, book.datetime_format), "__moment": utc_instant(stamp, book.datetime_format),
             "__row_id": F.col(f"`{r.get('row_id_field', 'id')}`").cast("string"),
-            "__reject_at": first_reject,
         })
+        if book.shape == "long":
+            d, slots = long_cells(look_up(d, book), book, self.booleans)
+            unmapped = ~F.col("__rejected") & F.col("__key").isNull()
+        else:
+            d, slots = wide_cells(d, book, keep, self.booleans)
+            unmapped = F.lit(False)
+        return judged(d.withColumn("__unmapped", unmapped), slots)
 
-    def rows(self, records: DataFrame, factors: DataFrame | None = None, ingested_at: str | None = None, quantities: set[str] | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    def rows(self, records: DataFrame, factors: DataFrame | None = None, ingested_at: str | None = None, quantities: set[str] | None = None, extra: tuple[str, ...] = (), moment: str | None = None) -> DataFrame:
         """Canonical rows. ingested_at: the run's one stamp. quantities: builds only what they
-        need. extra: raw fields carried along."""
+        need. extra: raw fields carried along. moment: names a further column, the instant of ts_utc,
+        which is read once a record."""
         book = self.book
         # Rejection by a value lies in the generator: as a filter it would be pushed below the
         # cells and have them computed twice. Rejection by a raw field is a plain filter.
         d = self.frame(records, factors, quantities).where(~F.col("__rejected"))
-        whole = F.col("__reject_at").isNull() if self.can_reject else F.lit(True)
-        flat = d.select("__device", "__ts", "__row_id", "__suspect", *extra, F.inline(F.filter("__cells", lambda c: (c["outcome"] == "keep") & whole)))
+        told = [F.col("__moment").alias(moment)] if moment else []
+        flat = d.select("__device", "__ts", "__row_id", *extra, *told, F.inline("__cells")).where("quantity is not null")
+        extra = (*extra, *([moment] if moment else []))
         if quantities is not None:
             flat = flat.where(F.col("quantity").isin(*sorted(quantities)))
         stamp = ingested_at or datetime.now(UTC).isoformat()
         named = flat.select(
             F.lit(book.vendor).alias("source_vendor"), F.lit(book.mapping.get("source", "")).alias("source_dataset"), F.col("__device").alias("device_id"),
             F.col("__ts").alias("ts_utc"), "quantity", "phase", "variant", "harmonic_order", "value", "unit", "aggregation",
-            F.lit(book.interval_s).cast("int").alias("interval_s"), F.when(F.col("__suspect") | F.col("suspect"), "suspect").otherwise("ok").alias("quality"),
+            F.lit(book.interval_s).cast("int").alias("interval_s"), F.when(F.col("suspect"), "suspect").otherwise("ok").alias("quality"),
             F.col("__row_id").alias("source_row_id"), F.lit(str(book.mapping.get("target_schema_version", "1.0.0"))).alias("schema_version"),
             F.lit(stamp).alias("ingested_at"), F.lit(None).cast("string").alias("location_id"), F.lit(None).cast("string").alias("session_id"),
             F.lit(None).cast("int").alias("ts_session_offset_s"), *extra,
@@ -89,18 +89,14 @@ class Transform:
 
     def counters(self) -> list[Column]:
         """Sums over `frame` that give the run's counters."""
-        into, live = F.col("__cells"), ~F.col("__rejected")
+        live = ~F.col("__rejected")
         whole = live & F.col("__reject_at").isNull()
-        kept = F.filter(into, lambda c: c["outcome"] == "keep")
-        # A reject ends the record's judging: drops after it don't count, those before it do.
-        dropped = F.filter(into, lambda c: (c["outcome"] == "drop") & (F.col("__reject_at").isNull() | (c["ord"] < F.col("__reject_at"))))
-        doubtful = F.filter(kept, lambda c: c["suspect"] | F.col("__suspect"))
         total = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
         of = lambda test, n: total(F.when(test, n).otherwise(0))
         one = F.lit(1)
         found = [
-            F.count("*"), of(~live | F.col("__reject_at").isNotNull(), one), of(F.col("__unmapped"), one), of(whole, F.size(kept)),
-            of(whole, F.size(doubtful)), of(live, F.size(dropped)), of(live, F.col("__n_null")), of(live, F.col("__n_unscaled")),
+            F.count("*"), of(~whole, one), of(F.col("__unmapped"), one), of(whole, F.col("__n_kept")),
+            of(whole, F.col("__n_doubtful")), of(live, F.col("__n_dropped")), of(live, F.col("__n_null")), of(live, F.col("__n_unscaled")),
         ]
         return [c.alias(name) for c, name in zip(found, COUNTERS, strict=True)]
 

@@ -38,6 +38,10 @@ def _long(spark, d, book=b.LONG, **more) -> DataFrame:
     return Transform(book).rows(b.long_records(spark, d), None, b.STAMP, **more)
 
 
+#: Products of two prices have four places, so decimals hold them whole and sums in any order agree.
+EXACT = "decimal(28,4)"
+
+
 def _span(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
 
@@ -127,18 +131,18 @@ def fn_none(spark, d):
 
 @query
 def fn_scale_by_factor(spark, d):
-    return _values(spark, d, "voltage")
+    return _values(spark, d, "pressure")
 
 
 @query
 def fn_scale_uk_ik(spark, d):
     columns = [c | {"args": {"factor_field": "uk_ik"}} if c["src"] == "price" else c for c in b.WIDE.mapping["columns"]]
-    return _values(spark, d, "voltage", replace(b.WIDE, mapping=b.WIDE.mapping | {"columns": columns}))
+    return _values(spark, d, "pressure", replace(b.WIDE, mapping=b.WIDE.mapping | {"columns": columns}))
 
 
 @query
 def fn_parse_decimal(spark, d):
-    return _values(spark, d, "thd")
+    return _values(spark, d, "turbidity")
 
 
 @query
@@ -169,7 +173,7 @@ def wide_generated_harmonics(spark, d):
 @query
 def wide_all_cells(spark, d):
     rows = _wide(spark, d, b.with_generated(b.WIDE, columns=True))
-    total = F.round(F.sum("value") / 1e6, 2).alias("total_millions")
+    total = F.sum(F.col("value").cast(EXACT)).cast("string").alias("total")
     return rows.groupBy("quantity", "phase", "harmonic_order").agg(F.count("*").alias("n"), total)
 
 
@@ -182,7 +186,7 @@ def null_cell_skip(spark, d):
 
 
 def _ruled(*rules: dict) -> Query:
-    return lambda spark, d: _span(_wide(spark, d, b.with_rules(b.WIDE, *rules)), "quantity", "quality")
+    return lambda spark, d: _wide(spark, d, b.with_rules(b.WIDE, *rules)).select(F.col("source_row_id").alias("id"), "quantity", "value", "quality")
 
 
 def _rule(target: str, name: str, on_fail: str, kind: str = "range", **bounds) -> dict:
@@ -194,13 +198,13 @@ RULED = {
     "rule_record_suspect": [_rule("field", "disc", "flag_suspect", "not_null")],
     "rule_record_range": [_rule("field", "q", "reject_row", min=2, max=48)],
     "rule_quantity_suspect": [_rule("quantity", "load", "flag_suspect", max=48)],
-    "rule_quantity_drop": [_rule("quantity", "current", "drop_row", max=0.09)],
-    "rule_quantity_reject": [_rule("quantity", "voltage", "reject_row", max=8e8)],
+    "rule_quantity_drop": [_rule("quantity", "flow", "drop_row", max=0.09)],
+    "rule_quantity_reject": [_rule("quantity", "pressure", "reject_row", max=8e8)],
     "rule_one_sided_range": [_rule("quantity", "load", "flag_suspect", min=10)],
     "rule_order": [
         _rule("quantity", "load", "flag_suspect", max=30), _rule("quantity", "load", "drop_row", "not_null"),
         _rule("quantity", "load", "drop_row", max=40), _rule("quantity", "load", "reject_row", max=48),
-        _rule("quantity", "current", "reject_row", max=0.09),
+        _rule("quantity", "flow", "reject_row", max=0.09),
     ],
 }
 for _name, _rules in RULED.items():
@@ -209,7 +213,7 @@ for _name, _rules in RULED.items():
 #: Rules of every kind, whose order decides the counters.
 MIXED = [
     _rule("field", "q", "reject_row", min=2), _rule("quantity", "load", "flag_suspect", max=45), _rule("quantity", "load", "drop_row", max=48),
-    _rule("quantity", "voltage", "reject_row", max=8e8), _rule("quantity", "current", "drop_row", max=0.09),
+    _rule("quantity", "pressure", "reject_row", max=8e8), _rule("quantity", "flow", "drop_row", max=0.09),
 ]
 
 
@@ -379,22 +383,17 @@ def dim_join(spark, d):
     return rows.groupBy("quantity", "unit", "default_unit", "standard_ref", "description").agg(F.count("*").alias("n"))
 
 
-PAIRS = [("voltage", "L1"), ("current", "L1"), ("energy_active_import", "none"), ("voltage_harmonic", "L1"), ("load", "none")]
-
-
-def _both(spark, d, quantities: set[str] | None = None) -> DataFrame:
-    return _wide(spark, d, quantities=quantities).unionByName(_long(spark, d, quantities=quantities))
+PAIRS = [("pressure", "inlet"), ("flow", "inlet"), ("volume_total", "none"), ("pressure_ripple", "inlet"), ("load", "none")]
 
 
-def _minutes(rows: DataFrame) -> DataFrame:
-    """Rounded so that engines agree: voltages here are products in the hundreds of millions."""
-    means = {c: F.round(F.col(c) / (1e6 if c == "voltage_l1" else 1), 4) for c in rows.columns if c not in ("source_vendor", "device_id", "minute")}
-    return rows.withColumns({"minute": F.date_format("minute", "yyyy-MM-dd HH:mm"), **means})
+def _both(spark, d, quantities: set[str] | None = None, **more) -> DataFrame:
+    return _wide(spark, d, quantities=quantities, **more).unionByName(_long(spark, d, quantities=quantities, **more))
 
 
 @query
 def serving_minute_wide(spark, d):
-    return _minutes(publish.minute_wide(_both(spark, d), PAIRS))
+    rows = _both(spark, d, {q for q, _ in PAIRS}, moment="moment")
+    return publish.minute_wide(rows, PAIRS, "moment", digits=4).withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
 
 
 @query
@@ -403,8 +402,13 @@ def serving_snapshot(spark, d):
     name = "fact_" + scratch(spark, "x")[-12:]
     _long(spark, d).write.option("path", scratch(spark, name)).saveAsTable(name)
     book = replace(b.LONG, target={"schema": "default", "table": name, "serving_mode": "table", "serving_schema": "default"})
-    body = "SELECT source_vendor, device_id, quantity, phase, left(ts_utc, 16) AS minute, round(avg(value), 4) AS mean, count(*) AS n FROM {canonical} WHERE quality = 'ok' GROUP BY ALL"
-    return spark.table(publish.publish_serving(spark, book, {f"snapshot_{name}": body}, "parquet")[0])
+    body = "SELECT source_vendor, device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS STRING) AS total, count(*) AS n FROM {canonical} WHERE quality = 'ok' GROUP BY ALL"
+    made = publish.publish_serving(spark, book, {f"snapshot_{name}": body}, "parquet")[0]
+    kept = scratch(spark, "snapshot")
+    spark.table(made).write.parquet(kept)
+    for table in (made, name):  # the catalog is left as it was
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(kept)
 
 
 @query
@@ -419,7 +423,7 @@ def union_vendors(spark, d):
 
 @query
 def convergence(spark, d):
-    rows = _both(spark, d, {"voltage"}).where("quantity = 'voltage' and phase = 'L1'")
+    rows = _both(spark, d, {"pressure"}).where("quantity = 'pressure' and phase = 'inlet'")
     return _span(rows, "source_vendor", "device_id")
 
 

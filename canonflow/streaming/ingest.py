@@ -24,7 +24,7 @@ def start_merge(records: DataFrame, book: Rulebook, checkpoint: str, provider: s
     plan = Transform(book)
 
     def load(batch: DataFrame, _id: int) -> None:
-        merge(plan.rows(batch, ingested_at=ingested_at), book, provider)
+        merge(plan.rows(batch, ingested_at=ingested_at), book, provider, count_table=False)
 
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -18,6 +18,7 @@ from canonflow.operators.merge import spark_type, table_schema, typed_projection
 from canonflow.plans import publish, sink
 from canonflow.plans.transform import COUNTERS, Transform
 from canonflow.rulebook import Rulebook, RulebookError
+from canonflow.scratch import scratch
 from canonflow.session import prepare
 from canonflow.sources import landing
 from canonflow.streaming.ingest import start_merge, stream_dsv
@@ -28,8 +29,8 @@ WIDE = Rulebook(
     mapping={
         "source": "meters",
         "columns": [
-            {"src": "v", "quantity": "voltage", "phase": "L1", "unit": "V", "transform": "scale_by_factor", "args": {"factor_field": "uk"}},
-            {"src": "f", "quantity": "frequency", "phase": "none", "unit": "Hz"},
+            {"src": "v", "quantity": "pressure", "phase": "L1", "unit": "V", "transform": "scale_by_factor", "args": {"factor_field": "uk"}},
+            {"src": "f", "quantity": "humidity", "phase": "none", "unit": "rh"},
         ],
     },
 )
@@ -41,8 +42,8 @@ LONG = Rulebook(
         "access": {"layout": "vendor=acme_long/date={date}"},
     },
     mapping={"rows": [
-        {"key": "1", "quantity": "power", "phase": "none", "unit": "W"}, {"key": "2", "quantity": "voltage", "phase": "L1", "unit": "V"},
-        {"key": "2", "quantity": "energy", "phase": "none", "unit": "kWh", "aggregation": "counter", "harmonic_order": 5},
+        {"key": "1", "quantity": "flow", "phase": "none", "unit": "W"}, {"key": "2", "quantity": "pressure", "phase": "L1", "unit": "V"},
+        {"key": "2", "quantity": "volume", "phase": "none", "unit": "m3", "aggregation": "counter", "harmonic_order": 5},
     ]},
 )
 SCHEMA = "meter string, ts string, id string, v string, f string"
@@ -76,9 +77,9 @@ ROW = ("7", "2025-01-01T00:00:00", "1", "230.0", "50.0")
 def test_scaling_constants_and_id(spark):
     rows, stats = run(spark, WIDE, ROW)
     assert [(r.quantity, r.value, r.device_id, r.interval_s, r.quality, r.aggregation) for r in rows] == [
-        ("voltage", 460.0, "acme:meter:7", 60, "ok", "average"), ("frequency", 50.0, "acme:meter:7", 60, "ok", "average"),
+        ("pressure", 460.0, "acme:meter:7", 60, "ok", "average"), ("humidity", 50.0, "acme:meter:7", 60, "ok", "average"),
     ]
-    key = "source_vendor='acme'|device_id='acme:meter:7'|ts_utc='2025-01-01T00:00:00Z'|quantity='voltage'|phase='L1'|variant='none'|harmonic_order=None|aggregation='average'|source_row_id='1'"
+    key = "source_vendor='acme'|device_id='acme:meter:7'|ts_utc='2025-01-01T00:00:00Z'|quantity='pressure'|phase='L1'|variant='none'|harmonic_order=None|aggregation='average'|source_row_id='1'"
     assert rows[0].measurement_id == hashlib.sha256(key.encode()).hexdigest()[:32]
     assert stats["rows_emitted"] == 2 and stats["records_in"] == 1
     assert {r.ingested_at for r in rows} == {"stamp"}
@@ -137,7 +138,7 @@ def test_literals(spark, text):
     assert spark.createDataFrame([(text,)], "x string").select(literal(F.col("x"))).first()[0] == repr(text)
 
 
-F_RANGE = {"quantity": "frequency", "type": "range", "min": 45, "max": 65}
+F_RANGE = {"quantity": "humidity", "type": "range", "min": 45, "max": 65}
 
 
 @pytest.mark.parametrize(("on_fail", "left", "counts"), [
@@ -155,10 +156,10 @@ def test_nan_passes_ranges(spark):
 
 
 def test_drops_before_a_reject_count_and_suspects_do_not(spark):
-    rules = [{"quantity": "voltage", "type": "range", "max": 400, "on_fail": "drop_row"}, F_RANGE | {"on_fail": "reject_row"}]
+    rules = [{"quantity": "pressure", "type": "range", "max": 400, "on_fail": "drop_row"}, F_RANGE | {"on_fail": "reject_row"}]
     _, stats = run(spark, ruled(WIDE, *rules), (*ROW[:4], "70"))
     assert (stats["rows_dropped"], stats["records_rejected"], stats["rows_emitted"]) == (1, 1, 0)
-    later = [{"quantity": "voltage", "type": "range", "max": 400, "on_fail": "reject_row"}, F_RANGE | {"on_fail": "drop_row"}]
+    later = [{"quantity": "pressure", "type": "range", "max": 400, "on_fail": "reject_row"}, F_RANGE | {"on_fail": "drop_row"}]
     _, stats = run(spark, ruled(WIDE, *later), (*ROW[:4], "70"))
     assert (stats["rows_dropped"], stats["records_rejected"]) == (0, 1)
 
@@ -199,7 +200,7 @@ def test_long_lookup(spark):
     t = Transform(LONG)
     rows = t.rows(d).collect()
     assert [(r.quantity, r.value, r.ts_utc, r.aggregation, r.harmonic_order, r.device_id) for r in rows] == [
-        ("power", 230.5, "2026-06-14T21:00:00.246Z", "instantaneous", None, "acme_long:device"), ("energy", 7.0, None, "counter", 5, "acme_long:device"),
+        ("flow", 230.5, "2026-06-14T21:00:00.246Z", "instantaneous", None, "acme_long:device"), ("volume", 7.0, None, "counter", 5, "acme_long:device"),
     ]
     s = t.stats(d).first()
     assert (s.records_in, s.records_unmapped, s.cells_null_skipped, s.rows_emitted) == (5, 2, 1, 2)
@@ -215,7 +216,7 @@ def test_empty_input(spark):
 def test_quantity_pruning_keeps_rejecting_cells(spark):
     book = ruled(WIDE, F_RANGE | {"on_fail": "reject_row"})
     t, d = Transform(book), wide(spark, ROW, (*ROW[:4], "70"))
-    assert [r.quantity for r in t.rows(d, factors(spark), quantities={"voltage"}).collect()] == ["voltage"]
+    assert [r.quantity for r in t.rows(d, factors(spark), quantities={"pressure"}).collect()] == ["pressure"]
 
 
 def land(root, name, body, fetched_at=None):
@@ -351,3 +352,101 @@ def test_stream_upserts(spark, tmp_path):
         start_merge(stream_dsv(spark, f"file://{tmp_path}/in", TARGET), TARGET, f"file://{tmp_path}/cp", "parquet", "2025-01-01T00:00:00+00:00").awaitTermination(120)
         land(tmp_path / "in", "b.tsv", "1\t6\t1781470800246\n1\t7\t1781470900000\n")
     assert sorted(r.value for r in spark.table(name).collect()) == [6.0, 7.0]
+
+
+def test_native_merge_is_one_upsert(spark, monkeypatch):
+    """The calls that make the table's own MERGE, and the plan that a table without it refuses."""
+    calls = []
+
+    class Made:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name) or self
+
+    monkeypatch.setattr(type(factors(spark)), "mergeInto", lambda self, name, test: calls.append((name, str(test._jc), self.columns)) or Made())
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    sink.ensure_table(spark, TARGET, "parquet")
+    rows = staged(spark, ("m1", "2025-01-01T00:00:00Z", "q", 1.0, "2025-01-01T00:00:00+00:00"), ("m1", "2025-01-01T00:00:00Z", "q", 2.0, "2025-01-02T00:00:00+00:00"))
+    r = sink.merge(rows, TARGET, "delta")
+    assert (r.staged, r.merged, r.before, r.after) == (2, 1, 0, 0)
+    name, test, columns = calls[0]
+    assert name == "lab.fact_test" and test.replace("'", "").strip("()") == "fact_test.measurement_id = staged.measurement_id"
+    assert columns == table_schema(TARGET).names
+    assert calls[1:] == ["whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="(?i)merge"):
+        sink.merge_rows(sink.prepared(rows, TARGET), "lab.fact_test", ["measurement_id"])
+
+
+def test_merge_reads_staged_rows_once(spark):
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    sink.ensure_table(spark, TARGET, "parquet")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = staged(spark, *[(f"m{k}", "2025-01-01T00:00:00Z", "q", 1.0, "2025-01-01T00:00:00+00:00") for k in range(20)])
+    r = sink.merge(rows.mapInArrow(count, rows.schema), TARGET, "parquet", count_table=False)
+    assert (r.staged, r.merged, r.before, r.after, seen.value) == (20, 20, None, None, 20)
+
+
+def test_table_properties_reach_the_catalog(spark):
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    name = sink.ensure_table(spark, TARGET, "parquet")
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["a.b"] == "it's"
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert told["ts_utc"] == "timestamp" and told["value"] == "double" and "# Partition Information" in told
+
+
+def test_factors_given_twice_raise(spark):
+    twice = factors(spark).union(factors(spark))
+    with pytest.raises(Exception, match="twice for meter 7"):
+        Transform(WIDE).rows(wide(spark, ROW), twice).collect()
+
+
+def test_long_values_of_every_transform(spark):
+    book = replace(LONG, source=LONG.source | {"record": LONG.record | {"meter_field": "meter"}}, mapping={"rows": [
+        {"key": "a", "quantity": "flow", "phase": "none", "unit": "W"},
+        {"key": "b", "quantity": "flow", "phase": "none", "unit": "W", "transform": "parse_decimal", "args": {"decimal_separator": ","}},
+        {"key": "c", "quantity": "pressure", "phase": "none", "unit": "V", "transform": "scale_by_factor", "args": {"factor_field": "uk_ik"}},
+    ]})
+    d = spark.createDataFrame([("7", "a", "1.5", "0"), ("7", "b", "1,5", "0"), ("7", "c", "2", "0"), ("8", "c", "2", "0")], "meter string, key string, value string, timestamp string")
+    t = Transform(ruled(book, {"quantity": "pressure", "type": "range", "max": 11, "on_fail": "drop_row"}, {"quantity": "flow", "type": "range", "max": 1, "on_fail": "flag_suspect"}))
+    assert sorted((r.quantity, r.value, r.quality) for r in t.rows(d, factors(spark)).collect()) == [("flow", 1.5, "suspect"), ("flow", 1.5, "suspect")]
+    s = t.stats(d, factors(spark)).first()
+    assert (s.rows_emitted, s.rows_suspect, s.rows_dropped, s.cells_factor_missing) == (2, 2, 1, 1)
+
+
+def test_moments_are_read_once_a_record(spark):
+    rows = Transform(WIDE).rows(wide(spark, ROW, ("7", "2025-01-01T02:00:00+02:00", "2", "230.0", None)), factors(spark), moment="at").collect()
+    assert {(r.source_row_id, str(r["at"])) for r in rows} == {("1", "2025-01-01 00:00:00"), ("2", "2025-01-01 00:00:00")}
+    d = spark.createDataFrame([("1", "230.5", "1781470800246")], "key string, value string, timestamp string")
+    assert str(Transform(LONG).rows(d, moment="at").first()["at"]) == "2026-06-14 21:00:00.246000"
+
+
+def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Session, "x")
+    Session.conf["spark.master"] = "local-cluster[2,1,512]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Session, "x")
+    Session.conf["spark.checkpoint.dir"] = "s3a://bucket/x/"
+    assert scratch(Session, "y").startswith("s3a://bucket/x/y-")
+    Session.conf = Conf({"spark.master": "local[4]"})
+    assert scratch(Session, "y").startswith("file:///") and Session.conf["spark.checkpoint.dir"].startswith("file:///")
+
+
+def test_plans_build_without_lambdas(spark):
+    """Scan, lookups, cells and the generator compile; only ids of hidden characters need a lambda."""
+    t = Transform(ruled(WIDE, F_RANGE | {"on_fail": "reject_row"}))
+    for d in (t.rows(wide(spark, ROW), factors(spark)).drop("measurement_id"), t.stats(wide(spark, ROW), factors(spark))):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "lambda" not in plan and "Python" not in plan
