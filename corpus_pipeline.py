@@ -52,7 +52,8 @@ STAGES = [
     ("best_fit_packing", _pack),
 ]
 
-#: Learned rules and token ids can't be expressed in SQL; tests compare with a brute-force version.
+#: Learned rules and token ids can't be expressed in SQL; tests/llm/test_pipeline.py compares every
+#: stage with plain Python.
 ORACLE_SQL = None
 
 
