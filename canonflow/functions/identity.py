@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: control and Latin-1 characters that a literal shows in hexadecimal.
 _HIDDEN = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\xa0\\xad]"
+#: Printable ASCII but for quotes and the backslash: a literal shows it as it is.
+_PLAIN = r"^[ !#-&(-\[\]-~]*$"
 
 
 def literal(text: Column) -> Column:
@@ -24,6 +26,14 @@ def literal(text: Column) -> Column:
 
 
 def measurement_id(fields: list[tuple[str, Column, bool]]) -> Column:
-    """fields: name, value, whether it is a text. 32 hex digits."""
-    parts = [F.concat(F.lit(f"{name}="), literal(value) if is_text else F.coalesce(value.cast("string"), F.lit("None"))) for name, value, is_text in fields]
-    return F.left(F.sha2(F.concat_ws("|", *parts), 256), F.lit(32))
+    """fields: name, value, whether it is a text. 32 hex digits. Texts that show as they are, as nearly
+    all do, are told by one pattern over all of them."""
+    texts = [value for _, value, is_text in fields if is_text]
+    quoted = lambda v: F.coalesce(F.concat(F.lit("'"), v, F.lit("'")), F.lit("None"))
+
+    def shown(text) -> Column:
+        parts = [F.concat(F.lit(f"{name}="), text(value) if is_text else F.coalesce(value.cast("string"), F.lit("None"))) for name, value, is_text in fields]
+        return F.concat_ws("|", *parts)
+
+    plain = F.concat_ws("", *texts).rlike(_PLAIN)
+    return F.left(F.sha2(F.when(plain, shown(quoted)).otherwise(shown(literal)), 256), F.lit(32))

@@ -29,3 +29,8 @@ def number(raw: Column, booleans: bool = False, numeric: bool = False) -> Column
 def factor(name: str, uk: Column, ik: Column) -> Column:
     """A device factor, null if a part of it is missing."""
     return {"uk": uk, "ik": ik, "uk_ik": uk * ik}[name]
+
+
+def exact_sum(value: Column, digits: int) -> Column:
+    """A sum in units of the last of so many places, which doesn't depend on the order of its terms."""
+    return F.sum(F.floor(value * F.lit(10.0**digits) + F.lit(0.5)).cast("decimal(20,0)"))

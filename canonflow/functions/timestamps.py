@@ -17,26 +17,23 @@ _FIRST_S, _LAST_S = -62_135_596_800, 253_402_300_799  # years 1 to 9999
 _PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?$"
 
 
-def _parts(text: Column) -> Column:
-    """Year, month, day, hour, minute, second, fraction, offset: empty where the text has none."""
-    groups = ",".join(f"${n}" for n in range(1, 9))
-    flat = F.when(text.rlike(_EXTENDED), F.regexp_replace(text, _EXTENDED, groups)).when(text.rlike(_BASIC), F.regexp_replace(text, _BASIC, groups))
-    return F.split(flat, ",")
+#: How what an ISO text leaves out is filled in, one after the other: hour, minute, second, fraction
+#: (of which microseconds are kept), offset and its minutes.
+_FILLED = [
+    (" :", " 00:"), ("::", ":00:"), (":\\.", ":00."), ("\\. ", ".0 "), (r"\.(\d{6})\d+", ".$1"), (" $", " Z"),
+    (r" ([+-]\d{2})$", " $1:00"), (r" ([+-]\d{2})(\d{2})$", " $1:$2"), (r" (\S+)$", "$1"),
+]
 
 
 def iso_instant(text: Column) -> Column:
     """The instant of an ISO text, naive ones taken as UTC; null if it is none. The usual form is
-    cast as it is; only other forms are taken apart."""
-    parts = _parts(text)
-
-    def part(n: int, default: str) -> Column:
-        return F.coalesce(F.nullif(F.get(parts, F.lit(n)), F.lit("")), F.lit(default))
-
-    offset = F.regexp_replace(F.upper(part(7, "Z")), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
-    offset = F.when(F.endswith(offset, F.lit(":")), F.concat(offset, F.lit("00"))).otherwise(offset)
-    day = F.concat_ws("-", part(0, ""), part(1, ""), part(2, ""))
-    clock = F.concat_ws(":", part(3, "00"), part(4, "00"), part(5, "00"))
-    stamp = F.concat(day, F.lit(" "), clock, F.lit("."), F.substring(part(6, "0"), 1, 6), offset)
+    cast as it is; only other forms are rewritten, each step naming the one before once, so that the
+    expression stays small."""
+    groups = "$1-$2-$3 $4:$5:$6.$7 $8"
+    usual = F.when(text.rlike(_EXTENDED), F.regexp_replace(text, _EXTENDED, groups)).when(text.rlike(_BASIC), F.regexp_replace(text, _BASIC, groups))
+    stamp = F.upper(usual)
+    for pattern, by in _FILLED:
+        stamp = F.regexp_replace(stamp, pattern, by)
     return F.when(text.rlike(_PLAIN), text.try_cast("timestamp")).otherwise(stamp.try_cast("timestamp"))
 
 
@@ -45,7 +42,8 @@ def utc_text(raw: Column, kind: str) -> Column:
     instant. Null if it can't be parsed; an epoch outside years 1 to 9999 raises."""
     text = raw.cast("string")
     if kind == "iso8601":
-        named = text.rlike(r"^[\d-]{8,10}.\d.*(Z|z|[+-]\d{2}(:?\d{2})?)$")
+        # Only a text with a clock names an offset, at its end.
+        named = (F.length(text) > 10) & F.right(text, F.lit(6)).rlike(r"(Z|z|[+-]\d{2}(:?\d{2})?)$")
         return F.when(iso_instant(text).isNotNull(), F.when(named, text).otherwise(F.concat(text, F.lit("Z"))))
     ticks = F.trim(text).try_cast("bigint")
     unit = 1000 if kind == "epoch_ms" else 1

@@ -1,6 +1,6 @@
 """From a record to measurement cells: values and verdicts as plain columns, one set a cell.
 
-Nothing here needs a lambda, so a scan, its lookups, the cells and `inline` compile to one stage.
+Nothing here needs a lambda, so a scan, its lookups and the cells compile to one stage.
 """
 
 from __future__ import annotations

@@ -80,8 +80,8 @@ ORACLES = {
     "join_device_factors": _with(_W, "SELECT meter, uk, ik, count(*) AS n FROM wf GROUP BY ALL"),
     "wide_unpivot": _with(_W, "SELECT id, quantity, phase, unit, value FROM c"),
     "wide_generated_harmonics": _with(_W + "," + _G, "SELECT id, phase, harmonic_order, value FROM g"),
-    "wide_all_cells": _with(_W + "," + _G, """SELECT quantity, phase, CAST(NULL AS INT) AS harmonic_order, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) AS total FROM c GROUP BY ALL
-        UNION ALL SELECT 'pressure_ripple', phase, harmonic_order, count(*), CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) FROM g GROUP BY ALL"""),
+    "wide_all_cells": _with(_W + "," + _G, """SELECT quantity, phase, CAST(NULL AS INT) AS harmonic_order, count(*) AS n, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) AS VARCHAR) AS total FROM c GROUP BY ALL
+        UNION ALL SELECT 'pressure_ripple', phase, harmonic_order, count(*), CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) AS VARCHAR) FROM g GROUP BY ALL"""),
     "null_cell_skip": _with(_W, "SELECT count(*) AS cells_null_skipped FROM w WHERE disc IS NULL"),
     "rule_record_not_null": _ruled("disc IS NOT NULL"),
     "rule_record_suspect": _ruled(quality="CASE WHEN disc IS NULL THEN 'suspect' ELSE 'ok' END"),
@@ -114,11 +114,11 @@ ORACLES = {
         ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description)"""),
     "dim_join": _with(_L, """SELECT lr.quantity, unit, default_unit, standard_ref, description, count(*) AS n FROM lr LEFT JOIN (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
         ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description) ON v.quantity = lr.quantity GROUP BY ALL"""),
-    "serving_minute_wide": _with(_W + "," + _L, """SELECT source_vendor, device_id, minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'pressure') AS DOUBLE) / count(*) FILTER (quantity = 'pressure') AS pressure_inlet, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'flow') AS DOUBLE) / count(*) FILTER (quantity = 'flow') AS flow_inlet,
-        CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'volume_total') AS DOUBLE) / count(*) FILTER (quantity = 'volume_total') AS volume_total, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'pressure_ripple') AS DOUBLE) / count(*) FILTER (quantity = 'pressure_ripple') AS pressure_ripple_inlet, CAST(sum(CAST(value AS DECIMAL(28, 4))) FILTER (quantity = 'load') AS DOUBLE) / count(*) FILTER (quantity = 'load') AS load
+    "serving_minute_wide": _with(_W + "," + _L, """SELECT source_vendor, device_id, minute, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'pressure') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'pressure') AS pressure_inlet, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'flow') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'flow') AS flow_inlet,
+        CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'volume_total') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'volume_total') AS volume_total, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'pressure_ripple') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'pressure_ripple') AS pressure_ripple_inlet, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'load') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'load') AS load
         FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS minute, quantity, value FROM c WHERE quantity <> 'turbidity'
           UNION ALL SELECT 'demo_long', 'demo:site:device', strftime(ts, '%Y-%m-%d %H:%M'), quantity, value FROM lr) x GROUP BY source_vendor, device_id, minute"""),
-    "serving_snapshot": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS VARCHAR) AS total, count(*) AS n FROM lr GROUP BY ALL"),
+    "serving_snapshot": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) AS VARCHAR) AS total, count(*) AS n FROM lr GROUP BY ALL"),
     "minute_completeness": _with(_L, """SELECT 'demo:site:device' AS device_id, p AS minutes_present, q AS minutes_possible, round(100.0 * p / q, 4) AS percent
         FROM (SELECT count(DISTINCT date_trunc('minute', ts)) AS p, epoch_us(max(date_trunc('minute', ts)) ) // 60000000 - epoch_us(min(date_trunc('minute', ts))) // 60000000 + 1 AS q FROM lr) z"""),
     "union_vendors": _with(_W + "," + _L, "SELECT 'demo_wide' AS source_vendor, count(*) AS n FROM c UNION ALL SELECT 'demo_long', count(*) FROM lr"),

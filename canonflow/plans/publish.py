@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import exact_sum
 from ..functions.timestamps import instant
 from ..rulebook import Rulebook
 
@@ -43,8 +44,8 @@ def _name(quantity: str, phase: str) -> str:
 
 def minute_wide(fact: DataFrame, pairs: list[tuple[str, str]], moment: str = "ts_utc", digits: int | None = None) -> DataFrame:
     """vendor, device, minute and the mean of each (quantity, phase), of rows that are ok. moment: the
-    column with a row's instant; canonical text is parsed. digits: values are summed as decimals with
-    so many places, so that a mean doesn't depend on their order."""
+    column with a row's instant; canonical text is parsed. digits: values are summed to so many
+    places exactly, so that a mean doesn't depend on their order."""
     ts = instant(F.col(moment)) if isinstance(fact.schema[moment].dataType, T.StringType) else F.col(moment)
     test: Column = F.lit(False)
     for q, p in pairs:
@@ -54,7 +55,7 @@ def minute_wide(fact: DataFrame, pairs: list[tuple[str, str]], moment: str = "ts
         value = F.when((F.col("quantity") == q) & (F.col("phase") == p), F.col("value"))
         if digits is None:
             return F.avg(value)
-        return F.sum(value.cast(f"decimal(28,{digits})")).cast("double") / F.count(value)
+        return exact_sum(value, digits).cast("double") / F.lit(10.0**digits) / F.count(value)
 
     means = [mean(q, p).alias(_name(q, p)) for q, p in pairs]
     some = fact.where((F.col("quality") == "ok") & test).withColumn("minute", F.date_trunc("minute", ts))

@@ -1,7 +1,7 @@
 """The rulebook compiled to one DataFrame plan: raw records to canonical rows and counts.
 
-The plan has one compiled stage: scan, broadcast lookup, projections, `inline`. Rules never need a
-shuffle, since a record's cells stay together until they have been judged.
+The plan has one stage: scan, broadcast lookup, projections, `inline`. Rules never need a shuffle,
+since a record's cells stay together until they have been judged.
 """
 
 from __future__ import annotations
@@ -71,7 +71,9 @@ class Transform:
         # cells and have them computed twice. Rejection by a raw field is a plain filter.
         d = self.frame(records, factors, quantities).where(~F.col("__rejected"))
         told = [F.col("__moment").alias(moment)] if moment else []
-        flat = d.select("__device", "__ts", "__row_id", *extra, *told, F.inline("__cells")).where("quantity is not null")
+        # array_compact isn't compiled with its neighbours, so a record's columns are made once, ahead
+        # of the generator; compiled together, they would be made anew for each of its cells.
+        flat = d.select("__device", "__ts", "__row_id", *extra, *told, F.inline(F.array_compact("__cells")))
         extra = (*extra, *([moment] if moment else []))
         if quantities is not None:
             flat = flat.where(F.col("quantity").isin(*sorted(quantities)))

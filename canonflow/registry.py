@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bindings as b
-from .functions.numbers import number
+from .functions.numbers import exact_sum, number
 from .functions.timestamps import event_date, utc_text
 from .operators.cells import join_factors
 from .operators.merge import dedupe_latest, keyed, table_schema, typed_projection, upsert
@@ -38,10 +38,6 @@ def _long(spark, d, book=b.LONG, **more) -> DataFrame:
     return Transform(book).rows(b.long_records(spark, d), None, b.STAMP, **more)
 
 
-#: Products of two prices have four places, so decimals hold them whole and sums in any order agree.
-EXACT = "decimal(28,4)"
-
-
 def _span(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
 
@@ -173,7 +169,7 @@ def wide_generated_harmonics(spark, d):
 @query
 def wide_all_cells(spark, d):
     rows = _wide(spark, d, b.with_generated(b.WIDE, columns=True))
-    total = F.sum(F.col("value").cast(EXACT)).cast("string").alias("total")
+    total = exact_sum(F.col("value"), 4).cast("string").alias("total")
     return rows.groupBy("quantity", "phase", "harmonic_order").agg(F.count("*").alias("n"), total)
 
 
@@ -402,7 +398,7 @@ def serving_snapshot(spark, d):
     name = "fact_" + scratch(spark, "x")[-12:]
     _long(spark, d).write.option("path", scratch(spark, name)).saveAsTable(name)
     book = replace(b.LONG, target={"schema": "default", "table": name, "serving_mode": "table", "serving_schema": "default"})
-    body = "SELECT source_vendor, device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(value AS DECIMAL(28, 4))) AS STRING) AS total, count(*) AS n FROM {canonical} WHERE quality = 'ok' GROUP BY ALL"
+    body = "SELECT source_vendor, device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(floor(value * 10000 + 0.5) AS DECIMAL(20, 0))) AS STRING) AS total, count(*) AS n FROM {canonical} WHERE quality = 'ok' GROUP BY ALL"
     made = publish.publish_serving(spark, book, {f"snapshot_{name}": body}, "parquet")[0]
     kept = scratch(spark, "snapshot")
     spark.table(made).write.parquet(kept)
