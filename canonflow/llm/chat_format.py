@@ -10,7 +10,8 @@ Defined cases: a null text or role counts as empty; turns with equal numbers are
 then text, and null numbers come first; repeated rows are turns of their own; turns without a
 conv_id form one conversation with a null id; a role that the machine doesn't expect, or doesn't
 know, is formatted too, with in_order false, and the machine goes on from that role; other
-columns are not read; an empty table gives no rows.
+columns are not read; an empty table gives no rows. A very long text is held whole, once escaped, by
+the task that formats or reads it; a conversation of any length is not.
 """
 
 from __future__ import annotations
@@ -48,16 +49,18 @@ class Template:
     def __post_init__(self):
         if len(self.guard) < 2 or "\\" in self.guard or not all(x.startswith(self.guard) for x in (self.start, self.end)):
             raise ValueError("both markers must start with the guard, of two characters or more without a backslash")
+        if self.guard[1] == "n" or len(self.after_role) != 1 or self.after_role in f"\\n{self.guard}{self.start}":
+            raise ValueError("one character must follow a role that is no backslash, no n and not in the start marker; the guard's second one is no n")
 
     def escape(self, text: str) -> str:
         return text.replace("\\", "\\\\").replace(self.guard, f"{self.guard[0]}\\{self.guard[1:]}")
 
     def escape_role(self, role: str) -> str:
-        return self.escape(role).replace(self.after_role, "\\n") if self.after_role == "\n" else self.escape(role)
+        """A role ends at the first `after_role`, so inside one that is written as a backslash and n."""
+        return self.escape(role).replace(self.after_role, "\\n")
 
-    @staticmethod
-    def unescape(text: str) -> str:
-        return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.S) if "\\" in text else text
+    def unescape(self, text: str) -> str:
+        return re.sub(r"\\(.)", lambda m: self.after_role if m[1] == "n" else m[1], text, flags=re.S) if "\\" in text else text
 
 
 def _sorted_turns(turns: DataFrame) -> DataFrame:

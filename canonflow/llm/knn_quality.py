@@ -7,11 +7,15 @@ are broadcast; every document's exact cosines to all of them come from blocked m
 and its nearest neighbours' labels are averaged, weighted by a power of the similarity.
 
 At most SAMPLE labelled rows are learned from, those whose hashed doc_id is lowest: that bounds
-what reaches the driver (8 KB a row) and what is broadcast.
+what reaches the driver (8 KB a row) and what is broadcast. Terms' rarity is part of what is learned,
+and comes from that sample too.
 
 Defined cases: a null or empty text has shape terms only and is scored like any other; without
 labelled rows every score is 0.5; a document labelled more than once has its lowest label;
-repeated rows are scored each; other columns are not read; an empty table gives no rows.
+repeated rows are scored each, and equal ones alike; of points with the same cosine at the last place
+among the neighbours, which are equal in all but their labels at most, any may vote; other columns
+are not read; an empty table gives no rows. A very long text is held by one task with its words and
+one row of terms, some 40 bytes for each word.
 """
 
 from __future__ import annotations

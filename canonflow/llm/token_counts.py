@@ -4,7 +4,9 @@ Tasks count lengths before the shuffle, so one row per length and task moves. Su
 the histogram answer totals, quantiles and truncated totals for every context limit.
 
 Defined cases: a null text counts as empty and has length 0; repeated rows count each; other
-columns are not read; an empty table gives an empty histogram, and answers of 0 or null.
+columns are not read; there is nothing to tie, as equal lengths are one row; an empty table gives an
+empty histogram, and answers of 0 or null. A very long text is encoded piece by piece (`tokens.PIECE`),
+but its ids are held whole, four bytes each.
 """
 
 from __future__ import annotations
