@@ -29,11 +29,10 @@ def measurement_id(fields: list[tuple[str, Column, bool]]) -> Column:
     """fields: name, value, whether it is a text. 32 hex digits. Texts that show as they are, as nearly
     all do, are told by one pattern over all of them."""
     texts = [value for _, value, is_text in fields if is_text]
+    bare = lambda v: F.coalesce(v.cast("string"), F.lit("None"))
     quoted = lambda v: F.coalesce(F.concat(F.lit("'"), v, F.lit("'")), F.lit("None"))
-
-    def shown(text) -> Column:
-        parts = [F.concat(F.lit(f"{name}="), text(value) if is_text else F.coalesce(value.cast("string"), F.lit("None"))) for name, value, is_text in fields]
-        return F.concat_ws("|", *parts)
-
-    plain = F.concat_ws("", *texts).rlike(_PLAIN)
-    return F.left(F.sha2(F.when(plain, shown(quoted)).otherwise(shown(literal)), 256), F.lit(32))
+    plain = F.concat_ws("|", *[F.concat(F.lit(f"{name}="), quoted(value) if is_text else bare(value)) for name, value, is_text in fields])
+    # One rule for all fields, so that the expression stays small.
+    told = F.array(*[F.struct(F.lit(f"{name}=").alias("name"), value.cast("string").alias("v"), F.lit(is_text).alias("is_text")) for name, value, is_text in fields])
+    shown = F.array_join(F.transform(told, lambda f: F.concat(f["name"], F.when(f["is_text"], literal(f["v"])).otherwise(bare(f["v"])))), "|")
+    return F.left(F.sha2(F.when(F.concat_ws("", *texts).rlike(_PLAIN), plain).otherwise(shown), 256), F.lit(32))

@@ -11,7 +11,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from canonflow.functions.identity import literal
+from canonflow.functions.identity import literal, measurement_id
 from canonflow.functions.numbers import number
 from canonflow.functions.timestamps import event_date, instant, utc_text
 from canonflow.operators.merge import spark_type, table_schema, typed_projection
@@ -452,3 +452,10 @@ def test_counters_need_no_lambdas(spark):
     assert "lambda" not in plan and "Python" not in plan
     plan = shown(t.rows(wide(spark, ROW), factors(spark)).drop("measurement_id"))
     assert plan.count("lambdafunction") == 1 and "Python" not in plan
+
+
+@pytest.mark.parametrize("row", [("a", "b", 1), ("it's", None, None), (None, "tab\t", 3), ("ä\x01", 'say "x"', None), ("", "a b~!", 0)])
+def test_ids_of_any_texts(spark, row):
+    d = spark.createDataFrame([row], "x string, y string, n int")
+    key = f"x={row[0]!r}|y={row[1]!r}|n={row[2]}"
+    assert d.select(measurement_id([("x", F.col("x"), True), ("y", F.col("y"), True), ("n", F.col("n"), False)])).first()[0] == hashlib.sha256(key.encode()).hexdigest()[:32]
