@@ -21,7 +21,7 @@ grows with a bucket's members times those outside its largest component.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with nothing and is
 kept; with fewer words than a shingle, the whole sequence is one shingle; rows that repeat a
-doc_id share its class; a row with a null doc_id takes its class's component and is kept only
+doc_id and text share a verdict; a row with a null doc_id takes its class's component and is kept only
 if that is null; equal similarities need no order, as links are only present or absent; other columns,
 whatever their names, pass through `near_dedup`; an empty table gives no rows. A very long text is
 held by one task with its words and shingles, some 60 bytes for each word.
@@ -120,7 +120,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, fit: Fit) -> DataFrame:
-    """doc_id, n_shingles, set_key (null if empty), bands, sig."""
+    """doc_id, n_shingles, set_key (null if empty), bands, sig, text_key."""
     count = fit.bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +133,13 @@ def sketches(docs: DataFrame, fit: Fit) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_key, pa.binary()),
-                        pa.array(list(keys), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sig], pa.binary()),
+                        pa.array(list(keys), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sig], pa.binary()), batch.column(2).slice(a, b - a),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands", "sig"],
+                    ["doc_id", "n_shingles", "set_key", "bands", "sig", "text_key"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary, text_key long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -280,6 +281,11 @@ def _as_bytes(sets: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs`; pairs of a Jaccard
     similarity of `percent` or more are linked."""
+    return _grouped(docs, percent).drop("text_key")
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """The same with text_key, which tells rows that repeat a doc_id apart."""
     fit = Fit(percent)
     all_ = written(sketches(docs, fit), "sketches")
     best = F.min(F.struct("doc_id", "bands", "sig", "n_shingles")).alias("best")
@@ -300,15 +306,16 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = reps.select("set_key", F.col("rep").alias("node")).join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
-    found = all_.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
+    found = all_.select("doc_id", "n_shingles", "set_key", "text_key").join(classes, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each group, the smallest doc_id."""
-    stay = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("__stay_id")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["__stay_id"]), "left_semi")
+    stay = _grouped(docs, percent).where("kept").select(F.col("doc_id").alias("__stay_id"), F.col("text_key").alias("__stay_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(stay["__stay_id"]) & (F.xxhash64(docs["text"].cast("string")) == stay["__stay_key"])
+    return docs.join(stay, same, "left_semi")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

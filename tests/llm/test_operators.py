@@ -689,14 +689,44 @@ def test_repeated_rows_and_null_ids(spark):
     d = spark.createDataFrame([(1, text, "en", "s", 0), (1, text, "en", "s", 0), (None, text, "en", None, 0), (None, None, None, None, None), (1, "other " + text, "en", "s", 0)], SCHEMA)
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert sorted((r.doc_id or 0, r.group_size) for r in exact_dedup.exact_groups(d).collect()) == [(0, 1), (0, 3), (1, 1), (1, 3), (1, 3)]
-    assert minhash.near_groups(d).count() == 5
-    assert substring_dedup.remove_repeats(d).count() == 5
-    assert curriculum.plan(d).count() == 5 and packing.pack_documents(d).count() == 5
-    assert quality_rules.judged(d, []).count() == 5
-    assert knn_quality.score(d, knn_quality.fit(d, labels)).count() == 5
-    curriculum.mix(d).collect()
-    exact_dedup.dedup(d).collect()
-    minhash.near_dedup(d).collect()
+    near = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_groups(d).collect())
+    assert near == Counter({(1, 56, 1, True): 2, (1, 57, 1, True): 1, (None, 56, 1, False): 1, (None, 0, None, True): 1})
+    cut = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.remove_repeats(d).collect())
+    assert cut == Counter({(None, 60, 0, text): 1, (None, 0, 0, ""): 1, (1, 60, 60, ""): 2, (1, 61, 60, "other"): 1})
+    packed = Counter((r.doc_id, r.length) for r in packing.pack_documents(d).collect())
+    n = len(tokens.encode(text, tokens.vocabulary_path())) + 1
+    assert packed[1, n] == 2 and packed[None, n] == 1 and packed[None, 1] == 1 and packed.total() == 5
+    judged = [(r.doc_id, r["__q"].n_words, r["__q_base_failed"]) for r in quality_rules.judged(d, []).collect()]
+    assert Counter(judged) == Counter({(1, 60, False): 2, (None, 60, False): 1, (None, 0, True): 1, (1, 61, False): 1})
+    scores = defaultdict(set)
+    for r in knn_quality.score(d.where("text is not null and text not like 'other%'"), knn_quality.fit(d, labels)).collect():
+        scores["text"].add(r.score)
+    assert len(scores["text"]) == 1
+    assert token_counts.length_histogram(d).agg(F.sum("n_docs")).first()[0] == 5
+    copies = Counter()
+    for r in curriculum.plan(d).collect():
+        copies[r.doc_id, r["size"]] += r.copies
+    mixed = Counter((r.doc_id, len(words(r.text))) for r in curriculum.mix(d).collect())
+    assert mixed == +copies
+    assert Counter((r.doc_id, r.text) for r in exact_dedup.dedup(d).collect()) == Counter({(1, text): 2, (1, "other " + text): 1, (None, None): 1})
+    assert Counter((r.doc_id, r.text) for r in minhash.near_dedup(d).collect()) == Counter({(1, text): 2, (1, "other " + text): 1, (None, None): 1})
+
+
+def test_rows_of_one_id_go_by_their_texts(spark):
+    """Of two rows with one doc_id, the one that copies a smaller document goes."""
+    rng = random.Random(16)
+    a, b = prose(rng, 60), prose(rng, 60)
+    d = spark.createDataFrame([(2, a, "en", "s", 0), (5, a, "en", "s", 0), (5, b, "en", "s", 0), (5, b, "en", "s", 0)], SCHEMA)
+    assert Counter((r.doc_id, r.text) for r in minhash.near_dedup(d).collect()) == Counter({(2, a): 1, (5, b): 2})
+
+
+def test_warc_of_repeated_rows_and_nulls(spark, tmp_path):
+    body = "b" * 150
+    d = spark.createDataFrame([(1, "u", body), (1, "u", body), (None, None, body), (None, None, None)], "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("m_id", "digest", "path")})
+    folder = f"file://{tmp_path}/w"
+    records, gaps = warc.read_logged(warc.write_archives(d, folder), folder)
+    found = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in records.collect())
+    assert found == Counter({(1, 150, "response", None): 2, (None, 150, "revisit", 1): 1, (None, 0, "response", None): 1}) and gaps.count() == 0
 
 
 def test_mix_of_equal_rows(spark):
