@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from canonflow.llm import curriculum, exact_dedup, minhash, packing, quality_rules
 from canonflow.llm.common import table, written
+from canonflow.session import ship
 
 #: op3's query links from 85 on; the pipeline takes pairs of a Jaccard similarity of 0.8 or more.
 NEAR_PERCENT = 80
@@ -58,6 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
