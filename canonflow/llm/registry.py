@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, curriculum, exact_dedup, knn_quality, line_dedup, minhash, packing, quality_rules, source_divergence, substring_dedup, token_counts, warc
+from . import chat_format, collocations, curriculum, exact_dedup, knn_quality, line_dedup, minhash, packing, quality_rules, source_divergence, substring_dedup, token_counts, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_curriculum_mix": curriculum.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_collocations": collocations.query,
     "op12_source_divergence": source_divergence.query,
     "op13_line_dedup": line_dedup.query,
 }
@@ -24,6 +25,7 @@ QUERIES = {
 ORACLES = {
     "op7_warc": warc.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_source_divergence": source_divergence.ORACLE,
     "op13_line_dedup": line_dedup.ORACLE,
 }
