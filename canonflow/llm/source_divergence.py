@@ -6,8 +6,8 @@ each language, with document frequencies counted inside it, however many languag
 vectors are written, and their entries summed by (language, source), combined before the shuffle.
 
 A fitted vocabulary passes through the driver and goes to every task, so its size must be bounded:
-terms are dealt by hash to as many shards as keep each under `SHARD_TERMS`, by the estimated number
-of distinct terms, and every shard has its own fit over its own part of the written tokens.
+terms are dealt by hash to as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has
+its own fit over its own part of the written tokens.
 
 The divergence of a source from another sums f(p, q) over all kept terms of the language, p and q
 being smoothed shares. It is evaluated sparsely: terms that neither has are alike, so they are
@@ -26,22 +26,33 @@ no rows. A text is held whole by the task that splits it, as its terms, some 70
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import scratch
+from .coded_words import byte_set, coded, joined
 from .common import table, text_or_empty, written
+from .words import slices
 
 MIN_DF = 10
 TOP = 10
 SCALE = 1_000_000_000
 #: Terms of one fitted vocabulary, which the driver and every task hold: some 100 MB.
 SHARD_TERMS = 1_000_000
-#: What a term is, the largest vocabulary that can be asked for, A to Z.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+BATCH_BYTES = 2 << 20
+#: Bytes of distinct terms up to which a written file lists them once.
+DICTIONARY_BYTES = 16 << 20
+#: The largest vocabulary that can be asked for, and the ASCII characters that end a
+#: term; all others belong to one.
 MOST_TERMS = (1 << 31) - 1
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_IS_TERM = ~byte_set(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 #: How a written vector is laid out.
 _VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
@@ -49,16 +60,40 @@ _VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>
 def tagged_terms(docs: DataFrame) -> DataFrame:
     """lang, source, terms of every document; a term follows its language and a space, which no
     term contains."""
-    lang = text_or_empty("lang")
-    found = F.regexp_extract_all(F.translate(text_or_empty(), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    named = docs.select(lang.alias("lang"), text_or_empty("source").alias("source"), found.alias("terms"))
-    return named.withColumn("terms", F.transform("terms", lambda t: F.concat("lang", F.lit(" "), t)))
-
 
-def _shards(tokens: DataFrame, shard_terms: int) -> int:
-    """So many that none has more than `shard_terms` terms, with room for the estimate's error."""
-    distinct = tokens.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term", 0.02)).first()[0]
-    return max(1, -(-int(1.2 * distinct) // shard_terms))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in slices(batch, 2, BATCH_BYTES):
+                rows: dict[str, list[int]] = defaultdict(list)
+                for k, lang in enumerate(batch.column(0)[a:b].to_pylist()):
+                    rows[lang].append(k)
+                for lang, own in rows.items():
+                    buf, ends = joined([texts[k] for k in own])
+                    words, codes, start = coded(buf, _IS_TERM)
+                    tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
+                    offsets = np.concatenate([[0], np.searchsorted(start, ends)]).astype(np.int32)
+                    terms = pa.ListArray.from_arrays(pa.array(offsets), tagged.take(pa.array(codes)))
+                    at = pa.array([a + k for k in own], pa.int32())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), terms], ["lang", "source", "terms"])
+
+    texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
+    return texts.mapInArrow(run, "lang string, source string, terms array<string>")
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """`written`, with room for the dictionary of a task's terms, which otherwise would be spelled
+    out at each place."""
+    path = scratch(df.sparkSession, label)
+    df.write.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shards(tokens: DataFrame, min_df: int, shard_terms: int) -> int:
+    """So many that none keeps more than `shard_terms` terms. Terms met often enough are counted
+    among those of every 64th hash; the estimate has half as many again to spare."""
+    one = tokens.select(F.explode("terms").alias("term")).where(F.pmod(F.xxhash64("term"), F.lit(64)) == 0)
+    kept = one.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_df).count()
+    return max(1, -(-96 * kept // shard_terms))
 
 
 def _dealt(tokens: DataFrame, shards: int) -> DataFrame:
@@ -68,7 +103,7 @@ def _dealt(tokens: DataFrame, shards: int) -> DataFrame:
     of = lambda t: F.pmod(F.xxhash64(t), F.lit(shards)).cast("int")
     each = tokens.withColumn("shard", F.explode(F.array_distinct(F.transform("terms", of))))
     mine = F.filter("terms", lambda t: of(t) == F.col("shard"))
-    return written(each.withColumn("terms", mine).repartition("shard", F.rand(1)), "dealt")
+    return _stored(each.withColumn("terms", mine), "dealt")
 
 
 def count_vectors(tokens: DataFrame, min_df: int, shard_terms: int) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +111,7 @@ def count_vectors(tokens: DataFrame, min_df: int, shard_terms: int) -> tuple[Dat
     index, lang, term)."""
     spark = tokens.sparkSession
     vectors, vocabulary = scratch(spark, "vectors"), scratch(spark, "vocabulary")
-    shards = _shards(tokens, shard_terms)
+    shards = _shards(tokens, min_df, shard_terms)
     dealt = _dealt(tokens, shards)
     for shard in range(shards):
         part = dealt.where(F.col("shard") == shard)
@@ -137,7 +172,7 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank. Part `pair`: every other source of the language by how
     far it is. Part `term`: the `top` terms that the source has more of than its language."""
-    tokens = written(tagged_terms(docs), "tokens")
+    tokens = _stored(tagged_terms(docs), "tokens")
     vectors, vocabulary = count_vectors(tokens, min_df, shard_terms)
     entry = F.inline(F.arrays_zip(F.col("counts.indices").alias("index"), F.col("counts.values").alias("n")))
     sums = vectors.select("source", "shard", entry).groupBy("source", "shard", "index").agg(F.sum(F.col("n").cast("long")).alias("n"))
