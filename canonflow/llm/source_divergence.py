@@ -1,13 +1,16 @@
 """Source divergence audit: how far each source's words stand from the other sources of its language.
 
-Spark's CountVectorizer, with minDF and the largest integer as vocabSize, makes an exact sparse
-vector of every document. Its terms carry the document's language, so one fit keeps a vocabulary for
-each language, with document frequencies counted inside it, however many languages there are. The
-vectors are written, and their entries summed by (language, source), combined before the shuffle.
-
-A fitted vocabulary passes through the driver and goes to every task, so its size must be bounded:
-terms are dealt by hash to as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has
-its own fit over its own part of the written tokens.
+Every document becomes an exact sparse vector, its distinct terms and their counts, which is written.
+Spark's CountVectorizer, with minDF and the largest integer as vocabSize, is fitted to the vectors'
+terms and gives the vocabulary. Terms carry the document's language, so one fit keeps a vocabulary for
+each language, with document frequencies counted inside it, however many languages there are. Vectors
+are summed by (language, source), combined before the shuffle, and the sums take the vocabulary's
+indices; terms without one go. That is what summing the model's own vectors gives, which took more CPU
+than allowed, as they are made one document at a time.
+
+A fitted vocabulary passes through the driver, so its size must be bounded: terms are dealt by hash to
+as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has its own fit over its own
+part of the written vectors.
 
 The divergence of a source from another sums f(p, q) over all kept terms of the language, p and q
 being smoothed shares. It is evaluated sparsely: terms that neither has are alike, so they are
@@ -44,7 +47,7 @@ from .words import slices
 MIN_DF = 10
 TOP = 10
 SCALE = 1_000_000_000
-#: Terms of one fitted vocabulary, which the driver and every task hold: some 100 MB.
+#: Terms of one fitted vocabulary, which the driver holds: some 100 MB.
 SHARD_TERMS = 1_000_000
 BATCH_BYTES = 2 << 20
 #: Bytes of distinct terms up to which a written file lists them once.
@@ -53,13 +56,11 @@ DICTIONARY_BYTES = 16 << 20
 #: term; all others belong to one.
 MOST_TERMS = (1 << 31) - 1
 _IS_TERM = ~byte_set(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
-#: How a written vector is laid out.
-_VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
-def tagged_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, terms of every document; a term follows its language and a space, which no
-    term contains."""
+def document_vectors(docs: DataFrame) -> DataFrame:
+    """lang, source, terms, counts of every document; a term follows its language and a space, which
+    no term contains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,14 +71,16 @@ def tagged_terms(docs: DataFrame) -> DataFrame:
                 for lang, own in rows.items():
                     buf, ends = joined([texts[k] for k in own])
                     words, codes, start = coded(buf, _IS_TERM)
+                    entry, counts = np.unique(np.searchsorted(ends, start, side="right") * max(1, len(words)) + codes, return_counts=True)
+                    row, code = np.divmod(entry, max(1, len(words)))
+                    offsets = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
                     tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                    offsets = np.concatenate([[0], np.searchsorted(start, ends)]).astype(np.int32)
-                    terms = pa.ListArray.from_arrays(pa.array(offsets), tagged.take(pa.array(codes)))
                     at = pa.array([a + k for k in own], pa.int32())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), terms], ["lang", "source", "terms"])
+                    lists = [pa.ListArray.from_arrays(offsets, x) for x in (tagged.take(pa.array(code)), pa.array(counts, pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *lists], ["lang", "source", "terms", "counts"])
 
     texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, "lang string, source string, terms array<string>")
+    return texts.mapInArrow(run, "lang string, source string, terms array<string>, counts array<long>")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -88,41 +91,35 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _shards(tokens: DataFrame, min_df: int, shard_terms: int) -> int:
-    """So many that none keeps more than `shard_terms` terms. Terms met often enough are counted
+def _shards(vectors: DataFrame, min_df: int, shard_terms: int) -> int:
+    """So many that none keeps more than `shard_terms` terms. Terms in enough documents are counted
     among those of every 64th hash; the estimate has half as many again to spare."""
-    one = tokens.select(F.explode("terms").alias("term")).where(F.pmod(F.xxhash64("term"), F.lit(64)) == 0)
+    one = vectors.select(F.explode("terms").alias("term")).where(F.pmod(F.xxhash64("term"), F.lit(64)) == 0)
     kept = one.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_df).count()
     return max(1, -(-96 * kept // shard_terms))
 
 
-def _dealt(tokens: DataFrame, shards: int) -> DataFrame:
-    """The tokens with a column `shard`, each document once for each shard that it has terms of."""
+def _dealt(vectors: DataFrame, shards: int) -> DataFrame:
+    """terms, shard: each document's terms, once for each shard that it has terms of."""
     if shards == 1:
-        return tokens.withColumn("shard", F.lit(0))
+        return vectors.select("terms", F.lit(0).alias("shard"))
     of = lambda t: F.pmod(F.xxhash64(t), F.lit(shards)).cast("int")
-    each = tokens.withColumn("shard", F.explode(F.array_distinct(F.transform("terms", of))))
-    mine = F.filter("terms", lambda t: of(t) == F.col("shard"))
-    return _stored(each.withColumn("terms", mine), "dealt")
-
-
-def count_vectors(tokens: DataFrame, min_df: int, shard_terms: int) -> tuple[DataFrame, DataFrame]:
-    """Sparse vectors (lang, source, shard, counts) of every document, and the vocabulary (shard,
-    index, lang, term)."""
-    spark = tokens.sparkSession
-    vectors, vocabulary = scratch(spark, "vectors"), scratch(spark, "vocabulary")
-    shards = _shards(tokens, min_df, shard_terms)
-    dealt = _dealt(tokens, shards)
+    each = vectors.select("terms", F.explode(F.array_distinct(F.transform("terms", of))).alias("shard"))
+    return _stored(each.withColumn("terms", F.filter("terms", lambda t: of(t) == F.col("shard"))), "dealt")
+
+
+def vocabulary(vectors: DataFrame, min_df: int, shard_terms: int) -> DataFrame:
+    """shard, index, tagged, lang, term of every kept term."""
+    spark = vectors.sparkSession
+    path, shards = scratch(spark, "vocabulary"), _shards(vectors, min_df, shard_terms)
+    dealt = _dealt(vectors, shards)
     for shard in range(shards):
-        part = dealt.where(F.col("shard") == shard)
-        model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=min_df, vocabSize=MOST_TERMS).fit(part)
-        model.transform(part).select("lang", "source", "shard", "counts").write.mode("append").parquet(vectors)
+        model = CountVectorizer(inputCol="terms", minDF=min_df, vocabSize=MOST_TERMS).fit(dealt.where(F.col("shard") == shard))
         model.save(saved := scratch(spark, "model"))
         terms = spark.read.schema("vocabulary array<string>").parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("index", "tagged"))
         split = F.regexp_extract("tagged", "(?s)^(.*) ([^ ]*)$", 1).alias("lang"), F.substring_index("tagged", " ", -1).alias("term")
-        terms.select(F.lit(shard).alias("shard"), "index", *split).write.mode("append").parquet(vocabulary)
-    read = lambda path, schema: spark.read.schema(schema).parquet(path)
-    return read(vectors, f"lang string, source string, shard int, counts {_VECTOR}"), read(vocabulary, "shard int, index int, lang string, term string")
+        terms.select(F.lit(shard).alias("shard"), "index", "tagged", *split).write.mode("append").parquet(path)
+    return spark.read.schema("shard int, index int, tagged string, lang string, term string").parquet(path)
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -172,14 +169,14 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank. Part `pair`: every other source of the language by how
     far it is. Part `term`: the `top` terms that the source has more of than its language."""
-    tokens = _stored(tagged_terms(docs), "tokens")
-    vectors, vocabulary = count_vectors(tokens, min_df, shard_terms)
-    entry = F.inline(F.arrays_zip(F.col("counts.indices").alias("index"), F.col("counts.values").alias("n")))
-    sums = vectors.select("source", "shard", entry).groupBy("source", "shard", "index").agg(F.sum(F.col("n").cast("long")).alias("n"))
-    sums = written(sums.join(vocabulary, ["shard", "index"]), "sums")
-    kept = vocabulary.groupBy("lang").agg(F.count("*").alias("kept"))
+    vectors = _stored(document_vectors(docs), "vectors")
+    known = vocabulary(vectors, min_df, shard_terms)
+    entry = F.inline(F.arrays_zip(F.col("terms").alias("tagged"), F.col("counts").alias("n")))
+    sums = vectors.select("source", entry).groupBy("source", "tagged").agg(F.sum("n").alias("n"))
+    sums = written(sums.join(known, "tagged").drop("tagged"), "sums")
+    kept = known.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = tokens.select("lang", "source").distinct().join(kept, "lang", "left").join(totals, ["lang", "source"], "left")
+    groups = vectors.select("lang", "source").distinct().join(kept, "lang", "left").join(totals, ["lang", "source"], "left")
     zero = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
     groups = groups.select("lang", "source", zero("kept"), zero("total"))
     absent = F.when(F.col("kept") > 0, share(F.lit(0), F.col("total"), F.col("kept")))
