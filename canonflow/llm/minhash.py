@@ -8,7 +8,9 @@ The threshold is given in percent, and `Fit` chooses the bands by it: so many ba
 coordinates that a pair at the threshold is missed with a probability of MISSED at most, which is
 25 bands at 0.85, (1 - 0.85**5)**25 = 5e-7, and 37 at 0.80. Everything after banding is exact:
 
-1. Documents with equal shingle sets form a class, and the class's smallest doc_id goes on.
+1. Documents with equal shingle sets form a class, which is one node from here on, with a number of
+   its own. A doc_id only names a component in the end: several rows may have one doc_id and unlike
+   texts, and each text's links count.
 2. In each bucket, members are compared with its smallest and its largest member. Links found
    give components.
 3. In buckets that still hold several components, every member is compared with those of other
@@ -21,8 +23,9 @@ grows with a bucket's members times those outside its largest component.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with nothing and is
 kept; with fewer words than a shingle, the whole sequence is one shingle; rows that repeat a
-doc_id and text share a verdict; a row with a null doc_id takes its class's component and is kept only
-if that is null; equal similarities need no order, as links are only present or absent; other columns,
+doc_id and text share a verdict, and a doc_id with several texts may be in several components, that is,
+texts link, not ids; a row with a null doc_id links like any other, but names a component only if no
+row of it has a doc_id, and is kept only then; equal similarities need no order, as links are only present or absent; other columns,
 whatever their names, pass through `near_dedup`; an empty table gives no rows. A very long text is
 held by one task with its words and shingles, some 60 bytes for each word.
 """
@@ -120,45 +123,44 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, fit: Fit) -> DataFrame:
-    """doc_id, n_shingles, set_key (null if empty), bands, sig, text_key."""
+    """doc_id, n_shingles, set_key (null if empty), bands, text_key."""
     count = fit.bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in slices(batch, 1, BATCH_BYTES):
                 sets = shingle_sets(texts)
-                sig = signatures(sets, count * ROWS)
-                keys = band_keys(sig, count, ROWS).view(np.int64)
+                keys = band_keys(signatures(sets, count * ROWS), count, ROWS).view(np.int64)
                 set_key = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_key, pa.binary()),
-                        pa.array(list(keys), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sig], pa.binary()), batch.column(2).slice(a, b - a),
+                        pa.array(list(keys), pa.list_(pa.int64())), batch.column(2).slice(a, b - a),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands", "sig", "text_key"],
+                    ["doc_id", "n_shingles", "set_key", "bands", "text_key"],
                 )
 
+    return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, text_key long")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text, text_key, which tells rows that repeat a doc_id apart."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary, text_key long")
+    return texts.withColumn("text_key", F.xxhash64("text"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, shingles (array of hashes) of the documents named in `wanted` (node, set_key).
-
-    A document may come in several rows, of which the one with that set counts.
-    """
+    """node, shingles (array of hashes) of the classes in `wanted` (node, rep, rep_key), each read
+    from the row that stands for it, or one of the rows equal to it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in slices(batch, 1, BATCH_BYTES):
-                sets = shingle_sets(texts)
-                right = [k for k, s in enumerate(sets) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == batch.column(2)[a + k].as_py()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).take(pa.array(right, pa.int32())), pa.array([sets[k].view(np.int64) for k in right], pa.list_(pa.int64()))], ["node", "shingles"]
-                )
+                sets = [x.view(np.int64) for x in shingle_sets(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    return texts.join(wanted, "node").select("node", "text", "set_key").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    mine = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
+    return _texts(docs).join(wanted, mine).select("node", "text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _linked(percent: int, n_both, n_a, n_b):
@@ -241,7 +243,7 @@ def _residual_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets
     """Links between components that share a bucket. members: key, node."""
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = written(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key"), "mixed")
-    open_ = named.join(mixed, "key").join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node")
+    open_ = named.join(mixed, "key").join(reps.select("node", "n_shingles"), "node")
     open_ = written(open_, "open")
     # Blocks of the largest component, and of all others; a small bucket is one block of others.
     parts = open_.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
@@ -288,25 +290,30 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """The same with text_key, which tells rows that repeat a doc_id apart."""
     fit = Fit(percent)
     all_ = written(sketches(docs, fit), "sketches")
-    best = F.min(F.struct("doc_id", "bands", "sig", "n_shingles")).alias("best")
-    # One row per distinct shingle set, pre-aggregated before the shuffle.
-    reps = all_.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(best)
-    reps = written(reps.select("set_key", F.col("best.doc_id").alias("rep"), "best.bands", "best.sig", "best.n_shingles"), "classes")
-    slots = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("node"))
+    # One row per distinct shingle set, pre-aggregated before the shuffle; its smallest doc_id, null
+    # last. Numbered by where the row is written, so numbers are distinct, and fixed from then on.
+    best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "text_key", "bands", "n_shingles")).alias("best")
+    reps = all_.where("set_key is not null").groupBy("set_key").agg(best).withColumn("node", F.monotonically_increasing_id())
+    reps = written(reps.select("set_key", "node", F.col("best.doc_id").alias("rep"), F.col("best.text_key").alias("rep_key"), "best.bands", "best.n_shingles"), "classes")
+    slots = reps.select(F.explode("bands").alias("key"), "node")
     # Written, so that the join has a plain exchange on either side: Spark can then split a huge
     # bucket's partition.
     buckets = written(slots.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi"), "buckets")
     members = written(slots.join(buckets, "key"), "members")
     pairs = members.select("node", F.explode(F.array("lo", "hi")).alias("b")).where("node != b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    wanted = members.select("node").distinct().join(reps.select(F.col("rep").alias("node"), "set_key"), "node")
+    wanted = members.select("node").distinct().join(reps.select("node", "rep", "rep_key"), "node")
     sets = written(_sets_of(docs, wanted), "sets")
     links = written(_verified(pairs, sets, percent), "links")
     labels = components(links)
     more = written(_residual_links(members.select("key", "node"), labels, reps, sets, percent), "more")
     if not more.isEmpty():
         labels = components(links.union(more))
-    classes = reps.select("set_key", F.col("rep").alias("node")).join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
-    found = all_.select("doc_id", "n_shingles", "set_key", "text_key").join(classes, "set_key", "left")
+    # A component is named by the smallest doc_id of its classes.
+    linked = labels.join(reps.select("node", "set_key", "rep"), "node")
+    names = written(linked.groupBy("component").agg(F.min("rep").alias("name")), "names")
+    named = linked.join(names, "component").select("set_key", F.col("name").alias("component"))
+    alone = reps.join(labels, "node", "left_anti").select("set_key", F.col("rep").alias("component"))
+    found = all_.select("doc_id", "n_shingles", "set_key", "text_key").join(named.union(alone), "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
 
