@@ -21,9 +21,11 @@ be mistaken for equal (4e-10 for the largest test table, 4 for ten trillion wind
 Defined cases: a null text has no words and an empty kept_text; texts shorter than a window are
 kept; a null doc_id sorts below all others; rows that repeat a doc_id are documents of their own,
 neither of which is earlier, so they don't remove each other's windows, and equal rows get equal
-results; other columns are not read; an empty table gives no rows. A text is held whole by the
-task that cuts it, with about 15 bytes for each of its bytes; `BATCH_BYTES` bounds how many
-shorter ones are held at once.
+results; other columns are not read; an empty table gives no rows. Where ids repeat, lists of cores
+and windows belong to a doc_id and text, so that each row gets its own, and rows that are equal share
+theirs. A text is held whole by the task that cuts it, with about 17 bytes for each of its bytes where
+words are long and 63 where they are single letters; `BATCH_BYTES` bounds how many shorter ones are
+held at once, but one text always is.
 """
 
 from __future__ import annotations
@@ -142,34 +144,35 @@ def _lists(batch: pa.RecordBatch, column: int, a: int, b: int) -> list:
 
 
 def _cores(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """core, doc: the distinct cores of each row of doc, text."""
+    """core, doc, own: the distinct cores of each row of doc, own, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for a, _b, texts in slices(batch, 1, BATCH_BYTES):
+            ids, own = (batch.column(k).to_numpy() for k in (0, 1))
+            for a, _b, texts in slices(batch, 2, BATCH_BYTES):
                 row, core = Windows(texts, width, bits).cores()
-                yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(ids[a + row])], ["core", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(ids[a + row]), pa.array(own[a + row])], ["core", "doc", "own"])
 
-    return docs.select("doc", "text").mapInArrow(run, "core long, doc long")
+    return docs.select("doc", "own", "text").mapInArrow(run, "core long, doc long, own long")
 
 
 def _around(told: DataFrame, width: int, bits: int) -> DataFrame:
-    """hash, tag, doc: the windows around shared cores. told: doc, text, cores."""
+    """hash, tag, doc, own: the windows around shared cores. told: doc, own, text, cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for a, b, texts in slices(batch, 1, BATCH_BYTES):
+            ids, own = (batch.column(k).to_numpy() for k in (0, 1))
+            for a, b, texts in slices(batch, 2, BATCH_BYTES):
                 w = Windows(texts, width, bits)
-                mine = w.among(w.core, _lists(batch, 2, a, b))
-                yield pa.RecordBatch.from_arrays([pa.array(w.hash[mine]), pa.array(w.tag[mine]), pa.array(ids[a + w.row[mine]])], ["hash", "tag", "doc"])
+                mine = w.among(w.core, _lists(batch, 3, a, b))
+                row = a + w.row[mine]
+                yield pa.RecordBatch.from_arrays([pa.array(w.hash[mine]), pa.array(w.tag[mine]), pa.array(ids[row]), pa.array(own[row])], ["hash", "tag", "doc", "own"])
 
-    return told.select("doc", "text", "cores").mapInArrow(run, "hash long, tag int, doc long")
+    return told.select("doc", "own", "text", "cores").mapInArrow(run, "hash long, tag int, doc long, own long")
 
 
 def _cut(told: DataFrame, width: int, bits: int) -> DataFrame:
-    """The results. told: doc, text, cores, keeps (hashes of the windows that the document keeps)."""
+    """The results. told: doc, text, cores, keeps (hashes of the windows that the row keeps)."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string()]
     names = ["doc_id", "n_words", "n_removed", "spans", "kept_text"]
 
@@ -191,19 +194,35 @@ def _cut(told: DataFrame, width: int, bits: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, spans (of removed words), kept_text of every row of `docs`."""
-    size = docs.agg(F.coalesce(F.sum(F.octet_length(text_or_empty())), F.lit(0))).first()[0]
-    bits = core_bits(size)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NONE))).alias("doc"), text_or_empty().alias("text"))
+    by_id = texts.groupBy("doc").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+    size, most = by_id.agg(F.coalesce(F.sum("size"), F.lit(0)), F.max("n")).first()
+    bits = core_bits(size)
+    # A row is named by doc and own: 0, or a hash of its text where others have its doc_id.
+    if (most or 0) > 1:
+        repeated = written(by_id.where("n > 1").select("doc", F.lit(True).alias("again")), "repeated")
+        own = F.when(F.col("again"), F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+        texts = texts.join(repeated, "doc", "left").select("doc", own.alias("own"), "text")
+    else:
+        texts = texts.select("doc", F.lit(0).cast("long").alias("own"), "text")
+    row = ["doc", "own"]
     cores = _cores(texts, width, bits)
     # Written, so that the join has a plain exchange on either side: Spark can then split the rows
     # of a core that most documents have.
     shared = written(cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
-    mine = cores.join(shared, "core").groupBy("doc").agg(F.collect_list("core").alias("cores"))  # fewer than its words
+    # Never more than a row's words: rows of one name are equal, and a set takes what they share once.
+    mine = cores.join(shared, "core").groupBy(*row).agg(F.collect_set("core").alias("cores") if (most or 0) > 1 else F.collect_list("core").alias("cores"))
     # The same join twice, with one exchange of the texts.
-    told = texts.join(mine, "doc", "left")
-    first = _around(told, width, bits).groupBy("hash", "tag").agg(F.min("doc").alias("doc"))
-    keeps = first.groupBy("doc").agg(F.collect_list("hash").alias("keeps"))
-    return _cut(told.join(keeps, "doc", "left"), width, bits)
+    told = texts.join(mine, row, "left")
+    around = _around(told, width, bits)
+    first = around.groupBy("hash", "tag").agg(F.min(F.struct(*row)).alias("first")).select("hash", "tag", "first.*")
+    if (most or 0) > 1:
+        # Of a doc_id that comes in several rows, all rows that have its window keep it.
+        first = written(first, "first")
+        also = around.where("own != 0").join(first.where("own != 0").select("hash", "tag", "doc"), ["hash", "tag", "doc"])
+        first = first.where("own = 0").select(*row, "hash").union(also.select(*row, "hash").distinct())
+    keeps = first.groupBy(*row).agg(F.collect_list("hash").alias("keeps"))
+    return _cut(told.join(keeps, row, "left"), width, bits)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
