@@ -134,7 +134,7 @@ def _combined(cut: DataFrame, bits: int, chunk: int) -> DataFrame:
     hashed = _dealt(cut.select("doc_id", "n_bytes", "text_sha256", "no", "piece")).mapInArrow(run, f"doc_id {_kind(cut)}, n_bytes long, text_sha256 string, no long, x long, y long")
     # Rows that repeat a doc_id and text are told by their first chunks; each adds the same sum.
     copies = F.sum((F.col("no") == 0).cast("long"))
-    low = lambda c, p: F.pmod(F.sum(c) / copies, F.lit(p)).cast("long").bitwiseAND(F.lit((1 << bits) - 1))
+    low = lambda c, p: F.pmod(F.call_function("div", F.sum(c), copies), F.lit(p)).bitwiseAND(F.lit((1 << bits) - 1))
     sums = hashed.groupBy("doc_id", "n_bytes", "text_sha256").agg(
         (F.shiftleft(low("x", PRIMES[0]), 31).bitwiseOR(low("y", PRIMES[1]))).alias("fp"), copies.alias("copies")
     )
@@ -162,11 +162,11 @@ def _pieces(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, members: DataFrame, size: int, huge: int) -> DataFrame:
-    """Of `members` (doc_id, text_sha256, n_bytes, gid, is_rep, salts), those that differ from
-    their group's representative in some piece.
+    """Of `members` (doc_id, text_sha256, n_bytes, gid, is_rep, salts, n_rows), those that differ
+    from their group's representative in some piece.
 
     The representative's pieces are repeated once per SALT_ROWS members, so a huge group of
-    copies is compared by many tasks.
+    copies is compared by many tasks. Where several rows are the representative, one stands for all.
     """
     texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text")).withColumn("sha", F.sha2("text", 256))
     same_row = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
@@ -179,7 +179,10 @@ def _verified(docs: DataFrame, members: DataFrame, size: int, huge: int) -> Data
     own = F.pmod(F.xxhash64("doc_id", "text_sha256"), F.col("salts")).cast("int")
     theirs = pieces.where("not is_rep").select("doc_id", "text_sha256", "gid", own.alias("salt"), "no", "piece")
     salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    reps = pieces.where("is_rep").select("gid", salt, "no", F.col("piece").alias("rep_piece"))
+    reps = pieces.where("is_rep")
+    if not members.where("is_rep and n_rows > 1").isEmpty():
+        reps = reps.where("n_rows = 1").union(reps.where("n_rows > 1").dropDuplicates(["gid", "no"]))
+    reps = reps.select("gid", salt, "no", F.col("piece").alias("rep_piece"))
     same = theirs.join(reps, ["gid", "salt", "no"], "left")
     return same.where(~F.col("piece").eqNullSafe(F.col("rep_piece"))).select("doc_id", "text_sha256", "gid").distinct()
 
@@ -196,7 +199,8 @@ def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK, huge: int
             *key, "rep", F.concat_ws("/", *key).alias("gid"), F.ceil(F.col("group_size") / F.lit(SALT_ROWS)).cast("int").alias("salts")
         )
         is_rep = F.struct("doc_id", "text_sha256").eqNullSafe(F.col("rep")).alias("is_rep")
-        members = prints.join(several, key).select("doc_id", "text_sha256", "n_bytes", "gid", is_rep, "salts").distinct()
+        members = prints.join(several, key).groupBy("doc_id", "text_sha256", "n_bytes", "gid", is_rep, "salts").agg(F.count("*").alias("n_rows"))
+        members = written(members, "members")
         differs = written(_verified(docs, members, chunk, huge), "differs")
         if differs.isEmpty():
             break

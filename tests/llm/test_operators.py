@@ -18,6 +18,7 @@ from canonflow.llm import chat_format, components, curriculum, exact_dedup, knn_
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SALTED = ["gid", "salt", "no"]
 
 
 def words(text):
@@ -791,3 +792,128 @@ def test_rules_keep_clashing_columns(spark, docs, empty):
     assert quality_rules.apply_rules(empty, none).count() == 0
     with pytest.raises(ValueError):
         quality_rules.with_statistics(clashing(docs, ["__Q_text"]))
+
+
+def near_of_texts(rows):
+    """Brute force over texts: component_id and kept of every row, links being those of sets."""
+    sets = {t: frozenset(brute_shingles(t)) for _, t, *_ in rows}
+    names = sorted({s for s in sets.values() if s}, key=sorted)
+    up = {s: s for s in names}
+
+    def find(s):
+        while up[s] != s:
+            s = up[s]
+        return s
+
+    for k, x in enumerate(names):
+        for y in names[:k]:
+            if 100 * len(x & y) >= 85 * len(x | y):
+                up[find(x)] = find(y)
+    least = {}
+    for i, t, *_ in rows:
+        if sets[t] and i is not None:
+            least[find(sets[t])] = min(i, least.get(find(sets[t]), i))
+    out = []
+    for i, t, *_ in rows:
+        c = least.get(find(sets[t])) if sets[t] else i
+        out.append((i, len(sets[t]), c, i == c))
+    return Counter(out)
+
+
+def brute_shingles(text):
+    w = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x) for x in words(text)]
+    return [tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []
+
+
+def test_every_text_of_an_id_links(spark):
+    """One doc_id with two texts, each of which has a near copy, in any order of the rows."""
+    rng = random.Random(21)
+    a, b = prose(rng, 80), prose(rng, 80)
+    rows = [(5, a, "en", "s", 0), (5, b, "en", "s", 0), (7, a + " more", "en", "s", 0), (8, b + " more", "en", "s", 0)]
+    for some in (rows, rows[::-1], [rows[1], rows[3], rows[0], rows[2]]):
+        found = minhash.near_groups(spark.createDataFrame(some, SCHEMA)).collect()
+        assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(5, 5, True), (7, 5, False), (8, 5, False)}
+        assert Counter((r.doc_id, r.text) for r in minhash.near_dedup(spark.createDataFrame(some, SCHEMA)).collect()) == Counter({(5, a): 1, (5, b): 1})
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_groups_of_repeated_and_null_ids(spark, seed):
+    rng = random.Random(seed)
+    base = [prose(rng, 70) for _ in range(6)]
+    rows = []
+    for _ in range(120):
+        w = rng.choice(base).split()
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(4)}"
+        rows.append((rng.choice([None, *range(12)]), " ".join(w) if rng.random() < 0.95 else None, "en", "s", 0))
+    found = minhash.near_groups(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == near_of_texts(rows)
+
+
+def brute_repeats_of_rows(rows, width):
+    """Rows of one doc_id aren't earlier than each other; a null doc_id is below all."""
+    low = lambda i: -1 if i is None else i
+    first = {}
+    for i, t, *_ in rows:
+        w = words(t)
+        for k in range(len(w) - width + 1):
+            g = tuple(w[k : k + width])
+            first[g] = min(first.get(g, low(i)), low(i))
+    out = []
+    for i, t, *_ in rows:
+        w, gone, seen = words(t), set(), set()
+        for k in range(len(w) - width + 1):
+            g = tuple(w[k : k + width])
+            if first[g] < low(i) or g in seen:
+                gone.update(range(k, k + width))
+            seen.add(g)
+        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substrings_of_many_repeated_and_null_ids(spark, seed):
+    rng = random.Random(seed)
+    parts = [prose(rng, 25) for _ in range(9)]
+    rows = [(rng.choice([None, *range(10)]), " ".join(rng.choice(parts) if rng.random() < 0.6 else prose(rng, 12) for _ in range(rng.randrange(4))), "en", "s", 0) for _ in range(150)]
+    rows += [(None, f"{parts[0]} {parts[1]}", "en", "s", 0)] * 40
+    found = substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found) == brute_repeats_of_rows(rows, 20)
+
+
+def test_rows_without_ids_get_lists_of_their_own(spark):
+    """What each row is told doesn't grow with the number of rows that share its doc_id."""
+    same = prose(random.Random("same"), 30)
+    rows = [(None, f"{prose(random.Random(k), 40)} {same}", "en", "s", 0) for k in range(400)]
+    longest = []
+    first = substring_dedup._cut
+
+    def seen(told, width, bits):
+        longest.append(told.agg(F.max(F.size("cores")), F.max(F.size("keeps"))).first())
+        return first(told, width, bits)
+
+    substring_dedup._cut = seen
+    try:
+        found = substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    finally:
+        substring_dedup._cut = first
+    assert max(longest[0]) < 70 and len(found) == 400 and all(r.n_removed == 0 for r in found)
+
+
+def test_repeated_representatives_are_compared_once(spark, monkeypatch):
+    """K rows that stay and M others make K + M pieces, not K times M."""
+    text = prose(random.Random(4), 50)
+    d = spark.createDataFrame([(9, text, "en", "s", 0)] * 700 + [(1, text, "en", "s", 0)] * 600 + [(2, text, "en", "s", 0)], SCHEMA)
+    sizes = []
+    monkeypatch.setattr(exact_dedup, "SALT_ROWS", 10_000)
+    joined = type(d).join
+
+    def counting(self, other, *a, **b):
+        out = joined(self, other, *a, **b)
+        if a and isinstance(a[0], list) and a[0] == SALTED:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(d), "join", counting)
+    found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(d).collect())
+    assert found == {(9, 9, 1301, True): 700, (1, 9, 1301, False): 600, (2, 9, 1301, False): 1} and sizes == [601]
