@@ -14,19 +14,26 @@ other fits. Cumulative words come from two levels, sums
 of hash ranges and running sums inside a range, so no task holds a whole source.
 
 Defined cases: a null text has size 0; a null source is a source and sorts last; a source of
-size 0 has target 0; rows that repeat a doc_id, text and source are interchangeable: the plan has a
-row for each, and `mix` deals these rows to them one by one, in the order of the other columns; other
-columns, whatever their names, pass through `mix`; an empty table gives no rows. Very long texts
-are only counted and hashed, in the JVM; one that is longer than the rest of its source's target is
-left out of the last pass, which goes on behind it.
+size 0 has target 0; rows that repeat a doc_id, text and source are interchangeable: they follow each
+other in the stream, the plan has a row for each, and `mix` deals these to them in the order of a hash
+of the other columns; other columns, whatever their names, pass through `mix`; documents of one
+position are sorted by doc_id and copy; sources of one fill level, by name; an empty table gives no
+rows. Very long texts are only counted and hashed, in the JVM; one that is longer than the rest of its
+source's target is left out of the last pass, which goes on behind it.
+
+Equal rows are one row with a count until the end, and what each of them gets is reckoned from its
+number among them. Only then are numbers dealt out, `DEAL` at a time over all tasks. The windows
+without a partition are over sources, a row each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, free, table, text_or_empty, written
+from .common import WORD_SQL, free, partitions, table, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's density of words rises or falls along the training time by this much.
@@ -35,6 +42,8 @@ SHARE = 1.5
 CAP = 2
 ROWS_PER_RANGE = 4_000
 LEAST_RANGES = 64
+#: Equal rows that one task deals out at once.
+DEAL = 1 << 16
 
 
 def _cycle(rank: Column, values: tuple) -> Column:
@@ -76,13 +85,14 @@ def _late(rows: DataFrame) -> DataFrame:
     """l_source, l_doc_id, l_h, l_size, l_words: what the last pass takes behind the first document
     that doesn't fit, and the words at which each is trained. rows: the streams.
 
-    Rows that repeat a doc_id, size and source are taken together.
+    Of equal rows, those that don't fit are taken together.
     """
     key = ["source", "range", "h", "doc_id", "size"]
-    gaps = rows.groupBy("source").agg((F.max("rest") - F.coalesce(F.max(F.when(F.col("within"), F.col("end"))), F.lit(0))).alias("gap"), F.max("target").alias("target"))
+    held = F.when(F.col("n_within") > 0, F.col("end") - (F.col("n") - F.col("n_within")) * F.col("size"))
+    gaps = rows.groupBy("source").agg((F.max("rest") - F.coalesce(F.max(held), F.lit(0))).alias("gap"), F.max("target").alias("target"))
     gaps = written(gaps, "gaps")
-    outside = rows.where(~F.col("within") & (F.col("passes") < CAP) & (F.col("size") > 0)).groupBy(*key).agg(F.sum("size").alias("total"))
-    outside = written(outside, "outside")
+    outside = rows.where((F.col("n_within") < F.col("n")) & (F.col("passes") < CAP) & (F.col("size") > 0))
+    outside = written(outside.select(*key, ((F.col("n") - F.col("n_within")) * F.col("size")).alias("total")), "outside")
 
     def to_fill(some: DataFrame) -> DataFrame:
         named = gaps.select(F.col("source").alias("g_source"), "gap", "target")
@@ -121,87 +131,130 @@ def _hashed(seed: int) -> Column:
     return F.xxhash64("doc_id", text_or_empty(), F.lit(seed))
 
 
-def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, position (of the first copy) and
-    last_position of every row, and what `mix` needs besides."""
+def _streams(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, source, size, h of every distinct document, how many rows are equal (n), how many of
+    them the last pass reaches (n_within), where the last of them ends in its source's stream, its
+    source's figures, and the words at which the other ones are trained besides, if they are."""
     size = F.regexp_count(text_or_empty(), F.lit(WORD_SQL)).cast("long").alias("size")
-    sized = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), size, _hashed(seed).alias("h")), "sized")
-    targets = written(source_targets(sized), "targets")
+    one = docs.select("doc_id", F.col("source").cast("string").alias("source"), size, _hashed(seed).alias("h"))
+    key = ["source", "doc_id", "size", "h"]
+    sized = written(one.groupBy(*key).agg(F.count("*").alias("n")).withColumn("total", F.col("size") * F.col("n")), "sized")
+    targets = written(source_targets(sized.select("source", F.col("total").alias("size"))), "targets")
     # As many hash ranges as the largest source needs; one number comes to the driver.
     ranges = max(LEAST_RANGES, -(-(targets.agg(F.max("n_rows")).first()[0] or 0) // ROWS_PER_RANGE))
-    # The top 31 bits of the hash, as a fraction of their range, times the number of ranges.
-    in_range = F.floor((F.shiftright("h", 33) + F.lit(1 << 30)) * F.lit(ranges) / F.lit(1 << 31)).cast("int")
-    sized = sized.withColumn("range", in_range)
-    sums = sized.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    sized = sized.withColumn("range", _range("h", ranges))
+    sums = sized.groupBy("source", "range").agg(F.sum("total").alias("range_size"))
     offset = F.sum("range_size").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.withColumn("range_from", F.coalesce(offset, F.lit(0))).select(F.col("source").alias("s_source"), F.col("range").alias("s_range"), "range_from")
-    inside = F.sum("size").over(Window.partitionBy("source", "range").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = F.sum("total").over(Window.partitionBy("source", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = sized.withColumn("inside", inside)
     ended = running.join(sums, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("range") == F.col("s_range"))).withColumn("end", F.col("inside") + F.col("range_from"))
     named = targets.select(F.col("source").alias("t_source"), "source_size", "target", "slope")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rows = ended.join(named, F.col("source").eqNullSafe(F.col("t_source"))).withColumn("passes", F.least(F.lit(CAP), passes))
-    rows = rows.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).withColumn("within", F.col("end") <= F.col("rest"))
-    rows = written(rows.select("doc_id", "source", "size", "h", "source_size", "target", "slope", "passes", "rest", "within", "end", "range"), "streams")
+    rows = rows.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+    room = F.floor("rest").cast("long") - (F.col("end") - F.col("total"))  # words end at whole numbers
+    reached = F.when(F.col("size") > 0, F.least("n", F.greatest(F.lit(0), F.call_function("div", room, F.col("size"))))).otherwise(F.when(room >= 0, F.col("n")).otherwise(0))
+    rows = rows.withColumn("n_within", reached)
+    rows = written(rows.select(*key, "n", "n_within", "source_size", "target", "slope", "passes", "rest", "end", "range"), "streams")
     more = _late(rows)
-    same = [rows[c].eqNullSafe(more[f"l_{c}"]) for c in ("source", "doc_id", "h", "size")]
-    rows = rows.join(more, [*same, ~rows["within"], rows["passes"] < CAP], "left")
-    fills = F.col("l_words").isNotNull()
-    copies = (F.col("passes") + F.col("within").cast("long") + fills.cast("long")).alias("copies")
-    middle = F.col("end") - F.col("size") / 2
-    final = middle + F.col("source_size") * (F.col("passes") - 1 + F.col("within").cast("long"))
-    first = F.when(F.col("passes") + F.col("within").cast("long") > 0, middle).when(fills, F.col("l_words"))
-    last = F.when(fills, F.col("l_words")).when(F.col("within") | (F.col("passes") > 0), final)
-    at = lambda words: _position(words, F.greatest(F.col("target"), F.lit(1.0)), F.col("slope"))
-    return rows.select(
-        "doc_id", "source", "size", "source_size", "target", copies, F.when(first.isNotNull(), at(first)).alias("position"), F.when(last.isNotNull(), at(last)).alias("last_position"),
-        middle.alias("middle"), "slope", last.alias("last_words"), "h", "end",
-    )
-
-
-#: What a row and its plan have in common, and what `mix` takes from the plan.
+    same = [rows[c].eqNullSafe(more[f"l_{c}"]) for c in key]
+    rows = rows.join(more, [*same, rows["n_within"] < rows["n"], rows["passes"] < CAP], "left")
+    return rows.select(*key, "n", "n_within", "source_size", "target", "slope", "passes", "end", "l_words")
+
+
+def _range(hashed: str, ranges: int) -> Column:
+    """The top 31 bits of the hash, as a fraction of their range, times the number of ranges."""
+    return F.floor((F.shiftright(hashed, 33) + F.lit(1 << 30)) * F.lit(ranges) / F.lit(1 << 31)).cast("int")
+
+
+def _dealt(df: DataFrame, first: Column, last: Column, k: str) -> DataFrame:
+    """`df`, whose rows come once for each number from `first` to `last`, in column `k`. Where these
+    are many, all tasks deal them out."""
+    block, span = f"{k}_block", last - first
+    most = df.agg(F.max(span)).first()[0] or 0
+    if most < DEAL:
+        return df.withColumn(k, F.explode(F.sequence(first, last)))
+    blocks = df.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", span, F.lit(DEAL)))))
+    # By round robin; a row's numbers depend on the row alone, so it may be sent anywhere.
+    blocks = blocks.repartition(partitions(df.sparkSession))
+    return blocks.withColumn(k, F.explode(F.sequence(first + F.col(block) * DEAL, F.least(last, first + F.col(block) * DEAL + (DEAL - 1))))).drop(block)
+
+
+def _taken(of: Callable[[str], Column], k: Column) -> dict[str, Column]:
+    """copies, middle, words of the first and the last copy of the k-th of equal rows. of: the
+    columns of `_streams`."""
+    within = k <= of("n_within")
+    fills = ~within & of("l_words").isNotNull()
+    middle = of("end") - (of("n") - k) * of("size") - of("size") / 2
+    final = middle + of("source_size") * (of("passes") - 1 + within.cast("long"))
+    return {
+        "copies": of("passes") + within.cast("long") + fills.cast("long"),
+        "middle": middle,
+        "first_words": F.when(of("passes") + within.cast("long") > 0, middle).when(fills, of("l_words")),
+        "last_words": F.when(fills, of("l_words")).when(within | (of("passes") > 0), final),
+    }
+
+
+def plan(docs: DataFrame, seed: int = 1) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, position (of the first copy) and
+    last_position of every row."""
+    rows = _dealt(written(_streams(docs, seed), "plan"), F.lit(1).cast("long"), F.col("n"), "k")
+    got = _taken(F.col, F.col("k"))
+    at = lambda words: F.when(words.isNotNull(), _position(words, F.greatest(F.col("target"), F.lit(1.0)), F.col("slope")))
+    return rows.select("doc_id", "source", "size", "source_size", "target", got["copies"].alias("copies"), at(got["first_words"]).alias("position"), at(got["last_words"]).alias("last_position"))
+
+
+#: What a row and its plan have in common.
 KEY = ["doc_id", "source", "h"]
-_TAKEN = ["copies", "source_size", "target", "middle", "slope", "last_words"]
 
 
 def _matched(docs: DataFrame, planned: DataFrame, seed: int, m: str) -> DataFrame:
-    """`docs` with a struct `m` of the plan, each plan given to one row."""
+    """`docs` with a struct `m` of the plan and the row's number among equal ones."""
     own = {"doc_id": F.col("doc_id"), "source": F.col("source").cast("string"), "h": _hashed(seed)}
-
-    def same(others: list[str]):
-        test = F.lit(True)
-        for k in KEY:
-            test = test & own[k].eqNullSafe(F.col(f"{m}_{k}"))
-        for k in others:
-            test = test & (F.col(k) == F.col(f"{m}{k}"))
-        return test
-
-    named = [F.col(k).alias(f"{m}_{k}") for k in KEY]
-    keys = planned.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in _TAKEN])
-    once = keys.where("n = 1 and copies > 0").select(*named, F.struct(*_TAKEN).alias(m))
-    out = docs.join(once, same([])).select(*[F.col(f"`{c}`") for c in docs.columns], m)
-    again = written(keys.where("n > 1").select(*named), "again")
+    same = F.lit(True)
+    for c in KEY:
+        same = same & own[c].eqNullSafe(F.col(f"{m}_{c}"))
+    k, columns = f"{m}_k", [F.col(f"`{c}`") for c in docs.columns]
+    named = planned.select(*[F.col(c).alias(f"{m}_{c}") for c in KEY], F.struct(*planned.columns).alias(m))
+    out = docs.join(named.where(F.col(m)["n"] == 1), same).select(*columns, m, F.lit(1).cast("long").alias(k))
+    again = written(named.where(F.col(m)["n"] > 1), "again")
     if again.isEmpty():
         return out
-    # Rows that repeat are numbered on either side.
-    no = f"{m}_no"
-    mine = Window.partitionBy(*[f"{m}_{k}" for k in KEY]).orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
-    rows = docs.join(again, same([])).withColumn(no, F.row_number().over(mine))
-    theirs = planned.withColumn("no", F.row_number().over(Window.partitionBy(*KEY).orderBy("end"))).where("copies > 0")
-    theirs = theirs.select(*named, F.col("no").alias(f"{m}{no}"), F.struct(*_TAKEN).alias(m))
-    rows = rows.drop(*[f"{m}_{k}" for k in KEY]).join(theirs, same([no]))
-    return out.union(rows.select(*[F.col(f"`{c}`") for c in docs.columns], m))
+    # Rows that are equal in all columns are one with a count. What differs is numbered in the order
+    # of a hash, by ranges of it: a table of hashes and counts, without the rows themselves.
+    r, c, at, row, part = (f"{m}_{x}" for x in ("r", "c", "from", "row", "part"))
+    rows = docs.join(again, same).withColumn(r, F.xxhash64(F.to_json(F.struct(*columns))))
+    unlike = [f"{m}_{x}" for x in KEY] + [r]
+    rows = written(rows.groupBy(*unlike).agg(F.count("*").alias(c), F.first(F.struct(*columns)).alias(row), F.first(m).alias(m)), "unlike")
+    counts = rows.select(*unlike, c).withColumn(part, _range(r, LEAST_RANGES))
+    by_key = Window.partitionBy(*unlike[:-1])
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy(*unlike[:-1], part).agg(F.sum(c).alias("sum"))
+    sums = sums.withColumn("sum", F.coalesce(F.sum("sum").over(before(by_key.orderBy(part))), F.lit(0)))
+    sums = sums.select(*[F.col(x).alias(f"{x}_s") for x in (*unlike[:-1], part)], "sum")
+    inside = F.coalesce(F.sum(c).over(before(Window.partitionBy(*unlike[:-1], part).orderBy(r))), F.lit(0))
+    on = F.lit(True)
+    for x in (*unlike[:-1], part):
+        on = on & F.col(x).eqNullSafe(F.col(f"{x}_s"))
+    starts = counts.withColumn("inside", inside).join(sums, on).select(*[F.col(x).alias(f"{x}_t") for x in unlike], (F.col("sum") + F.col("inside")).alias(at))
+    on = F.lit(True)
+    for x in unlike:
+        on = on & F.col(x).eqNullSafe(F.col(f"{x}_t"))
+    dealt = _dealt(written(rows.join(starts, on).select(row, m, c, at), "starts"), F.col(at) + 1, F.col(at) + F.col(c), k)
+    return out.union(dealt.select(*[F.col(row)[x].alias(x) for x in docs.columns], m, k))
 
 
 def mix(docs: DataFrame, seed: int = 1, position: str | None = None) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, sorted by training position, which a
     column named `position` holds if asked for (in place of one that `docs` may have)."""
     m = free(docs.columns, "__m")
-    copy, place, p = f"{m}_copy", f"{m}_at", lambda c: F.col(m)[c]
-    taken = _matched(docs, written(plan(docs, seed), "plan"), seed, m)
-    taken = taken.withColumn(copy, F.explode(F.sequence(F.lit(0), (p("copies") - 1).cast("int"))))
-    words = F.when(F.col(copy) == p("copies") - 1, p("last_words")).otherwise(p("middle") + F.col(copy) * p("source_size"))
-    at = _position(F.least(p("target"), words), F.greatest(p("target"), F.lit(1.0)), p("slope"))
+    copy, place, of = f"{m}_copy", f"{m}_at", lambda c: F.col(m)[c]
+    got = _taken(of, F.col(f"{m}_k"))
+    taken = _matched(docs, written(_streams(docs, seed), "plan"), seed, m).where(got["copies"] > 0)
+    taken = taken.withColumn(copy, F.explode(F.sequence(F.lit(0), (got["copies"] - 1).cast("int"))))
+    words = F.when(F.col(copy) == got["copies"] - 1, got["last_words"]).otherwise(got["middle"] + F.col(copy) * of("source_size"))
+    at = _position(F.least(of("target"), words), F.greatest(of("target"), F.lit(1.0)), of("slope"))
     told = [F.col(place).alias(position)] if position else []
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != (position or "").lower()]
     return taken.withColumn(place, at).orderBy(place, "doc_id", copy).select(*own, *told)

@@ -917,3 +917,33 @@ def test_repeated_representatives_are_compared_once(spark, monkeypatch):
     monkeypatch.setattr(type(d), "join", counting)
     found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(d).collect())
     assert found == {(9, 9, 1301, True): 700, (1, 9, 1301, False): 600, (2, 9, 1301, False): 1} and sizes == [601]
+
+
+def test_equal_rows_are_dealt_by_all_tasks(spark, monkeypatch):
+    """Thousands of equal rows, some with other columns that differ: the mix takes what the plan says."""
+    monkeypatch.setattr(curriculum, "DEAL", 64)
+    first, spread = curriculum._dealt, []
+
+    def seen(*a):
+        out = first(*a)
+        spread.append(out.groupBy(F.spark_partition_id()).count().count())
+        return out
+
+    monkeypatch.setattr(curriculum, "_dealt", seen)
+    rows = [(None, "w " * 7, "en", None, 0)] * 1500 + [(None, "w " * 7, "en", None, k) for k in range(500)] + [(k, prose(random.Random(k), 30), "en", "s", 0) for k in range(20)]
+    d = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    copies = Counter()
+    planned = curriculum.plan(d).collect()
+    for r in planned:
+        copies[r.doc_id, r["size"]] += r.copies
+    assert len(planned) == len(rows)
+    found = curriculum.mix(d, position="train_at").collect()
+    assert Counter((r.doc_id, len(words(r.text))) for r in found) == +copies and min(spread) > 1
+    assert [r.train_at for r in found] == sorted(r.train_at for r in found) and len({r.train_at for r in found}) > 1500
+    again = Counter((r.n_chars, r.train_at) for r in curriculum.mix(d.repartition(2), position="train_at").collect())
+    assert again == Counter((r.n_chars, r.train_at) for r in found)
+
+
+def test_position_takes_the_place_of_a_column(spark):
+    d = spark.createDataFrame([(1, "a b", "en", "s", 0)], SCHEMA).withColumn("train_at", F.lit("own"))
+    assert [c for c, _ in curriculum.mix(d, position="train_at").dtypes].count("train_at") == 1
