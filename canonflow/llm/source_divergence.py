@@ -3,10 +3,10 @@
 Every document becomes an exact sparse vector, its distinct terms and their counts, which is written.
 Spark's CountVectorizer, with minDF and the largest integer as vocabSize, is fitted to the vectors'
 terms and gives the vocabulary. Terms carry the document's language, so one fit keeps a vocabulary for
-each language, with document frequencies counted inside it, however many languages there are. Vectors
-are summed by (language, source), combined before the shuffle, and the sums take the vocabulary's
-indices; terms without one go. That is what summing the model's own vectors gives, which took more CPU
-than allowed, as they are made one document at a time.
+each language, with document frequencies counted inside it, however many languages there are. The task
+that makes vectors also sums them by (language, source), as Summarizer's buffers do, though in integers.
+Tasks' sums are added up and take the vocabulary's indices; terms without one go. That is what summing
+the model's own vectors gives, which took more CPU than allowed, as it makes them one by one.
 
 A fitted vocabulary passes through the driver, so its size must be bounded: terms are dealt by hash to
 as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has its own fit over its own
@@ -50,6 +50,8 @@ SCALE = 1_000_000_000
 #: Terms of one fitted vocabulary, which the driver holds: some 100 MB.
 SHARD_TERMS = 1_000_000
 BATCH_BYTES = 2 << 20
+#: Entries of sums that a task holds before it hands them on.
+SUM_ENTRIES = 4_000_000
 #: Bytes of distinct terms up to which a written file lists them once.
 DICTIONARY_BYTES = 16 << 20
 #: The largest vocabulary that can be asked for, and the ASCII characters that end a
@@ -58,11 +60,49 @@ MOST_TERMS = (1 << 31) - 1
 _IS_TERM = ~byte_set(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
+class _Sums:
+    """Vectors summed by (language, source) while a task reads its documents."""
+
+    def __init__(self):
+        self.held: dict[tuple[str, str], list[tuple[pa.Array, np.ndarray]]] = defaultdict(list)
+        self.size = 0
+
+    def add(self, lang: str, sources: list[str], words: pa.Array, row: np.ndarray, code: np.ndarray, counts: np.ndarray) -> None:
+        """Entries of some documents, of which `sources` has one for each row."""
+        names, number = np.unique(np.array(sources, object), return_inverse=True)
+        key, at = np.unique(number[row] * max(1, len(words)) + code, return_inverse=True)
+        summed = np.zeros(len(key), np.int64)
+        np.add.at(summed, at, counts)
+        name, code = np.divmod(key, max(1, len(words)))
+        cuts = np.searchsorted(name, np.arange(len(names) + 1))
+        for k, source in enumerate(names):
+            a, b = cuts[k], cuts[k + 1]
+            if a < b:
+                self.held[lang, source].append((words.take(pa.array(code[a:b])), summed[a:b]))
+        self.size += len(key)
+
+    def rows(self) -> Iterator[tuple[str, str, pa.Array, np.ndarray]]:
+        for (lang, source), parts in self.held.items():
+            found = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
+            summed = np.zeros(len(found.dictionary), np.int64)
+            np.add.at(summed, found.indices.to_numpy(), np.concatenate([p[1] for p in parts]))
+            yield lang, source, found.dictionary, summed
+        self.__init__()
+
+
 def document_vectors(docs: DataFrame) -> DataFrame:
-    """lang, source, terms, counts of every document; a term follows its language and a space, which
-    no term contains."""
+    """lang, source, terms, counts, whole: the vector of every document (whole = 0) and, summed by
+    each task, of every language and source (whole = 1). A term follows its language and a space,
+    which no term contains."""
+    names = ["lang", "source", "terms", "counts", "whole"]
+
+    def summed(sums: _Sums) -> Iterator[pa.RecordBatch]:
+        for lang, source, terms, counts in sums.rows():
+            offsets = pa.array([0, len(counts)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([source]), pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, pa.array(counts)), pa.array([1], pa.int32())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
         for batch in batches:
             for a, b, texts in slices(batch, 2, BATCH_BYTES):
                 rows: dict[str, list[int]] = defaultdict(list)
@@ -77,17 +117,23 @@ def document_vectors(docs: DataFrame) -> DataFrame:
                     tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
                     at = pa.array([a + k for k in own], pa.int32())
                     lists = [pa.ListArray.from_arrays(offsets, x) for x in (tagged.take(pa.array(code)), pa.array(counts, pa.int64()))]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *lists], ["lang", "source", "terms", "counts"])
+                    source = batch.column(1).take(at)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), source, *lists, pa.array(np.zeros(len(own), np.int32))], names)
+                    sums.add(lang, source.to_pylist(), tagged, row, code, counts)
+                if sums.size > SUM_ENTRIES:
+                    yield from summed(sums)
+        yield from summed(sums)
 
     texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, "lang string, source string, terms array<string>, counts array<long>")
+    return texts.mapInArrow(run, "lang string, source string, terms array<string>, counts array<long>, whole int")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
     """`written`, with room for the dictionary of a task's terms, which otherwise would be spelled
     out at each place."""
     path = scratch(df.sparkSession, label)
-    df.write.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).parquet(path)
+    by = [c for c in df.columns if c == "whole"]
+    df.write.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -169,10 +215,11 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank. Part `pair`: every other source of the language by how
     far it is. Part `term`: the `top` terms that the source has more of than its language."""
-    vectors = _stored(document_vectors(docs), "vectors")
+    found = _stored(document_vectors(docs), "vectors")
+    vectors, groups = found.where("whole = 0"), found.where("whole = 1")
     known = vocabulary(vectors, min_df, shard_terms)
-    entry = F.inline(F.arrays_zip(F.col("terms").alias("tagged"), F.col("counts").alias("n")))
-    sums = vectors.select("source", entry).groupBy("source", "tagged").agg(F.sum("n").alias("n"))
+    entry = groups.select("source", "counts", F.posexplode("terms").alias("at", "tagged"))
+    sums = entry.groupBy("source", "tagged").agg(F.sum(F.get("counts", F.col("at"))).alias("n"))
     sums = written(sums.join(known, "tagged").drop("tagged"), "sums")
     kept = known.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))

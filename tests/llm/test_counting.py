@@ -224,6 +224,8 @@ def test_divergence(spark, min_df, top, shard_terms, monkeypatch):
     rows = source_corpus()
     if shard_terms < 100:  # several fits
         monkeypatch.setattr(source_divergence, "_shards", lambda *_: 4)
+        monkeypatch.setattr(source_divergence, "SUM_ENTRIES", 50)
+        monkeypatch.setattr(source_divergence, "BATCH_BYTES", 400)
     d = spark.createDataFrame(rows, SCHEMA).repartition(3).withColumns({c: F.lit(1) for c in ("terms", "counts", "shard", "index", "p", "total")})
     found = source_divergence.audit(d, min_df, top, shard_terms)
     names = ("lang", "source", "part", "item", "value", "rank")
