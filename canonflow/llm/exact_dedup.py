@@ -200,7 +200,6 @@ def exact_groups(docs: DataFrame, bits: int = 31, chunk: int = CHUNK, huge: int
         )
         is_rep = F.struct("doc_id", "text_sha256").eqNullSafe(F.col("rep")).alias("is_rep")
         members = prints.join(several, key).groupBy("doc_id", "text_sha256", "n_bytes", "gid", is_rep, "salts").agg(F.count("*").alias("n_rows"))
-        members = written(members, "members")
         differs = written(_verified(docs, members, chunk, huge), "differs")
         if differs.isEmpty():
             break
