@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.identity import measurement_id
@@ -62,14 +62,21 @@ class Transform:
             unmapped = F.lit(False)
         return judged(d.withColumn("__unmapped", unmapped), slots)
 
-    def rows(self, records: DataFrame, factors: DataFrame | None = None, ingested_at: str | None = None, quantities: set[str] | None = None, extra: tuple[str, ...] = (), moment: str | None = None) -> DataFrame:
+    def rows(self, records: DataFrame, factors: DataFrame | None = None, ingested_at: str | None = None, quantities: set[str] | None = None, extra: tuple[str, ...] = (), moment: str | None = None, counted: Observation | None = None) -> DataFrame:
         """Canonical rows. ingested_at: the run's one stamp. quantities: builds only what they
         need. extra: raw fields carried along. moment: names a further column, the instant of ts_utc,
-        which is read once a record."""
+        which is read once a record. counted: takes the run's counters from the pass that makes the
+        rows. They are summed for each task that ends, so that pass must be a job's last stage: there a
+        task counts once, even if it is run again after its executor was lost."""
         book = self.book
+        if counted is not None and quantities is not None:
+            raise ValueError("counters are of all quantities")
         # Rejection by a value lies in the generator: as a filter it would be pushed below the
         # cells and have them computed twice. Rejection by a raw field is a plain filter.
-        d = self.frame(records, factors, quantities).where(~F.col("__rejected"))
+        d = self.frame(records, factors, quantities)
+        if counted is not None:
+            d = d.observe(counted, *self.counters())
+        d = d.where(~F.col("__rejected"))
         told = [F.col("__moment").alias(moment)] if moment else []
         # array_compact isn't compiled with its neighbours, so a record's columns are made once, ahead
         # of the generator; compiled together, they would be made anew for each of its cells.

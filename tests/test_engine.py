@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from collections import Counter
 from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from canonflow.functions.identity import literal, measurement_id
 from canonflow.functions.numbers import number
@@ -459,3 +462,148 @@ def test_ids_of_any_texts(spark, row):
     d = spark.createDataFrame([row], "x string, y string, n int")
     key = f"x={row[0]!r}|y={row[1]!r}|n={row[2]}"
     assert d.select(measurement_id([("x", F.col("x"), True), ("y", F.col("y"), True), ("n", F.col("n"), False)])).first()[0] == hashlib.sha256(key.encode()).hexdigest()[:32]
+
+
+def test_counters_come_with_the_rows(spark, tmp_path):
+    """One evaluation writes a run's rows and counts it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    t = Transform(ruled(WIDE, F_RANGE | {"on_fail": "drop_row"}))
+    d = wide(spark, ROW, ("8", "2025-01-01T00:01:00", "2", "1.5", "70"), ("7", "2025-01-02T00:01:00", "3", None, None)).repartition(2)
+    expected = t.stats(d, factors(spark)).first().asDict()
+    told = sink.write_run(t, d.mapInArrow(count, d.schema), f"file://{tmp_path}/run", "a", factors(spark), "2025-01-01T00:00:00+00:00")
+    assert told == expected and seen.value == 3 and told["records_in"] == 3
+    assert sink.read_canonical(spark, f"file://{tmp_path}/run").count() == told["rows_emitted"] > 0
+    plan = t.rows(d, None, counted=Observation())._jdf.queryExecution().executedPlan().toString()
+    assert "CollectMetrics" in plan
+    with pytest.raises(ValueError, match="all quantities"):
+        t.rows(d, quantities={"pressure"}, counted=Observation())
+    empty = sink.write_run(t, wide(spark), f"file://{tmp_path}/none", "a", factors(spark))
+    assert empty == dict.fromkeys(COUNTERS, 0)
+
+
+def test_scopes_of_any_name(spark, tmp_path):
+    """Dates that a scope has lost go, whatever its name; partitions of other scopes stay."""
+    t, root = Transform(WIDE), f"file://{tmp_path}/canonical"
+    day = lambda n: ("7", f"2025-01-0{n}T00:00:00", str(n), "230", "50")
+    put = lambda scope, *rows: sink.write_canonical(t.rows(wide(spark, *rows), factors(spark)), root, scope)
+    names = ["01", "1", "a b", "ä+@,", "x=1/2:3%4", "q'?*[]{}"]
+    for name in names:
+        put(name, day(1), day(2), ("7", "never", "9", "230", "50"))
+    for name in names[::2]:
+        put(name, day(2))
+    schema = sink.read_canonical(spark, root).schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) if f.name in sink.PARTITIONS else f for f in schema])
+    held = spark.read.option("basePath", root).schema(texts).parquet(root)
+    found = Counter((r.run_scope, r.event_date) for r in held.collect())
+    whole = {(n, e): 2 for n in names[1::2] for e in ("2025-01-01", "2025-01-02", None)}
+    assert found == whole | {(n, "2025-01-02"): 2 for n in names[::2]}
+
+
+def _fact(spark, **target):
+    spark.sql("DROP TABLE IF EXISTS lab.fact_test")
+    book = replace(TARGET, target=TARGET.target | target)
+    return sink.ensure_table(spark, book, "parquet"), book
+
+
+def _day(n, *values, stamp=1):
+    return [(f"k{v}", f"2025-01-0{n}T00:00:00Z", "q", float(stamp), f"2025-01-0{stamp}T00:00:00+00:00") for v in values]
+
+
+def test_merge_does_not_shuffle_the_target(spark):
+    """The target is bucketed by the merge key: neither the search for replaced rows nor the upsert
+    exchanges it; only partitions that the merge changes are read."""
+    name, book = _fact(spark)
+    sink.merge(staged(spark, *_day(1, *range(40)), *_day(2, *range(40, 80)), *_day(3, 100)), book, "parquet")
+    plans, first = [], sink.upsert
+    semi = sink.changed_partitions
+
+    def seen(target, rows, key):
+        out = first(target, rows, key)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    def searched(target, *a):
+        found = target.join(a[0].select(*a[1]), a[1], "left_semi")
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return semi(target, *a)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sink.upsert, sink.changed_partitions = seen, searched
+        sink.merge(staged(spark, *_day(1, 3, 4, stamp=2)), book, "parquet")
+    finally:
+        sink.upsert, sink.changed_partitions = first, semi
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2
+    for plan in plans:
+        lines = plan.splitlines()
+        at = next(k for k, line in enumerate(lines) if "FileScan parquet spark_catalog.lab.fact_test" in line)
+        depth = lines[at].index("FileScan")
+        above = []
+        for line in lines[at::-1]:  # the scan's ancestors
+            first_letter = next((k for k, c in enumerate(line) if c.isalpha()), 0)
+            if first_letter < depth:
+                depth = first_letter
+                above.append(line)
+        joined = next(k for k, line in enumerate(above) if "Join" in line)
+        assert not any("Exchange" in line for line in above[:joined]), plan
+        assert "Bucketed: true" in lines[at]
+    assert "event_date" in plans[1].split("PartitionFilters: [")[1].split("]")[0]
+    values = {r.measurement_id: r.value for r in spark.table(name).collect()}
+    assert len(values) == 81 and {k for k, v in values.items() if v == 2.0} == {"k3", "k4"}
+
+
+@pytest.mark.parametrize("parts", [["event_date"], []])
+def test_a_load_that_fails_leaves_the_old_rows(spark, monkeypatch, parts):
+    name, book = _fact(spark, partition_by=parts)
+    sink.merge(staged(spark, *_day(1, 1, 2), *_day(2, 3)), book, "parquet")
+    old = sorted((r.measurement_id, r.value, str(r.event_date)) for r in spark.table(name).collect())
+    more = staged(spark, *_day(1, 1, stamp=2), *_day(4, 2, 9, stamp=2), *_day(5, 3, stamp=2))
+    own = type(spark).sql
+    for fail_at in (1, 2, 3) if parts else (1, 2):
+        switches = []
+
+        def failing(self, text, *a, fail_at=fail_at, switches=switches, **b):
+            if text.startswith("ALTER") and (" LOCATION " in text or " RENAME TO " in text):
+                switches.append(text)
+                if len(switches) == fail_at:
+                    raise RuntimeError("lost")
+            return own(self, text, *a, **b)
+
+        monkeypatch.setattr(type(spark), "sql", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            sink.merge(more, book, "parquet", count_table=False)
+        monkeypatch.undo()
+        assert sorted((r.measurement_id, r.value, str(r.event_date)) for r in spark.table(name).collect()) == old
+    r = sink.merge(more, book, "parquet")
+    assert (r.before, r.after) == (3, 4)
+    now = sorted((r.measurement_id, r.value, str(r.event_date)) for r in spark.table(name).collect())
+    assert now == [("k1", 2.0, "2025-01-01"), ("k2", 2.0, "2025-01-04"), ("k3", 2.0, "2025-01-05"), ("k9", 2.0, "2025-01-04")]
+    assert sink.merge(more, book, "parquet").after == 4
+    assert not [t for t in spark.catalog.listTables("lab") if "_load_" in t.name]
+
+
+def test_keys_that_fix_their_partition(spark):
+    """Only staged partitions are read and changed; rows without a date are a partition too."""
+    name, book = _fact(spark, key_fixes=["event_date"])
+    sink.merge(staged(spark, *_day(1, 1, 2), *_day(2, 3), ("none", None, "q", 1.0, "2025-01-01T00:00:00+00:00")), book, "parquet")
+    r = sink.merge(staged(spark, *_day(1, 1, stamp=2), ("none", None, "q", 2.0, "2025-01-02T00:00:00+00:00")), book, "parquet")
+    assert (r.merged, r.before, r.after) == (2, 4, 4)
+    assert {(r.measurement_id, r.value) for r in spark.table(name).collect()} == {("k1", 2.0), ("k2", 1.0), ("k3", 1.0), ("none", 2.0)}
+    assert sink.merge(staged(spark), book, "parquet").merged == 0
+    asked = []
+    monkey = type(factors(spark)).mergeInto
+    try:
+        type(factors(spark)).mergeInto = lambda self, table, test: asked.append(str(test._jc)) or (_ for _ in ()).throw(RuntimeError("asked"))
+        with pytest.raises(RuntimeError, match="asked"):
+            sink.merge(staged(spark, *_day(1, 1)), book, "delta")
+    finally:
+        type(factors(spark)).mergeInto = monkey
+    assert "event_date" in asked[0] and "2025-01-01" in asked[0]
