@@ -94,6 +94,8 @@ ORACLES = {
     "rule_order": _ruled("NOT (quantity = 'load' AND value > 40) AND coalesce(disc, 0) <= 0.09", "CASE WHEN quantity = 'load' AND value > 30 THEN 'suspect' ELSE 'ok' END"),
     "run_stats": _with(_W + "," + _JUDGED + "," + _L, f"""SELECT 'demo_wide' AS source_vendor, {_COUNTS} FROM k UNION ALL
         SELECT 'demo_long', count(*), 0, count(*) FILTER (key = 'error'), count(*) FILTER (key <> 'error'), 0, 0, 0, 0 FROM l"""),
+    "run_stats_written": _with(_W + "," + _JUDGED + "," + _L, f"""SELECT 'demo_wide' AS source_vendor, {_COUNTS} FROM k UNION ALL
+        SELECT 'demo_long', count(*), 0, count(*) FILTER (key = 'error'), count(*) FILTER (key <> 'error'), 0, 0, 0, 0 FROM l"""),
     "run_stats_by_day": _with(_W + "," + _JUDGED, f"SELECT left(ts, 10) AS day, {_COUNTS} FROM k GROUP BY day"),
     "reconcile_counts": _with(_L, """SELECT 'demo_long' AS source_vendor, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n FROM lr GROUP BY ALL
         UNION ALL SELECT 'demo_long', 'unmapped', count(*) FROM l WHERE key NOT IN (SELECT key FROM m) UNION ALL SELECT 'demo_long', 'all', count(*) FROM l"""),
@@ -106,6 +108,7 @@ ORACLES = {
     "sink_typed_projection": _with(_M, f"SELECT {_SHOWN} FROM s"),
     "dedupe_latest": _with(_M, f"SELECT {_SHOWN} FROM d"),
     "merge_upsert": _with(_M, f"SELECT {_SHOWN} FROM u"),
+    "merge_table": _with(_M, f"SELECT {_SHOWN} FROM u"),
     "merge_twice_idempotent": _with(_M, f"SELECT {_SHOWN} FROM u"),
     "merge_report": _with(_M, "SELECT 'staged' AS step, count(*) AS n FROM s UNION ALL SELECT 'merged', count(*) FROM d UNION ALL SELECT 'before', count(*) FROM t UNION ALL SELECT 'after', count(*) FROM u"),
     "sink_rerun_idempotent": _with(_L, "SELECT 'demo_long' AS source_vendor, 'site-1' AS run_scope, count(*) AS n, count(*) AS n_ids FROM lr"),
@@ -119,6 +122,9 @@ ORACLES = {
         FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS minute, quantity, value FROM c WHERE quantity <> 'turbidity'
           UNION ALL SELECT 'demo_long', 'demo:site:device', strftime(ts, '%Y-%m-%d %H:%M'), quantity, value FROM lr) x GROUP BY source_vendor, device_id, minute"""),
     "serving_snapshot": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, quantity, phase, left(ts_utc, 16) AS minute, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) AS VARCHAR) AS total, count(*) AS n FROM lr GROUP BY ALL"),
+    "serving_refreshed": _with(_L, "SELECT 'demo_long' AS source_vendor, 'demo:site:device' AS device_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, " + ", ".join(
+        f"CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = '{q}') AS DOUBLE) / 10000 / count(*) FILTER (quantity = '{q}') AS {n}"
+        for q, n in (("pressure", "pressure_inlet"), ("flow", "flow_inlet"), ("volume_total", "volume_total"), ("pressure_ripple", "pressure_ripple_inlet"))) + " FROM lr GROUP BY ALL"),
     "minute_completeness": _with(_L, """SELECT 'demo:site:device' AS device_id, p AS minutes_present, q AS minutes_possible, round(100.0 * p / q, 4) AS percent
         FROM (SELECT count(DISTINCT date_trunc('minute', ts)) AS p, epoch_us(max(date_trunc('minute', ts)) ) // 60000000 - epoch_us(min(date_trunc('minute', ts))) // 60000000 + 1 AS q FROM lr) z"""),
     "union_vendors": _with(_W + "," + _L, "SELECT 'demo_wide' AS source_vendor, count(*) AS n FROM c UNION ALL SELECT 'demo_long', count(*) FROM lr"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import exact_sum
 from ..functions.timestamps import instant
 from ..rulebook import Rulebook
+from ..scratch import scratch
+from .sink import create_schema, table_sql, told, upsert_table
 
 
 def dimension(spark: SparkSession, book: Rulebook, vocabulary: str, columns: list[dict]) -> DataFrame:
@@ -86,15 +88,66 @@ def reconciled(rows: DataFrame) -> DataFrame:
 
 
 def identity_collapse(rows: DataFrame) -> DataFrame:
-    """n_rows, n_ids: fewer ids than rows means that the identity lacks a field."""
-    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("measurement_id").alias("n_ids"))
+    """n_rows, n_ids: fewer ids than rows means that the identity lacks a field.
+
+    Ids are counted by a short hash first. An id whose hash no other row has is alone; only those
+    whose hash comes again are compared in full, so full ids of unique rows aren't shuffled.
+    """
+    spark, id_, none = rows.sparkSession, F.col("measurement_id"), F.col("measurement_id").isNull()
+    path = scratch(spark, "hashes")
+    by_hash = rows.groupBy(F.xxhash64(id_).alias("h"), none.alias("none")).agg(F.count("*").alias("n"))
+    # One pass leaves the totals and the hashes that come again.
+    once, seen = F.col("n") == 1, Observation()
+    totals = [F.sum("n").alias("n_rows"), F.count(F.when(once & ~F.col("none"), 1)).alias("alone")]
+    by_hash.observe(seen, *totals).where(~once & ~F.col("none")).select("h").write.parquet(path)
+    again = spark.read.schema("h long").parquet(path)
+    found = told(seen, {"n_rows": 0, "alone": 0})
+    total = [F.lit(found["n_rows"] or 0).cast("long").alias("n_rows"), (F.lit(found["alone"]) + F.col("n")).alias("n_ids")]
+    if again.isEmpty():
+        return spark.range(1).select(F.lit(0).cast("long").alias("n")).select(*total)
+    return rows.select("measurement_id", F.xxhash64(id_).alias("h")).join(again, "h", "left_semi").agg(F.countDistinct("measurement_id").alias("n")).select(*total)
 
 
 def minute_completeness(rows: DataFrame) -> DataFrame:
     """device_id, minutes_present, minutes_possible, percent: between a device's first and last
-    minute."""
-    minute = F.date_trunc("minute", instant(F.col("ts_utc")))
-    d = rows.withColumn("__m", minute).groupBy("device_id").agg(
-        F.countDistinct("__m").alias("minutes_present"), ((F.unix_seconds(F.max("__m")) - F.unix_seconds(F.min("__m"))) / 60 + 1).cast("long").alias("minutes_possible")
-    )
-    return d.where("minutes_present > 0").withColumn("percent", F.round(F.lit(100.0) * F.col("minutes_present") / F.col("minutes_possible"), 4))
+    minute.
+
+    Minutes are bits: every 64 of them share a word, which tasks fill before they shuffle, so a
+    device's words are sent, not its minutes.
+    """
+    minute = F.floor(F.unix_seconds(instant(F.col("ts_utc"))) / 60).cast("long")
+    bits = rows.select("device_id", minute.alias("__m")).where("__m is not null").groupBy("device_id", F.floor(F.col("__m") / 64).alias("__w"))
+    words = bits.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("__m", F.lit(64)).cast("int"))).alias("__b"), F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
+    d = words.groupBy("device_id").agg(F.sum(F.bit_count("__b")).alias("minutes_present"), (F.max("__hi") - F.min("__lo") + 1).alias("minutes_possible"))
+    return d.withColumn("percent", F.round(F.lit(100.0) * F.col("minutes_present") / F.col("minutes_possible"), 4))
+
+
+#: What names a minute of a device.
+MINUTE = ["source_vendor", "device_id", "minute"]
+
+
+def refresh_minutes(spark: SparkSession, fact: DataFrame, name: str, pairs: list[tuple[str, str]], since: str | None, newest: str = "ingested_at", digits: int | None = None) -> int:
+    """Keeps a snapshot of `minute_wide` up to date and says how many minutes were made anew.
+
+    Only minutes with a row whose `newest` is later than `since` are computed again, from all of their
+    rows, and replace what the snapshot has of them; other partitions of the snapshot aren't touched.
+    since: null makes all of them. A row that a load has moved to another minute has to be named in
+    the old minute too, by a row there that is as new.
+    """
+    minute = F.date_trunc("minute", instant(F.col("ts_utc")) if isinstance(fact.schema["ts_utc"].dataType, T.StringType) else F.col("ts_utc"))
+    dated = fact.withColumn("minute", minute)
+    if since is not None:
+        touched = dated.where(F.col(newest).cast("timestamp") > F.lit(since).cast("timestamp")).select(*MINUTE).distinct()
+        path = scratch(spark, "minutes")
+        touched.write.parquet(path)  # so that its size is known to the join, and it is found once
+        touched = spark.read.schema(touched.schema).parquet(path)
+        if touched.isEmpty():
+            return 0
+        span = touched.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi")).first()
+        dated = dated.where(F.col("minute").between(F.lit(span["lo"]), F.lit(span["hi"]))).join(touched, MINUTE, "left_semi")
+    wide = minute_wide(dated.drop("minute"), pairs, digits=digits).withColumn("event_date", F.to_date("minute"))
+    book = Rulebook(vendor="", target={"schema": name.rsplit(".", 1)[0], "table": name.rsplit(".", 1)[1], "merge_key": MINUTE, "partition_by": ["event_date"], "key_fixes": ["event_date"]})
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wide.schema)
+    create_schema(spark, book)
+    spark.sql(table_sql(name, columns, "parquet", ["event_date"], {}, MINUTE, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return upsert_table(wide, name, MINUTE, ["event_date"], ["event_date"])

@@ -185,6 +185,17 @@ def merge(staged: DataFrame, book: Rulebook, provider: str = "delta", count_tabl
         rows.unpersist()
 
 
+def upsert_table(rows: DataFrame, name: str, key: list[str], parts: list[str], fixed: list[str]) -> int:
+    """Upserts rows, whose keys are distinct, into a table without MERGE, and counts them."""
+    rows = rows.persist()
+    try:
+        if (touched := Touched.by(rows, key, parts)).rows:
+            _rebuild(rows.sparkSession, rows, name, key, parts, touched, fixed)
+        return touched.rows
+    finally:
+        rows.unpersist()
+
+
 def merge_rows(rows: DataFrame, name: str, key: list[str], touched: Touched | None = None, fixed: list[str] | None = None) -> None:
     """The table's own MERGE: matching rows are replaced, others are inserted. touched: narrows the
     files that are searched for matches."""

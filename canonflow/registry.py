@@ -15,7 +15,7 @@ from .operators.cells import join_factors
 from .operators.merge import dedupe_latest, keyed, table_schema, typed_projection, upsert
 from .oracles import ORACLES  # noqa: F401  for the entry module
 from .plans import publish
-from .plans.sink import prepared, read_canonical, write_canonical
+from .plans.sink import ensure_table, merge, prepared, read_canonical, write_canonical, write_run
 from .plans.transform import COUNTERS, Transform
 from .scratch import scratch
 from .session import prepare
@@ -220,6 +220,16 @@ def run_stats(spark, d):
     return wide.withColumn("source_vendor", F.lit("demo_wide")).unionByName(long.withColumn("source_vendor", F.lit("demo_long")))
 
 
+@query
+def run_stats_written(spark, d):
+    """The same counters from the passes that write the rows."""
+    root = scratch(spark, "runs")
+    wide = write_run(Transform(b.with_rules(b.WIDE, *MIXED)), b.wide_records(spark, d), root, "wide", b.device_factors(spark, d), b.STAMP)
+    long = write_run(Transform(b.LONG), b.long_records(spark, d), root, "long", None, b.STAMP)
+    rows = [(vendor, *(told[c] for c in COUNTERS)) for vendor, told in (("demo_wide", wide), ("demo_long", long))]
+    return spark.createDataFrame(rows, "source_vendor string, " + ", ".join(f"{c} long" for c in COUNTERS))
+
+
 @query
 def run_stats_by_day(spark, d):
     day: list[Column] = [F.left("ts", F.lit(10)).alias("day")]
@@ -342,6 +352,25 @@ def merge_report(spark, d):
     return n(staged, "staged").union(n(rows, "merged")).union(n(target, "before")).union(n(upsert(target, rows, ["event_id"]), "after"))
 
 
+@query
+def merge_table(spark, d):
+    """A table that is loaded, and loaded again with what it has in part."""
+    name = "fact_" + scratch(spark, "x")[-12:]
+    book = replace(b.MERGE, target=b.MERGE.target | {"table": name}, canonical={"entities": {name: b.MERGE.canonical["entities"]["measurement"]}})
+    ensure_table(spark, book, "parquet")
+    for rows in (b.merge_target(spark, d), b.staged_rows(spark, d)):
+        merge(rows, book, "parquet", count_table=False)
+    return _kept(spark, name, _shown(spark.table(name)))
+
+
+def _kept(spark, name: str, rows: DataFrame) -> DataFrame:
+    """The rows, written; the catalog is left as it was."""
+    path = scratch(spark, "kept")
+    rows.write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
 def _scoped(spark, d, scopes: list[str]) -> DataFrame:
     root = scratch(spark, "canonical")
     for scope in scopes:
@@ -407,6 +436,17 @@ def serving_snapshot(spark, d):
     return spark.read.parquet(kept)
 
 
+@query
+def serving_refreshed(spark, d):
+    """A snapshot made of three fifths of the readings, then brought up to date with the others."""
+    name, row = "default.minutes_" + scratch(spark, "x")[-12:], F.col("source_row_id").cast("long") % 5
+    stamps = ["2025-01-01T00:00:00Z", "2025-01-02T00:00:00Z"]
+    fact = _long(spark, d).withColumn("ingested_at", F.when(row < 3, stamps[0]).otherwise(stamps[1]))
+    publish.refresh_minutes(spark, fact.where(F.col("ingested_at") == stamps[0]), name, PAIRS[:4], None, digits=4)
+    publish.refresh_minutes(spark, fact, name, PAIRS[:4], stamps[0], digits=4)
+    return _kept(spark, name, spark.table(name).drop("event_date").withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm")))
+
+
 @query
 def minute_completeness(spark, d):
     return publish.minute_completeness(_long(spark, d))

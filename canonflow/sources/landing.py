@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..rulebook import Rulebook
+from ..scratch import scratch
 
 _SIDECAR, _UNFINISHED = ".meta.json", ".tmp"
 
@@ -28,9 +30,9 @@ def partition_globs(root: str, layout: str, date: str, meter: str | None = None)
 
 def landed_files(spark: SparkSession, pattern: str) -> DataFrame | None:
     """directory, path, fetched_at of the payloads under `pattern`; None if nothing is there.
-    Payloads are listed, not opened; sidecars are read."""
+    Payloads are listed, not opened; sidecars are read. Paths are as a scan's `_metadata` has them."""
     try:
-        listed = spark.read.format("binaryFile").load(f"{pattern}/*").select("path")
+        listed = spark.read.format("binaryFile").load(f"{pattern}/*").select(F.col("_metadata.file_path").alias("path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -45,30 +47,59 @@ def landed_files(spark: SparkSession, pattern: str) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return payloads.select("directory", "path", F.lit(None).cast("string").alias("fetched_at"))
-    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  listings differ in slashes
-    told = text.select(bare(F.regexp_replace("m", r"\.meta\.json$", "")).alias("s"), F.get_json_object("value", "$.fetched_at").alias("fetched_at"))
-    return payloads.join(told, bare(F.col("stem")) == F.col("s"), "left").select("directory", "path", "fetched_at")
+    told = text.select(F.regexp_replace("m", r"\.meta\.json$", "").alias("s"), F.get_json_object("value", "$.fetched_at").alias("fetched_at"))
+    return payloads.join(told, F.col("stem") == F.col("s"), "left").select("directory", "path", "fetched_at")
 
 
-def snapshot_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """The newest payload of each partition: as many names as a scan of them has to list."""
-    files = landed_files(spark, pattern)
-    return [] if files is None else sorted(r["path"] for r in latest_snapshots(files).select("path").toLocalIterator())
+@dataclass(frozen=True)
+class Snapshot:
+    """The newest payloads under a pattern: a table of their paths. A scan of all files is joined to
+    it by each row's own file, so no name comes to the driver, and older payloads yield nothing."""
+
+    pattern: str
+    newest: DataFrame
+
+    @classmethod
+    def of(cls, spark: SparkSession, pattern: str) -> Snapshot | None:
+        """None if nothing has landed. The listing is written, so that its size is known to the join."""
+        files = landed_files(spark, pattern)
+        if files is None:
+            return None
+        path = scratch(spark, "newest")
+        latest_snapshots(files).select(F.col("path").alias("__newest")).write.parquet(path)
+        return cls(f"{pattern}/*", spark.read.schema("__newest string").parquet(path))
+
+    def only(self, rows: DataFrame) -> DataFrame:
+        """The rows, which have a column __file, of the newest payloads."""
+        return rows.join(self.newest, F.col("__file") == F.col("__newest"), "left_semi")
 
 
 def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_json(spark: SparkSession, paths: list[str], names: list[str], encoding: str = "UTF-8") -> DataFrame:
+def _newest(of: list[str] | Snapshot, rows: DataFrame) -> DataFrame:
+    return of.only(rows) if isinstance(of, Snapshot) else rows
+
+
+def _paths(of: list[str] | Snapshot) -> list[str]:
+    return [of.pattern] if isinstance(of, Snapshot) else of
+
+
+def read_json(spark: SparkSession, of: list[str] | Snapshot, names: list[str], encoding: str = "UTF-8") -> DataFrame:
     """Records of payloads that hold an array or one object, as texts. Another JSON value yields
-    nothing; what isn't JSON raises."""
+    nothing; what isn't JSON raises, but not in payloads that a snapshot leaves out."""
     schema = _strings(names).add("__corrupt", T.StringType())
     reader = spark.read.schema(schema).option("multiLine", True).option("encoding", encoding).option("columnNameOfCorruptRecord", "__corrupt")
     bad = F.col("__corrupt")
     scalar = F.trim(bad).rlike(r'^(null|true|false|-?\d[\d.eE+-]*|"([^"\\]|\\.)*")$')
     raised = F.raise_error(F.concat(F.lit("not JSON: "), F.left(bad, F.lit(80)))).cast("boolean")
-    return reader.json(paths).where(F.when(bad.isNull(), F.lit(True)).when(scalar, F.lit(False)).otherwise(raised)).drop("__corrupt")
+    found = _newest(of, reader.json(_paths(of)).select("*", F.col("_metadata.file_path").alias("__file")))
+    # Numbered behind the join and tested with the number, so that nothing raises below the join, where
+    # older payloads still are.
+    found = found.withColumn("__at", F.monotonically_increasing_id())
+    good = F.when(bad.isNull(), F.col("__at") >= 0).when(scalar, F.lit(False)).otherwise(raised)
+    return found.where(good).select(*names)
 
 
 def split_dsv(lines: DataFrame, line: str, names: list[str], delimiter: str = ",") -> DataFrame:
@@ -79,29 +110,30 @@ def split_dsv(lines: DataFrame, line: str, names: list[str], delimiter: str = ",
     return d.select(*[c for c in lines.columns if c != line], *[F.get("__parts", F.lit(k)).alias(n) for k, n in enumerate(names)])
 
 
-def read_dsv(spark: SparkSession, paths: list[str], names: list[str], delimiter: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_dsv(spark: SparkSession, of: list[str] | Snapshot, names: list[str], delimiter: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Records of header-less delimited payloads; lines end at a newline only."""
+    file = F.col("_metadata.file_path").alias("__file")
     if encoding.upper().replace("-", "") == "UTF8":
-        lines = spark.read.option("lineSep", "\n").text(paths)
+        lines = _newest(of, spark.read.option("lineSep", "\n").text(_paths(of)).select("value", file))
     else:  # another charset is decoded file by file
-        content = spark.read.format("binaryFile").load(paths).select(F.decode("content", encoding).alias("body"))
-        lines = content.select(F.explode(F.split("body", "\n")).alias("value"))
-    return split_dsv(lines, "value", names, delimiter)
+        content = _newest(of, spark.read.format("binaryFile").load(_paths(of)).select("content", file))
+        lines = content.select(F.explode(F.split(F.decode("content", encoding), "\n")).alias("value"))
+    return split_dsv(lines.select("value"), "value", names, delimiter)
 
 
-def read_payloads(spark: SparkSession, paths: list[str], book: Rulebook) -> DataFrame:
+def read_payloads(spark: SparkSession, of: list[str] | Snapshot | None, book: Rulebook) -> DataFrame:
     """Records of payloads in the rulebook's format, all fields as text."""
     kind, encoding = book.format.get("type", "json"), book.format.get("encoding", "UTF-8")
     declared = [f["name"] for f in book.source.get("fields", [])]
     if kind == "csv":
-        return read_dsv(spark, paths, declared, book.format.get("delimiter", ","), encoding) if paths else spark.createDataFrame([], _strings(declared))
+        return read_dsv(spark, of, declared, book.format.get("delimiter", ","), encoding) if of else spark.createDataFrame([], _strings(declared))
     names = book.raw_fields()
-    return read_json(spark, paths, names, encoding) if paths else spark.createDataFrame([], _strings(names))
+    return read_json(spark, of, names, encoding) if of else spark.createDataFrame([], _strings(names))
 
 
 def read_records(spark: SparkSession, root: str, book: Rulebook, date: str, meter: str | None = None) -> DataFrame:
     """One date's records, of one meter or of all; an absent partition has none."""
-    return read_payloads(spark, snapshot_paths(spark, partition_globs(root, book.source["access"]["layout"], date, meter)), book)
+    return read_payloads(spark, Snapshot.of(spark, partition_globs(root, book.source["access"]["layout"], date, meter)), book)
 
 
 def factor_columns(devices: DataFrame, book: Rulebook) -> DataFrame:
@@ -121,8 +153,8 @@ def read_device_factors(spark: SparkSession, root: str, book: Rulebook, date: st
     """meter, uk, ik from the newest payload of the meters partition."""
     names = book.source.get("device_factors", {})
     fields = ["id", names.get("voltage_factor", "uk"), names.get("current_factor", "ik")]
-    paths = snapshot_paths(spark, f"{root.rstrip('/')}/vendor={book.vendor}/source=meters/date={date}")
-    devices = read_json(spark, paths, fields) if paths else spark.createDataFrame([], _strings(fields))
+    newest = Snapshot.of(spark, f"{root.rstrip('/')}/vendor={book.vendor}/source=meters/date={date}")
+    devices = read_json(spark, newest, fields) if newest else spark.createDataFrame([], _strings(fields))
     return factor_columns(devices, book)
 
 

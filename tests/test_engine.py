@@ -607,3 +607,76 @@ def test_keys_that_fix_their_partition(spark):
     finally:
         type(factors(spark)).mergeInto = monkey
     assert "event_date" in asked[0] and "2025-01-01" in asked[0]
+
+
+def test_older_payloads_are_not_parsed_for_errors(spark, tmp_path):
+    """Names of payloads stay in Spark: a scan is joined to the newest ones by its own file names. An
+    older payload may be broken; so may an unfinished one."""
+    book = replace(WIDE, source=WIDE.source | {"access": {"layout": "date={date}/meter={meter}"}})
+    at = tmp_path / "date=2025-01-01"
+    land(at / "meter=7 a%b", "a.json", "broken {", "2025-01-01T00:00:00Z")
+    land(at / "meter=7 a%b", "b c.json", '[{"meter": 7, "id": 2, "f": 50.5}]', "2025-01-02T00:00:00Z")
+    land(at / "meter=7 a%b", "d.tmp", "unfinished {")
+    d = landing.read_records(spark, f"file://{tmp_path}", book, "2025-01-01")
+    assert [(r.id, r.f) for r in d.collect()] == [("2", "50.5")] and d.columns == book.raw_fields()
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "file_path" in plan
+    land(at / "meter=8", "x.json", "broken {")
+    with pytest.raises(Exception, match="not JSON"):
+        landing.read_records(spark, f"file://{tmp_path}", book, "2025-01-01").collect()
+
+
+def test_other_charsets_of_newest_payloads(spark, tmp_path):
+    book = replace(LONG, source=LONG.source | {"format": LONG.source["format"] | {"encoding": "ISO-8859-1"}})
+    os.makedirs(tmp_path / "vendor=acme_long" / "date=2025-01-01")
+    for name, text in (("a.tsv", "old\t1\t0\n"), ("b.tsv", "n\u00e9w\t1\t0\n")):
+        (tmp_path / "vendor=acme_long" / "date=2025-01-01" / name).write_bytes(text.encode("latin-1"))
+    assert [r.key for r in landing.read_records(spark, f"file://{tmp_path}", book, "2025-01-01").collect()] == ["n\u00e9w"]
+
+
+def test_ids_of_unique_rows_are_not_shuffled(spark, monkeypatch):
+    d = spark.createDataFrame([(x,) for x in ["a", "b", "b", "c", "c", "c", None, None]], "measurement_id string")
+    found = publish.identity_collapse(d)
+    assert tuple(found.first()) == (8, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and found.schema.simpleString() == "struct<n_rows:bigint,n_ids:bigint>"
+    assert tuple(publish.identity_collapse(d.where("measurement_id = 'a'")).first()) == (1, 1)
+    assert tuple(publish.identity_collapse(d.where("measurement_id is null")).first()) == (2, 0)
+    assert tuple(publish.identity_collapse(d.where("false")).first()) == (0, 0)
+    # Unlike ids of one hash are told apart.
+    monkeypatch.setattr(publish.F, "xxhash64", lambda *_: F.lit(1).cast("long"))
+    assert tuple(publish.identity_collapse(d).first()) == (8, 3)
+
+
+def test_minutes_are_counted_as_bits(spark):
+    at = lambda m: f"2025-01-01T{m // 60:02d}:{m % 60:02d}:30Z"
+    rows = [("a", at(m)) for m in (0, 0, 1, 63, 64, 65, 200, 1439)] + [("b", "1969-12-31T23:59:59Z"), ("b", "1970-01-01T00:00:00Z"), ("c", None), ("d", at(5)), ("d", None)]
+    found = publish.minute_completeness(spark.createDataFrame(rows, "device_id string, ts_utc string"))
+    assert sorted(map(tuple, found.collect())) == [("a", 7, 1440, 0.4861), ("b", 2, 2, 100.0), ("d", 1, 1, 100.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "distinct" not in plan.lower() and "SortAggregate" not in plan and "Expand" not in plan
+
+
+def test_snapshots_are_kept_up_to_date(spark, monkeypatch):
+    """A second load makes only the minutes that it touched, and the snapshot equals a full one."""
+    for x in ("minutes", "minutes_full"):
+        spark.sql(f"DROP TABLE IF EXISTS lab.{x}")
+    pairs = [("q", "none")]
+    schema = "source_vendor string, device_id string, ts_utc timestamp, quantity string, phase string, value double, quality string, ingested_at timestamp"
+
+    def fact(*rows):
+        d = spark.createDataFrame([("v", dev, ts, "q", "none", x, "ok", f"2025-02-0{n}T00:00:00Z") for dev, ts, x, n in rows], "a string, b string, c string, d string, e string, f double, g string, h string")
+        return d.toDF(*[c.split()[0] for c in schema.split(", ")]).withColumns({c: F.col(c).cast("timestamp") for c in ("ts_utc", "ingested_at")})
+
+    one = [("x", f"2025-01-0{day}T00:0{m}:15Z", float(m), 1) for day in (1, 2, 3) for m in range(5)]
+    assert publish.refresh_minutes(spark, fact(*one), "lab.minutes", pairs, None) == 15
+    more = [*one, ("x", "2025-01-02T00:01:45Z", 9.0, 2), ("y", "2025-01-04T00:00:00Z", 5.0, 2)]
+    written = []
+    own = sink._rebuild
+    monkeypatch.setattr(sink, "_rebuild", lambda spark, rows, name, key, parts, touched, fixed: (written.extend(touched.parts), own(spark, rows, name, key, parts, touched, fixed)))
+    assert publish.refresh_minutes(spark, fact(*more), "lab.minutes", pairs, "2025-02-01T00:00:00Z") == 2
+    assert sorted(str(p["event_date"]) for p in written) == ["2025-01-02", "2025-01-04"]
+    assert publish.refresh_minutes(spark, fact(*more), "lab.minutes", pairs, "2025-02-02T00:00:00Z") == 0
+    publish.refresh_minutes(spark, fact(*more), "lab.minutes_full", pairs, None)
+    shown = lambda name: sorted(map(str, spark.table(name).collect()))
+    assert shown("lab.minutes") == shown("lab.minutes_full") and spark.table("lab.minutes").count() == 16
