@@ -1,7 +1,7 @@
 """Source divergence audit: how far each source's words stand from the other sources of its language.
 
-Every document becomes an exact sparse vector, its distinct terms and their counts, which is written.
-Spark's CountVectorizer, with minDF and the largest integer as vocabSize, is fitted to the vectors'
+Every document becomes an exact sparse vector of terms and counts; its terms are written. Spark's
+CountVectorizer, with minDF and the largest integer as vocabSize, is fitted to the vectors'
 terms and gives the vocabulary. Terms carry the document's language, so one fit keeps a vocabulary for
 each language, with document frequencies counted inside it, however many languages there are. The task
 that makes vectors also sums them by (language, source), as Summarizer's buffers do, though in integers.
@@ -10,7 +10,7 @@ the model's own vectors gives, which took more CPU than allowed, as it makes the
 
 A fitted vocabulary passes through the driver, so its size must be bounded: terms are dealt by hash to
 as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has its own fit over its own
-part of the written vectors.
+part of the written terms.
 
 The divergence of a source from another sums f(p, q) over all kept terms of the language, p and q
 being smoothed shares. It is evaluated sparsely: terms that neither has are alike, so they are
@@ -61,45 +61,54 @@ _IS_TERM = ~byte_set(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)
 
 
 class _Sums:
-    """Vectors summed by (language, source) while a task reads its documents."""
+    """Vectors summed by (language, source) while a task reads its documents, held by language."""
 
     def __init__(self):
-        self.held: dict[tuple[str, str], list[tuple[pa.Array, np.ndarray]]] = defaultdict(list)
+        self.held: dict[str, list[tuple[pa.Array, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
         self.size = 0
 
     def add(self, lang: str, sources: list[str], words: pa.Array, row: np.ndarray, code: np.ndarray, counts: np.ndarray) -> None:
         """Entries of some documents, of which `sources` has one for each row."""
         names, number = np.unique(np.array(sources, object), return_inverse=True)
-        key, at = np.unique(number[row] * max(1, len(words)) + code, return_inverse=True)
+        key, at, n_docs = np.unique(code * len(names) + number[row], return_inverse=True, return_counts=True)
         summed = np.zeros(len(key), np.int64)
         np.add.at(summed, at, counts)
-        name, code = np.divmod(key, max(1, len(words)))
-        cuts = np.searchsorted(name, np.arange(len(names) + 1))
-        for k, source in enumerate(names):
-            a, b = cuts[k], cuts[k + 1]
-            if a < b:
-                self.held[lang, source].append((words.take(pa.array(code[a:b])), summed[a:b]))
+        term, source = np.divmod(key, max(1, len(names)))
+        self.held[lang].append((words, names.tolist(), term, source, summed, n_docs))
         self.size += len(key)
 
-    def rows(self) -> Iterator[tuple[str, str, pa.Array, np.ndarray]]:
-        for (lang, source), parts in self.held.items():
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """lang, names, tagged, df, of, n: for each language its sources, its terms with the number of
+        their documents, and for each term the sources (by place in `names`) that have it how often."""
+        for lang, parts in self.held.items():
+            names = sorted({x for p in parts for x in p[1]})
+            place = {x: k for k, x in enumerate(names)}
             found = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
-            summed = np.zeros(len(found.dictionary), np.int64)
-            np.add.at(summed, found.indices.to_numpy(), np.concatenate([p[1] for p in parts]))
-            yield lang, source, found.dictionary, summed
+            index = np.split(found.indices.to_numpy(), np.cumsum([len(p[0]) for p in parts])[:-1])
+            keys = np.concatenate([own[p[2]].astype(np.int64) * len(names) + np.array([place[x] for x in p[1]], np.int64)[p[3]] for own, p in zip(index, parts, strict=True)])
+            key, at = np.unique(keys, return_inverse=True)
+            summed, n_docs = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+            np.add.at(summed, at, np.concatenate([p[4] for p in parts]))
+            np.add.at(n_docs, at, np.concatenate([p[5] for p in parts]))
+            term, source = np.divmod(key, len(names))
+            first = np.searchsorted(term, np.arange(len(found.dictionary) + 1))
+            df = np.add.reduceat(n_docs, first[:-1]) if len(key) else n_docs
+            offsets, whole = pa.array(first.astype(np.int32)), pa.array([0, len(df)], pa.int32())
+            lists = [pa.array([names], pa.list_(pa.string()))]
+            lists += [pa.ListArray.from_arrays(whole, x) for x in (found.dictionary, pa.array(df), pa.ListArray.from_arrays(offsets, pa.array(source.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(summed)))]
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.string())), *lists], _NAMES)
         self.__init__()
 
 
-def document_vectors(docs: DataFrame) -> DataFrame:
-    """lang, source, terms, counts, whole: the vector of every document (whole = 0) and, summed by
-    each task, of every language and source (whole = 1). A term follows its language and a space,
-    which no term contains."""
-    names = ["lang", "source", "terms", "counts", "whole"]
+_NAMES = ["lang", "source", "terms", "names", "tagged", "df", "of", "n"]
+_KINDS = "lang string, source string, terms array<string>, names array<string>, tagged array<string>, df array<long>, of array<array<int>>, n array<array<long>>"
+
 
-    def summed(sums: _Sums) -> Iterator[pa.RecordBatch]:
-        for lang, source, terms, counts in sums.rows():
-            offsets = pa.array([0, len(counts)], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([source]), pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, pa.array(counts)), pa.array([1], pa.int32())], names)
+def document_vectors(docs: DataFrame) -> DataFrame:
+    """Two kinds of rows: every document with its lang, source and distinct terms, and what tasks sum
+    up of their documents' vectors (`_Sums.batches`; source is null there). A term follows its
+    language and a space, which no term contains."""
+    none = [pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -111,37 +120,37 @@ def document_vectors(docs: DataFrame) -> DataFrame:
                 for lang, own in rows.items():
                     buf, ends = joined([texts[k] for k in own])
                     words, codes, start = coded(buf, _IS_TERM)
+                    # The sparse vectors: entries in order of row and term.
                     entry, counts = np.unique(np.searchsorted(ends, start, side="right") * max(1, len(words)) + codes, return_counts=True)
                     row, code = np.divmod(entry, max(1, len(words)))
                     offsets = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
                     tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
                     at = pa.array([a + k for k in own], pa.int32())
-                    lists = [pa.ListArray.from_arrays(offsets, x) for x in (tagged.take(pa.array(code)), pa.array(counts, pa.int64()))]
-                    source = batch.column(1).take(at)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), source, *lists, pa.array(np.zeros(len(own), np.int32))], names)
-                    sums.add(lang, source.to_pylist(), tagged, row, code, counts)
+                    source, terms = batch.column(1).take(at), pa.ListArray.from_arrays(offsets, tagged.take(pa.array(code)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), source, terms, *(pa.nulls(len(own), kind) for kind in none)], _NAMES)
+                    if len(code):
+                        sums.add(lang, source.to_pylist(), tagged, row, code, counts)
                 if sums.size > SUM_ENTRIES:
-                    yield from summed(sums)
-        yield from summed(sums)
+                    yield from sums.batches()
+        yield from sums.batches()
 
     texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, "lang string, source string, terms array<string>, counts array<long>, whole int")
+    return texts.mapInArrow(run, _KINDS)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
     """`written`, with room for the dictionary of a task's terms, which otherwise would be spelled
     out at each place."""
     path = scratch(df.sparkSession, label)
-    by = [c for c in df.columns if c == "whole"]
-    df.write.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).partitionBy(*by).parquet(path)
+    df.write.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _shards(vectors: DataFrame, min_df: int, shard_terms: int) -> int:
-    """So many that none keeps more than `shard_terms` terms. Terms in enough documents are counted
-    among those of every 64th hash; the estimate has half as many again to spare."""
-    one = vectors.select(F.explode("terms").alias("term")).where(F.pmod(F.xxhash64("term"), F.lit(64)) == 0)
-    kept = one.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_df).count()
+def _shards(terms: DataFrame, min_df: int, shard_terms: int) -> int:
+    """So many that none keeps more than `shard_terms` terms, of `terms` (tagged, df). Those in enough
+    documents are counted among every 64th hash; the estimate has half as many again to spare."""
+    one = terms.where(F.pmod(F.xxhash64("tagged"), F.lit(64)) == 0)
+    kept = one.groupBy("tagged").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df).count()
     return max(1, -(-96 * kept // shard_terms))
 
 
@@ -154,10 +163,10 @@ def _dealt(vectors: DataFrame, shards: int) -> DataFrame:
     return _stored(each.withColumn("terms", F.filter("terms", lambda t: of(t) == F.col("shard"))), "dealt")
 
 
-def vocabulary(vectors: DataFrame, min_df: int, shard_terms: int) -> DataFrame:
+def vocabulary(vectors: DataFrame, shards: int, min_df: int) -> DataFrame:
     """shard, index, tagged, lang, term of every kept term."""
     spark = vectors.sparkSession
-    path, shards = scratch(spark, "vocabulary"), _shards(vectors, min_df, shard_terms)
+    path = scratch(spark, "vocabulary")
     dealt = _dealt(vectors, shards)
     for shard in range(shards):
         model = CountVectorizer(inputCol="terms", minDF=min_df, vocabSize=MOST_TERMS).fit(dealt.where(F.col("shard") == shard))
@@ -216,11 +225,14 @@ def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: in
     """lang, source, part, item, value, rank. Part `pair`: every other source of the language by how
     far it is. Part `term`: the `top` terms that the source has more of than its language."""
     found = _stored(document_vectors(docs), "vectors")
-    vectors, groups = found.where("whole = 0"), found.where("whole = 1")
-    known = vocabulary(vectors, min_df, shard_terms)
-    entry = groups.select("source", "counts", F.posexplode("terms").alias("at", "tagged"))
-    sums = entry.groupBy("source", "tagged").agg(F.sum(F.get("counts", F.col("at"))).alias("n"))
-    sums = written(sums.join(known, "tagged").drop("tagged"), "sums")
+    vectors = found.where("source is not null").select("lang", "source", "terms")
+    # A row for each term and task, then for each of its sources.
+    listed = found.where("source is null").select("names", "df", "of", "n", F.posexplode("tagged").alias("at", "tagged"))
+    terms = listed.select("tagged", "names", *[F.get(c, F.col("at")).alias(c) for c in ("df", "of", "n")])
+    known = vocabulary(vectors, _shards(terms.select("tagged", "df"), min_df, shard_terms), min_df)
+    mine = terms.join(known, "tagged").select("lang", "shard", "index", "term", "names", "n", F.posexplode("of").alias("k", "place"))
+    mine = mine.select("lang", F.get("names", F.col("place")).alias("source"), "shard", "index", "term", F.get("n", F.col("k")).alias("n"))
+    sums = written(mine.groupBy("lang", "source", "shard", "index", "term").agg(F.sum("n").alias("n")), "sums")
     kept = known.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = vectors.select("lang", "source").distinct().join(kept, "lang", "left").join(totals, ["lang", "source"], "left")

@@ -234,9 +234,9 @@ def test_divergence(spark, min_df, top, shard_terms, monkeypatch):
 
 
 def test_shards_hold_each_vocabulary(spark):
-    tokens = spark.range(20).select(F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda k: F.concat(F.lit("en w"), k.cast("string"))).alias("terms"))
-    assert source_divergence._shards(tokens, 10, 1_000_000) == 1
-    assert 20 < source_divergence._shards(tokens, 10, 100) < 45 and source_divergence._shards(tokens, 21, 100) == 1
+    terms = spark.range(20 * 2000).select(F.concat(F.lit("en w"), (F.col("id") % 2000).cast("string")).alias("tagged"), F.lit(1).alias("df"))
+    assert source_divergence._shards(terms, 10, 1_000_000) == 1
+    assert 20 < source_divergence._shards(terms, 10, 100) < 45 and source_divergence._shards(terms, 21, 100) == 1
 
 
 def test_divergence_of_nothing(spark):
