@@ -14,7 +14,9 @@ training order. Each task then packs one range of it, and sequence ids rise with
 which there are `LEAST_RANGES` at least; inside a range, with the time a sequence is opened.
 
 Defined cases: a null text counts as empty and makes the closing id alone; equal rows are packed
-each for itself; other columns are not read; an empty table gives no rows.
+each for itself; of bins with equal free space, the one last opened or refilled is taken; other columns
+are not read; an empty table gives no rows. A very long text is held whole by the task that encodes it,
+with its ids, 4 bytes each and some 30 while they are made; only its pieces' lengths go on.
 """
 
 from __future__ import annotations

@@ -947,3 +947,23 @@ def test_equal_rows_are_dealt_by_all_tasks(spark, monkeypatch):
 def test_position_takes_the_place_of_a_column(spark):
     d = spark.createDataFrame([(1, "a b", "en", "s", 0)], SCHEMA).withColumn("train_at", F.lit("own"))
     assert [c for c, _ in curriculum.mix(d, position="train_at").dtypes].count("train_at") == 1
+
+
+def test_neighbours_at_one_distance_vote_by_position():
+    """Forty equal points, of which the first 25 vote, wherever the others' labels lie."""
+    raw = np.zeros((40, knn_quality.TERMS), np.float32)
+    raw[:, 5] = 3
+    labels = np.array([1] * 25 + [0] * 15)
+    model = knn_quality.Model(raw, labels)
+    model.axes, model.points = np.eye(knn_quality.TERMS, 1, -5, np.float32), np.ones((40, 1), np.float32)
+    assert model.scores(raw[:3]).min() > 0.999
+    model.labels = labels[::-1].astype(np.float32)
+    assert np.allclose(model.scores(raw[:3]), 10 / 25, atol=1e-4)
+
+
+def test_short_words_by_the_megabyte(spark):
+    """Twelve million bytes of one-letter words in a row."""
+    d = spark.createDataFrame([(1, "a b c d e f g h i j k l " * 500_000, "en", "s", 0), (2, "x " * 19, "en", "s", 0)], SCHEMA)
+    r = collected(substring_dedup.remove_repeats(d))
+    assert (r[1].n_words, r[1].n_removed, r[2].n_removed) == (6_000_000, 6_000_000 - 12, 0)
+    assert collected(minhash.near_groups(d))[1].n_shingles == 12

@@ -97,3 +97,21 @@ def test_run(spark, tmp_path, monkeypatch):
             assert offset == at
             at += n
         assert at <= packing.LENGTH
+
+
+def test_run_with_a_position_of_its_own(spark, tmp_path):
+    """`documents` has columns named as the mix's position: they pass, and the mix takes another name."""
+    rows, _ = table_rows()
+    d = spark.createDataFrame(rows[:60], SCHEMA).selectExpr("*", "'own' AS train_at", "'too' AS Train_At_2")
+    mixed = dict(corpus_pipeline.STAGES)["curriculum_mix"](spark, d, str(tmp_path))
+    assert mixed.columns == [*d.columns, "train_at_"] or mixed.columns == [*d.columns, "train_at__"]
+    assert {(r.train_at, r.Train_At_2) for r in mixed.select("train_at", "Train_At_2").collect()} == {("own", "too")}
+    place = mixed.columns[-1]
+    packed = corpus_pipeline.STAGES[-1][1](spark, mixed, str(tmp_path)).collect()
+    assert sum(r.start == 0 for r in packed) == mixed.count() and all(0 <= r[place] <= 1 for r in packed)
+
+
+def test_run_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -222,3 +222,13 @@ def test_templates_with_other_marks():
     for bad in ({"after_role": ""}, {"after_role": "n"}, {"after_role": "<"}, {"after_role": "ab"}, {"after_role": "s"}, {"guard": "<n", "start": "<nx", "end": "<ny"}):
         with pytest.raises(ValueError):
             chat_format.Template(**bad)
+
+
+@pytest.mark.parametrize("name", ["op5_knn_quality", "op8_quality_rules"])
+def test_without_labels(spark, duck, tmp_path, name):
+    """Whole results without labelled rows: every score is a half, and only the base checks reject."""
+    duck.sql("SELECT * FROM documents").write_parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = __spark_entry__.queries()[name](spark, str(tmp_path)).collect()
+    assert len(rows) == len(duck.sql("SELECT doc_id FROM documents").fetchall())
+    assert all(r.score == 0.5 for r in rows) if name.startswith("op5") else all(r.kept != r.base_failed for r in rows)
