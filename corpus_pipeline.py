@@ -8,15 +8,18 @@ training position, by which the last stage packs.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from canonflow.llm import curriculum, exact_dedup, minhash, packing, quality_rules
-from canonflow.llm.common import table, written
+from canonflow.llm.common import free, table, written
 from canonflow.session import ship
 
 #: op3's query links from 85 on; the pipeline takes pairs of a Jaccard similarity of 0.8 or more.
 NEAR_PERCENT = 80
-#: A table's rows come back in any order, so the mix tells each row's place in a column.
+#: A table's rows come back in any order, so the mix tells each row's place in a column of this name;
+#: underscores follow where `documents` has such a column.
 POSITION = "train_at"
 
 
@@ -37,12 +40,13 @@ def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, in training order."""
-    return curriculum.mix(docs, position=POSITION)
+    return curriculum.mix(docs, position=free(docs.columns, POSITION))
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece: the sequence it lies in and where; sequences rise with training."""
-    return packing.pack_documents(docs, order=POSITION)
+    places = [c for c in docs.columns if re.fullmatch(f"{POSITION}_*", c, re.IGNORECASE)]
+    return packing.pack_documents(docs, order=max(places, key=len, default=None))
 
 
 STAGES = [
