@@ -101,6 +101,7 @@ ORACLES = {
         UNION ALL SELECT 'demo_long', 'unmapped', count(*) FROM l WHERE key NOT IN (SELECT key FROM m) UNION ALL SELECT 'demo_long', 'all', count(*) FROM l"""),
     "src_dsv": _with(_L, """SELECT event_id, CASE WHEN event_id % 100 = 3 THEN '"' ELSE '' END || key AS key, value, CAST(ms AS VARCHAR) AS "timestamp" FROM l WHERE event_id % 100 NOT IN (0, 1)"""),
     "src_json": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
+    "src_json_ranges": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "src_latest_snapshot": "SELECT 'customer=' || o_custkey AS directory, arg_max(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), strftime(o_orderdate, '%Y-%m-%d') || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS path FROM orders GROUP BY o_custkey",
     "src_partition": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-03'",
     "src_device_factors": "SELECT CAST(s_suppkey AS VARCHAR) AS meter, s_acctbal AS uk, CAST(s_nationkey AS DOUBLE) AS ik FROM supplier",
@@ -114,9 +115,9 @@ ORACLES = {
     "sink_rerun_idempotent": _with(_L, "SELECT 'demo_long' AS source_vendor, 'site-1' AS run_scope, count(*) AS n, count(*) AS n_ids FROM lr"),
     "sink_scopes_coexist": _with(_L, "SELECT 'demo_long' AS source_vendor, 'site-' || x AS run_scope, count(*) AS n, count(*) AS n_ids FROM lr, (VALUES (1), (2)) v(x) GROUP BY x"),
     "dim_publish": _with(_L, """SELECT v.*, (SELECT count(*) FROM lr WHERE lr.quantity = v.quantity) AS n FROM (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
-        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description)"""),
-    "dim_join": _with(_L, """SELECT lr.quantity, unit, default_unit, standard_ref, description, count(*) AS n FROM lr LEFT JOIN (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
-        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, default_unit, standard_ref, description) ON v.quantity = lr.quantity GROUP BY ALL"""),
+        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, usual_unit, rule_ref, meaning)"""),
+    "dim_join": _with(_L, """SELECT lr.quantity, unit, usual_unit, rule_ref, meaning, count(*) AS n FROM lr LEFT JOIN (VALUES ('flow', 'l/s', 'house rule 4', 'Litres through the valve'),
+        ('volume_total', 'm3', NULL, 'What has passed, ever'), ('load', 'pcs', NULL, NULL), ('pressure', 'bar', 'house rule 4', 'Head at the gauge')) v(quantity, usual_unit, rule_ref, meaning) ON v.quantity = lr.quantity GROUP BY ALL"""),
     "serving_minute_wide": _with(_W + "," + _L, """SELECT source_vendor, device_id, minute, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'pressure') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'pressure') AS pressure_inlet, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'flow') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'flow') AS flow_inlet,
         CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'volume_total') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'volume_total') AS volume_total, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'pressure_ripple') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'pressure_ripple') AS pressure_ripple_inlet, CAST(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT)) FILTER (quantity = 'load') AS DOUBLE) / 10000 / count(*) FILTER (quantity = 'load') AS load
         FROM (SELECT 'demo_wide' AS source_vendor, 'demo:meter:' || meter AS device_id, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS minute, quantity, value FROM c WHERE quantity <> 'turbidity'

@@ -254,15 +254,26 @@ def src_dsv(spark, d):
     return landing.split_dsv(b.dsv_lines(spark, d), "line", names, "\t").withColumn("value", number(F.col("value")))
 
 
-@query
-def src_json(spark, d):
-    """Payloads of up to 5,000 records each, written and read as the landing zone holds them."""
+def _json_payloads(spark, d) -> str:
+    """Payloads of up to 5,000 records each, written as the landing zone holds them."""
     e = b.table(spark, d, "events")
     one = F.concat(F.lit('{"id":'), F.col("event_id"), F.lit(","), F.substring("props", 2, 1 << 30))
     payloads = e.groupBy((F.col("event_id") / 5000).cast("long").alias("part")).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(one)), F.lit("]")).alias("value"))
     root = scratch(spark, "json")
     payloads.select("part", "value").write.partitionBy("part").text(root)
-    found = landing.read_json(spark, [root], ["id", "k"])
+    return root
+
+
+@query
+def src_json(spark, d):
+    found = landing.read_json(spark, [_json_payloads(spark, d)], ["id", "k"])
+    return found.select(F.col("id").cast("long").alias("event_id"), "k")
+
+
+@query
+def src_json_ranges(spark, d):
+    """The same by the reader of large payloads."""
+    found = landing.read_json_ranges(spark, [_json_payloads(spark, d)], ["id", "k"])
     return found.select(F.col("id").cast("long").alias("event_id"), "k")
 
 
@@ -405,7 +416,7 @@ def dim_publish(spark, d):
 @query
 def dim_join(spark, d):
     rows = publish.described(_long(spark, d), _dimension(spark))
-    return rows.groupBy("quantity", "unit", "default_unit", "standard_ref", "description").agg(F.count("*").alias("n"))
+    return rows.groupBy("quantity", "unit", "usual_unit", "rule_ref", "meaning").agg(F.count("*").alias("n"))
 
 
 PAIRS = [("pressure", "inlet"), ("flow", "inlet"), ("volume_total", "none"), ("pressure_ripple", "inlet"), ("load", "none")]

@@ -12,15 +12,19 @@ from pyspark.sql import types as T
 
 from ..rulebook import Rulebook
 from ..scratch import scratch
+from .payloads import records
 
 _SIDECAR, _UNFINISHED = ".meta.json", ".tmp"
+#: Bytes of a payload from which JSON is read in ranges; below, one task parses one payload.
+LARGE_JSON = 256 << 20
 
 
 def latest_snapshots(files: DataFrame) -> DataFrame:
     """directory, path of the greatest (fetched_at, path) of each directory. A file without
     fetched_at counts as the oldest."""
     age = F.struct(F.coalesce("fetched_at", F.lit("")).alias("fetched_at"), "path")
-    return files.groupBy("directory").agg(F.max_by("path", age).alias("path"))
+    more = [F.max_by("length", age).alias("length")] if "length" in files.columns else []
+    return files.groupBy("directory").agg(F.max_by("path", age).alias("path"), *more)
 
 
 def partition_globs(root: str, layout: str, date: str, meter: str | None = None) -> str:
@@ -29,26 +33,26 @@ def partition_globs(root: str, layout: str, date: str, meter: str | None = None)
 
 
 def landed_files(spark: SparkSession, pattern: str) -> DataFrame | None:
-    """directory, path, fetched_at of the payloads under `pattern`; None if nothing is there.
+    """directory, path, length, fetched_at of the payloads under `pattern`; None if nothing is there.
     Payloads are listed, not opened; sidecars are read. Paths are as a scan's `_metadata` has them."""
     try:
-        listed = spark.read.format("binaryFile").load(f"{pattern}/*").select(F.col("_metadata.file_path").alias("path"))
+        listed = spark.read.format("binaryFile").load(f"{pattern}/*").select(F.col("_metadata.file_path").alias("path"), "length")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     name = F.col("path")
     stem = F.regexp_replace(name, r"(\.meta\.json|\.[^./]*)$", "")
-    files = listed.select("path", F.regexp_replace(name, "/[^/]*$", "").alias("directory"), stem.alias("stem"))
+    files = listed.select("path", "length", F.regexp_replace(name, "/[^/]*$", "").alias("directory"), stem.alias("stem"))
     payloads = files.where(~F.endswith("path", F.lit(_SIDECAR)) & ~F.endswith("path", F.lit(_UNFINISHED)))
     try:
         text = spark.read.option("wholetext", True).text(f"{pattern}/*{_SIDECAR}").select(F.col("_metadata.file_path").alias("m"), "value")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return payloads.select("directory", "path", F.lit(None).cast("string").alias("fetched_at"))
+        return payloads.select("directory", "path", "length", F.lit(None).cast("string").alias("fetched_at"))
     told = text.select(F.regexp_replace("m", r"\.meta\.json$", "").alias("s"), F.get_json_object("value", "$.fetched_at").alias("fetched_at"))
-    return payloads.join(told, F.col("stem") == F.col("s"), "left").select("directory", "path", "fetched_at")
+    return payloads.join(told, F.col("stem") == F.col("s"), "left").select("directory", "path", "length", "fetched_at")
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,7 @@ class Snapshot:
 
     pattern: str
     newest: DataFrame
+    largest: int = 0
 
     @classmethod
     def of(cls, spark: SparkSession, pattern: str) -> Snapshot | None:
@@ -66,8 +71,9 @@ class Snapshot:
         if files is None:
             return None
         path = scratch(spark, "newest")
-        latest_snapshots(files).select(F.col("path").alias("__newest")).write.parquet(path)
-        return cls(f"{pattern}/*", spark.read.schema("__newest string").parquet(path))
+        latest_snapshots(files).select(F.col("path").alias("__newest"), "length").write.parquet(path)
+        newest = spark.read.schema("__newest string, length long").parquet(path)
+        return cls(f"{pattern}/*", newest.select("__newest"), newest.agg(F.max("length")).first()[0] or 0)
 
     def only(self, rows: DataFrame) -> DataFrame:
         """The rows, which have a column __file, of the newest payloads."""
@@ -86,19 +92,32 @@ def _paths(of: list[str] | Snapshot) -> list[str]:
     return [of.pattern] if isinstance(of, Snapshot) else of
 
 
+def _not_json(text: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("not JSON: "), F.left(text, F.lit(80)))).cast("boolean")
+
+
+def read_json_ranges(spark: SparkSession, of: list[str] | Snapshot, names: list[str]) -> DataFrame:
+    """The same records of UTF-8 payloads, each read in ranges by several tasks."""
+    file = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("range")
+    text = _newest(of, spark.read.option("lineSep", "}").text(_paths(of)).select("value", *file))
+    return records(text.withColumnRenamed("__file", "file"), names, _not_json)
+
+
 def read_json(spark: SparkSession, of: list[str] | Snapshot, names: list[str], encoding: str = "UTF-8") -> DataFrame:
     """Records of payloads that hold an array or one object, as texts. Another JSON value yields
-    nothing; what isn't JSON raises, but not in payloads that a snapshot leaves out."""
+    nothing; what isn't JSON raises, but not in payloads that a snapshot leaves out. Where a snapshot has
+    a payload above LARGE_JSON, its payloads are read in ranges, by several tasks each."""
     schema = _strings(names).add("__corrupt", T.StringType())
     reader = spark.read.schema(schema).option("multiLine", True).option("encoding", encoding).option("columnNameOfCorruptRecord", "__corrupt")
     bad = F.col("__corrupt")
     scalar = F.trim(bad).rlike(r'^(null|true|false|-?\d[\d.eE+-]*|"([^"\\]|\\.)*")$')
-    raised = F.raise_error(F.concat(F.lit("not JSON: "), F.left(bad, F.lit(80)))).cast("boolean")
+    if isinstance(of, Snapshot) and of.largest > LARGE_JSON and encoding.upper().replace("-", "") == "UTF8":
+        return read_json_ranges(spark, of, names)
     found = _newest(of, reader.json(_paths(of)).select("*", F.col("_metadata.file_path").alias("__file")))
     # Numbered behind the join and tested with the number, so that nothing raises below the join, where
     # older payloads still are.
     found = found.withColumn("__at", F.monotonically_increasing_id())
-    good = F.when(bad.isNull(), F.col("__at") >= 0).when(scalar, F.lit(False)).otherwise(raised)
+    good = F.when(bad.isNull(), F.col("__at") >= 0).when(scalar, F.lit(False)).otherwise(_not_json(bad))
     return found.where(good).select(*names)
 
 

@@ -680,3 +680,56 @@ def test_snapshots_are_kept_up_to_date(spark, monkeypatch):
     publish.refresh_minutes(spark, fact(*more), "lab.minutes_full", pairs, None)
     shown = lambda name: sorted(map(str, spark.table(name).collect()))
     assert shown("lab.minutes") == shown("lab.minutes_full") and spark.table("lab.minutes").count() == 16
+
+
+PAYLOADS = {
+    "pretty": json.dumps([{"id": k, "f": '}}{ "' + str(k) + '" [ \\ ', "meter": {"a": {"b": [k]}}, "v": None} for k in range(12)], indent=2),
+    "line": json.dumps([{"id": f"l{k}", "f": 1.50, "ts": "\u00e4{"} for k in range(15)], ensure_ascii=False),
+    "object": ' {"id": "o", "f": {"x": "}"}}\n', "none": "[]", "number": "42", "text": '"a } b {"', "empty": "[ {} , {} ]",
+}
+BROKEN = ['[{"id": 1}', '{"id": 1}]', '[{"id": 1} {"id": 2}]', '{"id": 1}, {"id": 2}', '[{"id": 1}, {"id": "x]', "broken {", '[{"id": }]', '[{"id": 1}},]', "nothing", "[1, 2]", '["a } b"]']
+
+
+def _payloads(spark, root, bodies):
+    for name, body in bodies.items():
+        land(root / f"meter={name}", "p.json", body)
+    book = replace(WIDE, source=WIDE.source | {"access": {"layout": "meter={meter}"}})
+    return landing.read_records(spark, f"file://{root}", book, "x")
+
+
+def test_large_payloads_are_read_in_ranges(spark, tmp_path, monkeypatch):
+    """Ranges of a few dozen bytes give the same records as one task for each payload."""
+    whole = _payloads(spark, tmp_path, PAYLOADS)
+    expected = sorted(map(str, whole.collect()))
+    assert len(expected) == 30
+    monkeypatch.setattr(landing, "LARGE_JSON", 1)
+    for size in ("64", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = _payloads(spark, tmp_path, {})
+            assert sorted(map(str, rows.collect())) == expected
+            if size == "64":
+                text = spark.read.option("lineSep", "}").text(f"file://{tmp_path}/meter=pretty/*")
+                assert text.rdd.getNumPartitions() > 10
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("body", BROKEN)
+def test_broken_large_payloads_raise(spark, tmp_path, monkeypatch, body):
+    monkeypatch.setattr(landing, "LARGE_JSON", 1)
+    with pytest.raises(Exception, match="not JSON"):
+        _payloads(spark, tmp_path, {"a": body}).collect()
+
+
+def test_no_gateway_is_needed():
+    """Sinks and sources use what a remote session has, too."""
+    import pathlib
+
+    import canonflow
+
+    for f in pathlib.Path(canonflow.__file__).parent.rglob("*.py"):
+        if "llm" not in f.parts and f.name != "session.py":
+            assert not {x for x in ("_jvm", "_jsc", "_jdf", "sparkContext", "py4j") if x in f.read_text()}, f
