@@ -199,26 +199,30 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     size, most = by_id.agg(F.coalesce(F.sum("size"), F.lit(0)), F.max("n")).first()
     bits = core_bits(size)
     # A row is named by doc and own: 0, or a hash of its text where others have its doc_id.
-    if (most or 0) > 1:
+    ids_repeat = (most or 0) > 1
+    if ids_repeat:
         repeated = written(by_id.where("n > 1").select("doc", F.lit(True).alias("again")), "repeated")
         own = F.when(F.col("again"), F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0))
         texts = texts.join(repeated, "doc", "left").select("doc", own.alias("own"), "text")
     else:
         texts = texts.select("doc", F.lit(0).cast("long").alias("own"), "text")
-    row = ["doc", "own"]
+    row = ["doc", "own"] if ids_repeat else ["doc"]
     cores = _cores(texts, width, bits)
     # Written, so that the join has a plain exchange on either side: Spark can then split the rows
     # of a core that most documents have.
     shared = written(cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
     # Never more than a row's words: rows of one name are equal, and a set takes what they share once.
-    mine = cores.join(shared, "core").groupBy(*row).agg(F.collect_set("core").alias("cores") if (most or 0) > 1 else F.collect_list("core").alias("cores"))
+    gathered = F.collect_set("core") if ids_repeat else F.collect_list("core")
+    mine = cores.join(shared, "core").groupBy(*row).agg(gathered.alias("cores"))
     # The same join twice, with one exchange of the texts.
     told = texts.join(mine, row, "left")
     around = _around(told, width, bits)
-    first = around.groupBy("hash", "tag").agg(F.min(F.struct(*row)).alias("first")).select("hash", "tag", "first.*")
-    if (most or 0) > 1:
+    windows = around.groupBy("hash", "tag")
+    if not ids_repeat:
+        first = windows.agg(F.min("doc").alias("doc"))
+    else:
         # Of a doc_id that comes in several rows, all rows that have its window keep it.
-        first = written(first, "first")
+        first = written(windows.agg(F.min(F.struct(*row)).alias("first")).select("hash", "tag", "first.*"), "first")
         also = around.where("own != 0").join(first.where("own != 0").select("hash", "tag", "doc"), ["hash", "tag", "doc"])
         first = first.where("own = 0").select(*row, "hash").union(also.select(*row, "hash").distinct())
     keeps = first.groupBy(*row).agg(F.collect_list("hash").alias("keeps"))
