@@ -60,6 +60,14 @@ MOST_TERMS = (1 << 31) - 1
 _IS_TERM = ~byte_set(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
+def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of each of `values` over them."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    return key[first], *(np.add.reduceat(v[order], first) if len(key) else v for v in values)
+
+
 class _Sums:
     """Vectors summed by (language, source) while a task reads its documents, held by language."""
 
@@ -70,9 +78,7 @@ class _Sums:
     def add(self, lang: str, sources: list[str], words: pa.Array, row: np.ndarray, code: np.ndarray, counts: np.ndarray) -> None:
         """Entries of some documents, of which `sources` has one for each row."""
         names, number = np.unique(np.array(sources, object), return_inverse=True)
-        key, at, n_docs = np.unique(code * len(names) + number[row], return_inverse=True, return_counts=True)
-        summed = np.zeros(len(key), np.int64)
-        np.add.at(summed, at, counts)
+        key, summed, n_docs = _summed(code * len(names) + number[row], counts, np.ones(len(code), np.int64))
         term, source = np.divmod(key, max(1, len(names)))
         self.held[lang].append((words, names.tolist(), term, source, summed, n_docs))
         self.size += len(key)
@@ -86,10 +92,7 @@ class _Sums:
             found = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
             index = np.split(found.indices.to_numpy(), np.cumsum([len(p[0]) for p in parts])[:-1])
             keys = np.concatenate([own[p[2]].astype(np.int64) * len(names) + np.array([place[x] for x in p[1]], np.int64)[p[3]] for own, p in zip(index, parts, strict=True)])
-            key, at = np.unique(keys, return_inverse=True)
-            summed, n_docs = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-            np.add.at(summed, at, np.concatenate([p[4] for p in parts]))
-            np.add.at(n_docs, at, np.concatenate([p[5] for p in parts]))
+            key, summed, n_docs = _summed(keys, np.concatenate([p[4] for p in parts]), np.concatenate([p[5] for p in parts]))
             term, source = np.divmod(key, len(names))
             first = np.searchsorted(term, np.arange(len(found.dictionary) + 1))
             df = np.add.reduceat(n_docs, first[:-1]) if len(key) else n_docs
@@ -121,7 +124,8 @@ def document_vectors(docs: DataFrame) -> DataFrame:
                     buf, ends = joined([texts[k] for k in own])
                     words, codes, start = coded(buf, _IS_TERM)
                     # The sparse vectors: entries in order of row and term.
-                    entry, counts = np.unique(np.searchsorted(ends, start, side="right") * max(1, len(words)) + codes, return_counts=True)
+                    place = np.repeat(np.arange(len(own)), np.diff(np.searchsorted(start, ends), prepend=0))
+                    entry, counts = np.unique(place * max(1, len(words)) + codes, return_counts=True)
                     row, code = np.divmod(entry, max(1, len(words)))
                     offsets = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
                     tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
