@@ -1,16 +1,15 @@
 """Source divergence audit: how far each source's words stand from the other sources of its language.
 
-Every document becomes an exact sparse vector of terms and counts; its terms are written. Spark's
-CountVectorizer, with minDF and the largest integer as vocabSize, is fitted to the vectors'
-terms and gives the vocabulary. Terms carry the document's language, so one fit keeps a vocabulary for
+Every document becomes an exact sparse vector of terms and counts. Spark's CountVectorizer, with minDF
+and the largest integer as vocabSize, is fitted to the vectors' terms and gives the vocabulary. Terms carry the document's language, so one fit keeps a vocabulary for
 each language, with document frequencies counted inside it, however many languages there are. The task
 that makes vectors also sums them by (language, source), as Summarizer's buffers do, though in integers.
 Tasks' sums are added up and take the vocabulary's indices; terms without one go. That is what summing
 the model's own vectors gives, which took more CPU than allowed, as it makes them one by one.
 
 A fitted vocabulary passes through the driver, so its size must be bounded: terms are dealt by hash to
-as many shards as hold each to `SHARD_TERMS` kept terms, and every shard has its own fit over its own
-part of the written terms.
+as many shards as hold each to `SHARD_TERMS` kept terms. One shard is fitted as texts are read; of
+several, each has its own fit over its own part of the written terms.
 
 The divergence of a source from another sums f(p, q) over all kept terms of the language, p and q
 being smoothed shares. It is evaluated sparsely: terms that neither has are alike, so they are
@@ -84,7 +83,7 @@ class _Sums:
         self.size += len(key)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        """lang, names, tagged, df, of, n: for each language its sources, its terms with the number of
+        """names, tagged, df, of, n: for each language its sources, its terms with the number of
         their documents, and for each term the sources (by place in `names`) that have it how often."""
         for lang, parts in self.held.items():
             names = sorted({x for p in parts for x in p[1]})
@@ -99,19 +98,17 @@ class _Sums:
             offsets, whole = pa.array(first.astype(np.int32)), pa.array([0, len(df)], pa.int32())
             lists = [pa.array([names], pa.list_(pa.string()))]
             lists += [pa.ListArray.from_arrays(whole, x) for x in (found.dictionary, pa.array(df), pa.ListArray.from_arrays(offsets, pa.array(source.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(summed)))]
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.string())), *lists], _NAMES)
+            yield pa.RecordBatch.from_arrays(lists, ["names", "tagged", "df", "of", "n"])
         self.__init__()
 
 
-_NAMES = ["lang", "source", "terms", "names", "tagged", "df", "of", "n"]
-_KINDS = "lang string, source string, terms array<string>, names array<string>, tagged array<string>, df array<long>, of array<array<int>>, n array<array<long>>"
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
 
 
-def document_vectors(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: every document with its lang, source and distinct terms, and what tasks sum
-    up of their documents' vectors (`_Sums.batches`; source is null there). A term follows its
-    language and a space, which no term contains."""
-    none = [pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.int64()))]
+def document_vectors(docs: DataFrame, summed: bool) -> DataFrame:
+    """The terms of every document's vector, or what tasks sum up of the vectors (`_Sums.batches`). A
+    term follows its language and a space, which no term contains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -127,19 +124,18 @@ def document_vectors(docs: DataFrame) -> DataFrame:
                     place = np.repeat(np.arange(len(own)), np.diff(np.searchsorted(start, ends), prepend=0))
                     entry, counts = np.unique(place * max(1, len(words)) + codes, return_counts=True)
                     row, code = np.divmod(entry, max(1, len(words)))
-                    offsets = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
                     tagged = pc.binary_join_element_wise(pa.scalar(lang, pa.large_string()), words, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                    at = pa.array([a + k for k in own], pa.int32())
-                    source, terms = batch.column(1).take(at), pa.ListArray.from_arrays(offsets, tagged.take(pa.array(code)))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), source, terms, *(pa.nulls(len(own), kind) for kind in none)], _NAMES)
-                    if len(code):
-                        sums.add(lang, source.to_pylist(), tagged, row, code, counts)
+                    if not summed:
+                        offsets = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
+                        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, tagged.take(pa.array(code)))], ["terms"])
+                    elif len(code):
+                        sums.add(lang, batch.column(1).take(pa.array([a + k for k in own], pa.int32())).to_pylist(), tagged, row, code, counts)
                 if sums.size > SUM_ENTRIES:
                     yield from sums.batches()
         yield from sums.batches()
 
-    texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, _KINDS)
+    kinds = "names array<string>, tagged array<string>, df array<long>, of array<array<int>>, n array<array<long>>"
+    return _named(docs).mapInArrow(run, kinds if summed else "terms array<string>")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -228,18 +224,16 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank. Part `pair`: every other source of the language by how
     far it is. Part `term`: the `top` terms that the source has more of than its language."""
-    found = _stored(document_vectors(docs), "vectors")
-    vectors = found.where("source is not null").select("lang", "source", "terms")
     # A row for each term and task, then for each of its sources.
-    listed = found.where("source is null").select("names", "df", "of", "n", F.posexplode("tagged").alias("at", "tagged"))
+    listed = _stored(document_vectors(docs, summed=True), "sums").select("names", "df", "of", "n", F.posexplode("tagged").alias("at", "tagged"))
     terms = listed.select("tagged", "names", *[F.get(c, F.col("at")).alias(c) for c in ("df", "of", "n")])
-    known = vocabulary(vectors, _shards(terms.select("tagged", "df"), min_df, shard_terms), min_df)
+    known = vocabulary(document_vectors(docs, summed=False), _shards(terms.select("tagged", "df"), min_df, shard_terms), min_df)
     mine = terms.join(known, "tagged").select("lang", "shard", "index", "term", "names", "n", F.posexplode("of").alias("k", "place"))
     mine = mine.select("lang", F.get("names", F.col("place")).alias("source"), "shard", "index", "term", F.get("n", F.col("k")).alias("n"))
     sums = written(mine.groupBy("lang", "source", "shard", "index", "term").agg(F.sum("n").alias("n")), "sums")
     kept = known.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = vectors.select("lang", "source").distinct().join(kept, "lang", "left").join(totals, ["lang", "source"], "left")
+    groups = _named(docs).select("lang", "source").distinct().join(kept, "lang", "left").join(totals, ["lang", "source"], "left")
     zero = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
     groups = groups.select("lang", "source", zero("kept"), zero("total"))
     absent = F.when(F.col("kept") > 0, share(F.lit(0), F.col("total"), F.col("kept")))
