@@ -42,17 +42,20 @@ def told(seen: Observation, otherwise: dict) -> dict:
         return otherwise
 
 
-def write_canonical(rows: DataFrame, root: str, scope: str, spread: bool = True) -> None:
+def write_canonical(rows: DataFrame, root: str, scope: str, spread: bool = True, moment: str | None = None) -> None:
     """Parquet partitioned by vendor, date and scope. Writing a scope again replaces what it had,
     other scopes stay. Nothing is written for no rows, and nothing is removed.
 
     The write itself tells which partitions it made. Those that the scope has besides belong to dates
     that it no longer has, and are overwritten with no rows. spread: deals rows by vendor and date,
     so that a partition has few files; without it, every task writes what it holds and there is no
-    shuffle.
+    shuffle. moment: the column with a row's instant, which isn't written; else canonical text is
+    parsed.
     """
     spark, made = rows.sparkSession, Observation()
-    dated = rows.withColumn("event_date", event_date(F.col("ts_utc"))).withColumn("run_scope", F.lit(scope))
+    day = F.to_date(moment) if moment else event_date(F.col("ts_utc"))
+    dated = rows.withColumn("event_date", day).withColumn("run_scope", F.lit(scope))
+    dated = dated.drop(moment) if moment else dated
     watched = dated.observe(made, F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in PARTITIONS[:2]])).alias("parts"))
     watched = watched.hint("rebalance", *PARTITIONS[:2]) if spread else watched
     watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(root)
@@ -68,10 +71,15 @@ def write_canonical(rows: DataFrame, root: str, scope: str, spread: bool = True)
 
 
 def write_run(plan: Transform, records: DataFrame, root: str, scope: str, factors: DataFrame | None = None, ingested_at: str | None = None) -> dict[str, int]:
-    """Writes a run's rows and gives its counters, both from one pass over the records. Rows aren't
-    dealt anew, so that the pass is the writing stage and counts each record once."""
+    """Writes a run's rows and gives its counters, both from one pass over the records. Raw records
+    are dealt by date ahead of it, so that a date has few files; rows aren't dealt anew, so that the
+    pass is the writing stage and counts each record once. If the timestamp field is absent, all
+    dates are null and nothing is dealt."""
     counted = Observation()
-    write_canonical(plan.rows(records, factors, ingested_at, counted=counted), root, scope, spread=False)
+    if plan.stamp_field in records.columns:
+        records = records.withColumn("__day", plan.day()).hint("rebalance", "__day").drop("__day")
+    rows = plan.rows(records, factors, ingested_at, moment="__instant", counted=counted)
+    write_canonical(rows, root, scope, spread=False, moment="__instant")
     return told(counted, dict.fromkeys(COUNTERS, 0))
 
 

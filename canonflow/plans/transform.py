@@ -34,6 +34,7 @@ class Transform:
         self.book = book.check()
         self.booleans = book.format.get("type", "json") == "json"
         self.on_record, _ = book.rules()
+        self.stamp_field = self.book.record.get("timestamp_field", "timestamp")
 
     def frame(self, records: DataFrame, factors: DataFrame | None = None, keep: set[str] | None = None) -> DataFrame:
         """One row per record: identity columns, judged cells and counts. A record that a record
@@ -44,7 +45,7 @@ class Transform:
             records = records.withColumns({name: F.lit(None).cast("string") for name in absent})
         rejected = any_of([record_fails(x, self.booleans) for x in self.on_record if x.discards])
         suspect = any_of([record_fails(x, self.booleans) for x in self.on_record if not x.discards])
-        meter, stamp = r.get("meter_field"), F.col(f"`{r.get('timestamp_field', 'timestamp')}`")
+        meter, stamp = r.get("meter_field"), F.col(f"`{self.stamp_field}`")
         told = {"__rejected": rejected, "__suspect": suspect}
         if meter and factors is not None:
             records = join_factors(records, factors, meter)
@@ -62,6 +63,10 @@ class Transform:
             unmapped = F.lit(False)
         return judged(d.withColumn("__unmapped", unmapped), slots)
 
+    def day(self) -> Column:
+        """The event date of a raw record's rows."""
+        return F.to_date(utc_instant(F.col(f"`{self.stamp_field}`"), self.book.datetime_format))
+
     def rows(self, records: DataFrame, factors: DataFrame | None = None, ingested_at: str | None = None, quantities: set[str] | None = None, extra: tuple[str, ...] = (), moment: str | None = None, counted: Observation | None = None) -> DataFrame:
         """Canonical rows. ingested_at: the run's one stamp. quantities: builds only what they
         need. extra: raw fields carried along. moment: names a further column, the instant of ts_utc,

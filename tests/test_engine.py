@@ -487,6 +487,20 @@ def test_counters_come_with_the_rows(spark, tmp_path):
     assert empty == dict.fromkeys(COUNTERS, 0)
 
 
+def test_runs_write_few_files_a_date(spark, tmp_path):
+    """However many tasks hold records of a date, and whatever a record's timestamp is."""
+    t, root = Transform(WIDE), f"{tmp_path}/run"
+    stamps = ["2025-01-01T23:30:00-01:00", "2025-01-02T00:01:00", "2025-01-03T00:01:00", "never", None]
+    d = wide(spark, *[("7", stamps[k % 5], str(k), "230", "50") for k in range(80)]).repartition(8)
+    told = sink.write_run(t, d, f"file://{root}", "a", factors(spark), "2025-01-01T00:00:00+00:00")
+    assert told == t.stats(d, factors(spark)).first().asDict() and told["rows_emitted"] == 160
+    read = sink.read_canonical(spark, f"file://{root}")
+    assert "__instant" not in read.columns
+    found = {(str(r[0]), r[1]) for r in read.groupBy("event_date").count().collect()}
+    assert found == {("2025-01-02", 64), ("2025-01-03", 32), ("None", 64)}
+    assert sum(f.endswith(".parquet") for _, _, files in os.walk(root) for f in files) == 3
+
+
 def test_scopes_of_any_name(spark, tmp_path):
     """Dates that a scope has lost go, whatever its name; partitions of other scopes stay."""
     t, root = Transform(WIDE), f"file://{tmp_path}/canonical"
