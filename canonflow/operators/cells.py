@@ -44,7 +44,7 @@ def join_factors(records: DataFrame, factors: DataFrame, meter_field: str) -> Da
     return records.join(f, F.coalesce(F.col(f"`{meter_field}`").cast("string"), F.lit("None")) == F.col("__meter"), "left")
 
 
-def _is_number(records: DataFrame, name: str) -> bool:
+def is_number(records: DataFrame, name: str) -> bool:
     return isinstance(records.schema[name].dataType, T.NumericType)
 
 
@@ -68,7 +68,7 @@ def wide_cells(records: DataFrame, book: Rulebook, keep: set[str] | None, boolea
     def value(k: int, c: Cell) -> Column:
         if f"__t{k}" in texts:
             return number(F.col(f"__t{k}"), booleans)
-        return _scaled(c.transform, c.args, number(raw(c), booleans, c.transform != "parse_decimal" and _is_number(records, c.source)))
+        return _scaled(c.transform, c.args, number(raw(c), booleans, c.transform != "parse_decimal" and is_number(records, c.source)))
 
     count = lambda tests: sum((t.cast("int") for t in tests), F.lit(0))
     d = d.withColumns({f"__v{k}": value(k, c) for k, c in enumerate(cells)} | {"__n_null": count([raw(c).isNull() for c in cells])}) if cells else d.withColumn("__n_null", F.lit(0))
@@ -96,7 +96,7 @@ def long_cells(records: DataFrame, book: Rulebook, booleans: bool) -> tuple[Data
     """The same as wide_cells for records that `look_up` has given a meaning: one cell at most, with
     a slot for each quantity that has rules, of which a record fills one."""
     raw, rules, entries = F.col(f"`{book.record['value_field']}`"), book.rules()[1], book.entries()
-    kinds, numeric, mapped = {e.transform for e in entries}, _is_number(records, book.record["value_field"]), F.col("__key").isNotNull()
+    kinds, numeric, mapped = {e.transform for e in entries}, is_number(records, book.record["value_field"]), F.col("__key").isNotNull()
     if kinds == {"none"}:
         value = F.when(mapped, number(raw, booleans, numeric))
     else:

@@ -22,9 +22,10 @@ def out_of_range(value: Column, low: float | None, high: float | None) -> Column
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)) if tests else F.lit(False)
 
 
-def record_fails(rule: Rule, booleans: bool = False) -> Column:
+def record_fails(rule: Rule, booleans: bool = False, numeric: bool = False) -> Column:
+    """numeric: the field's type is a number, which is compared as it is, not read from its text."""
     raw = F.col(f"`{rule.target}`")
-    return raw.isNull() if rule.kind == "not_null" else out_of_range(number(raw, booleans), rule.low, rule.high)
+    return raw.isNull() if rule.kind == "not_null" else out_of_range(number(raw, booleans, numeric), rule.low, rule.high)
 
 
 def value_fails(rule: Rule, value: Column) -> Column:

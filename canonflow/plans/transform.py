@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import measurement_id
 from ..functions.templates import filled
 from ..functions.timestamps import utc_instant, utc_text
-from ..operators.cells import join_factors, judged, long_cells, look_up, wide_cells
+from ..operators.cells import is_number, join_factors, judged, long_cells, look_up, wide_cells
 from ..operators.rules import any_of, record_fails
 from ..rulebook import Rulebook
 
@@ -43,8 +43,9 @@ class Transform:
         absent = [name for name in book.raw_fields() if name not in records.columns]
         if absent:
             records = records.withColumns({name: F.lit(None).cast("string") for name in absent})
-        rejected = any_of([record_fails(x, self.booleans) for x in self.on_record if x.discards])
-        suspect = any_of([record_fails(x, self.booleans) for x in self.on_record if not x.discards])
+        fails = lambda x: record_fails(x, self.booleans, is_number(records, x.target))
+        rejected = any_of([fails(x) for x in self.on_record if x.discards])
+        suspect = any_of([fails(x) for x in self.on_record if not x.discards])
         meter, stamp = r.get("meter_field"), F.col(f"`{self.stamp_field}`")
         told = {"__rejected": rejected, "__suspect": suspect}
         if meter and factors is not None:

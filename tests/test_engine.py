@@ -501,6 +501,16 @@ def test_runs_write_few_files_a_date(spark, tmp_path):
     assert sum(f.endswith(".parquet") for _, _, files in os.walk(root) for f in files) == 3
 
 
+def test_rules_compare_numbers_as_they_are(spark):
+    """A numeric field isn't read from its text; a text field still is."""
+    rule = {"field": "f", "type": "range", "min": 45, "max": 65, "on_fail": "reject_row"}
+    t, d = Transform(ruled(WIDE, rule)), wide(spark, *[("7", "2025-01-01T00:00:00", str(k), "230", f) for k, f in enumerate(["44.9", "45", "65", "65.1", "NaN", None])])
+    ids = lambda d: {r[0] for r in t.rows(d, factors(spark)).select("source_row_id").collect()}
+    assert ids(d) == ids(d.withColumn("f", F.col("f").cast("double"))) == {"1", "2", "4", "5"}
+    plan = lambda d: t.rows(d, factors(spark), quantities={"humidity"}).select("source_row_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan(d.withColumn("f", F.col("f").cast("double"))) and "RLIKE" in plan(d)
+
+
 def test_scopes_of_any_name(spark, tmp_path):
     """Dates that a scope has lost go, whatever its name; partitions of other scopes stay."""
     t, root = Transform(WIDE), f"file://{tmp_path}/canonical"
