@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +38,24 @@ def factor(name: str, uk: Column, ik: Column) -> Column:
 def exact_sum(value: Column, digits: int) -> Column:
     """A sum in units of the last of so many places, which doesn't depend on the order of its terms."""
     return F.sum(F.floor(value * F.lit(10.0**digits) + F.lit(0.5)).cast("decimal(20,0)"))
+
+
+def mean(values: list[Column], digits: int | None = None) -> Column:
+    """The mean of a group's values that aren't null, of which a row may have several; null if there
+    are none. digits: values are summed in units of that many places, as `exact_sum` does, but as two
+    longs, the units' upper and lower 32 bits, which are shorter to keep and quicker to add than
+    decimals. Exact for up to 2**31 values a group; more may raise, never wrap."""
+    some = [v.isNotNull() for v in values]
+
+    def total(terms: list[Column]) -> Column:
+        return F.sum(terms[0] if len(terms) == 1 else reduce(add, [F.coalesce(t, F.lit(0)) for t in terms]))
+
+    n = F.count(values[0]) if len(values) == 1 else total([t.cast("long") for t in some])
+    n = F.nullif(n, F.lit(0))
+    if digits is None:
+        return total(values) / n
+    units = [F.floor(v * F.lit(10.0**digits) + F.lit(0.5)) for v in values]
+    high, low = total([F.shiftright(u, 32) for u in units]), total([u.bitwiseAND(F.lit(2**32 - 1)) for u in units])
+    short = high.between(-(2**30), 2**30) & (low < F.lit(2**62))  # so the whole is a long
+    long = high.cast("decimal(20,0)") * F.lit(Decimal(2**32)) + low.cast("decimal(20,0)")
+    return F.when(short, (high * F.lit(2**32) + low).cast("double")).otherwise(long.cast("double")) / F.lit(10.0**digits) / n

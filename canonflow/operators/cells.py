@@ -23,10 +23,12 @@ CELLS = "array<struct<quantity:string,phase:string,variant:string,harmonic_order
 
 @dataclass(frozen=True)
 class Slot:
-    """A cell that a record may hold: its value in column __v{n}, its rules, and its other fields."""
+    """A cell that a record may hold: its value in column __v{n}, its rules, its other fields, and
+    which quantities and phases these can name."""
 
     rules: list[Rule]
     fields: dict[str, Column]
+    pairs: frozenset[tuple[str, str]]
 
     def can(self, on_fail: str) -> bool:
         return any(r.on_fail == on_fail for r in self.rules)
@@ -76,7 +78,7 @@ def wide_cells(records: DataFrame, book: Rulebook, keep: set[str] | None, boolea
     lit = lambda v, kind="string": F.lit(v).cast(kind)
     return d, [Slot(rules.get(c.quantity, []), {
         "quantity": lit(c.quantity), "phase": lit(c.phase), "variant": lit(c.variant), "harmonic_order": lit(c.harmonic_order, "int"), "unit": lit(c.unit), "aggregation": lit(book.aggregation),
-    }) for c in cells]
+    }, frozenset({(c.quantity, c.phase)})) for c in cells]
 
 
 def entries_frame(spark, entries: list[Entry]) -> DataFrame:
@@ -115,12 +117,14 @@ def long_cells(records: DataFrame, book: Rulebook, booleans: bool) -> tuple[Data
     of = {f"__v{k}": F.when(F.col("__quantity") == q, F.col("__v")) for k, q in enumerate(named)}
     of[f"__v{len(named)}"] = F.when(~F.col("__quantity").isin(*named), F.col("__v")) if named else F.col("__v")
     d = d.withColumns(of | {"__n_null": (mapped & raw.isNull()).cast("int"), "__n_unscaled": (mapped & raw.isNotNull() & F.col("__v").isNull()).cast("int")})
-    return d, [Slot(rules.get(q, []), fields) for q in [*named, ""]]
+    pairs = lambda q: frozenset((e.quantity, e.phase) for e in entries if (e.quantity if e.quantity in named else "") == q)
+    return d, [Slot(rules.get(q, []), fields, pairs(q)) for q in [*named, ""]]
 
 
 def judged(valued: DataFrame, slots: list[Slot]) -> DataFrame:
-    """Adds __cells (those that stay, nulls for others) and, for the record's counters, __reject_at
-    (the first slot whose rule rejects the record), __n_kept, __n_doubtful and __n_dropped."""
+    """Adds __cells (those that stay, nulls for others), __ok{n} (whether a slot's cell stays and is in
+    no doubt) and, for the record's counters, __reject_at (the first slot whose rule rejects the
+    record), __n_kept, __n_doubtful and __n_dropped."""
     v = [F.col(f"__v{k}") for k in range(len(slots))]
     told = {}
     for k, slot in enumerate(slots):
@@ -143,9 +147,16 @@ def judged(valued: DataFrame, slots: list[Slot]) -> DataFrame:
 
     # A reject ends the record's judging: drops after it don't count, those before it do.
     dropped = [(F.col(f"__o{k}") == "drop") & (at.isNull() | (F.lit(k) < at)) for k, slot in enumerate(slots) if slot.can("drop_row")]
-    return d.withColumns({
+    return d.withColumns({f"__ok{k}": stays[k] & ~doubt[k] & at.isNull() for k in range(len(slots))} | {
         "__cells": F.array(*[cell(k, slot) for k, slot in enumerate(slots)]).cast(CELLS), "__n_kept": count(stays),
         "__n_doubtful": count([s & x for s, x in zip(stays, doubt, strict=True)]), "__n_dropped": count(dropped),
     })
 
 
+def values_of(slots: list[Slot], pair: tuple[str, str]) -> list[Column]:
+    """Columns over a judged record with the values that it has of a (quantity, phase) and that are
+    ok, null for others; no column if no slot can have any."""
+    quantity, phase = pair
+    found = [(k, slot) for k, slot in enumerate(slots) if pair in slot.pairs]
+    return [F.when(F.col(f"__ok{k}") & (slot.fields["quantity"] == quantity) & (slot.fields["phase"] == phase), F.col(f"__v{k}")) for k, slot in found]
+

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import exact_sum
+from ..functions.numbers import mean
 from ..functions.timestamps import instant
 from ..rulebook import Rulebook
 from ..scratch import scratch
 from .sink import create_schema, table_sql, told, upsert_table
+from .transform import Transform
 
 
 def dimension(spark: SparkSession, book: Rulebook, vocabulary: str, columns: list[dict]) -> DataFrame:
@@ -40,6 +44,10 @@ def described(fact: DataFrame, dim: DataFrame, on: str = "quantity") -> DataFram
     return fact.join(dim, on, "left")
 
 
+#: What names a minute of a device.
+MINUTE = ["source_vendor", "device_id", "minute"]
+
+
 def _name(quantity: str, phase: str) -> str:
     return quantity if phase == "none" else f"{quantity}_{phase.lower()}"
 
@@ -53,15 +61,31 @@ def minute_wide(fact: DataFrame, pairs: list[tuple[str, str]], moment: str = "ts
     for q, p in pairs:
         test = test | ((F.col("quantity") == q) & (F.col("phase") == p))
 
-    def mean(q: str, p: str) -> Column:
-        value = F.when((F.col("quantity") == q) & (F.col("phase") == p), F.col("value"))
-        if digits is None:
-            return F.avg(value)
-        return exact_sum(value, digits).cast("double") / F.lit(10.0**digits) / F.count(value)
-
-    means = [mean(q, p).alias(_name(q, p)) for q, p in pairs]
+    value = lambda q, p: F.when((F.col("quantity") == q) & (F.col("phase") == p), F.col("value"))
+    means = [mean([value(q, p)], digits).alias(_name(q, p)) for q, p in pairs]
     some = fact.where((F.col("quality") == "ok") & test).withColumn("minute", F.date_trunc("minute", ts))
-    return some.groupBy("source_vendor", "device_id", "minute").agg(*means)
+    return some.groupBy(*MINUTE).agg(*means)
+
+
+def minute_wide_of_records(plan: Transform, records: DataFrame, factors: DataFrame | None, pairs: list[tuple[str, str]], digits: int | None = None) -> DataFrame:
+    """`minute_wide` of the rows that `plan` makes of raw records, from the pass that judges them.
+
+    A record's cells are summed as the columns they are, so a group is looked up once for a record, not
+    for each of its cells, and holds only pairs that the rulebook can give. Where a source's interval is
+    a minute or more, sums before the shuffle would be as many as its records and outgrow a task's
+    memory: such records are dealt by minute first and summed once. Those of shorter intervals are summed
+    before the shuffle too."""
+    d, values = plan.paired(records, pairs, factors)
+    if not any(values.values()):
+        raise ValueError(f"{plan.book.vendor} gives none of {pairs}")
+    columns = {p: {f"__{k}_{n}": v for n, v in enumerate(values[p])} for k, p in enumerate(pairs)}
+    d = d.select("source_vendor", "device_id", F.date_trunc("minute", "moment").alias("minute"), *[v.alias(name) for p in pairs for name, v in columns[p].items()])
+    if (plan.book.interval_s or 0) >= 60:
+        d = d.repartition("device_id", "minute")
+    means = [(mean([F.col(c) for c in columns[p]], digits) if columns[p] else F.lit(None).cast("double")).alias(_name(*p)) for p in pairs]
+    found = d.groupBy(*MINUTE).agg(*means)
+    # A minute whose records have no such value goes now: testing each record would make its values twice.
+    return found.where(reduce(or_, [F.col(_name(*p)).isNotNull() for p in pairs]))
 
 
 def resolved(book: Rulebook, body: str) -> str:
@@ -122,10 +146,6 @@ def minute_completeness(rows: DataFrame) -> DataFrame:
     return d.withColumn("percent", F.round(F.lit(100.0) * F.col("minutes_present") / F.col("minutes_possible"), 4))
 
 
-#: What names a minute of a device.
-MINUTE = ["source_vendor", "device_id", "minute"]
-
-
 def refresh_minutes(spark: SparkSession, fact: DataFrame, name: str, pairs: list[tuple[str, str]], since: str | None, newest: str = "ingested_at", digits: int | None = None) -> int:
     """Keeps a snapshot of `minute_wide` up to date and says how many minutes were made anew.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import measurement_id
 from ..functions.templates import filled
 from ..functions.timestamps import utc_instant, utc_text
-from ..operators.cells import is_number, join_factors, judged, long_cells, look_up, wide_cells
+from ..operators.cells import Slot, is_number, join_factors, judged, long_cells, look_up, values_of, wide_cells
 from ..operators.rules import any_of, record_fails
 from ..rulebook import Rulebook
 
@@ -39,6 +39,9 @@ class Transform:
     def frame(self, records: DataFrame, factors: DataFrame | None = None, keep: set[str] | None = None) -> DataFrame:
         """One row per record: identity columns, judged cells and counts. A record that a record
         rule discards has no cells."""
+        return self._frame(records, factors, keep)[0]
+
+    def _frame(self, records: DataFrame, factors: DataFrame | None, keep: set[str] | None) -> tuple[DataFrame, list[Slot]]:
         book, r = self.book, self.book.record
         absent = [name for name in book.raw_fields() if name not in records.columns]
         if absent:
@@ -62,7 +65,7 @@ class Transform:
         else:
             d, slots = wide_cells(d, book, keep, self.booleans)
             unmapped = F.lit(False)
-        return judged(d.withColumn("__unmapped", unmapped), slots)
+        return judged(d.withColumn("__unmapped", unmapped), slots), slots
 
     def day(self) -> Column:
         """The event date of a raw record's rows."""
@@ -102,6 +105,14 @@ class Transform:
         key = measurement_id([(f, F.col(f), f not in _INTS) for f in book.identity])
         return named.withColumn("measurement_id", key).select(*COLUMNS, *extra)
 
+    def paired(self, records: DataFrame, pairs: list[tuple[str, str]], factors: DataFrame | None = None) -> tuple[DataFrame, dict[tuple[str, str], list[Column]]]:
+        """Records with source_vendor, device_id and moment, their cells not taken apart into rows,
+        and for each (quantity, phase) the columns with its values that are ok. A record whose values
+        are all null there has no such rows."""
+        d, slots = self._frame(records, factors, {q for q, _ in pairs})
+        named = d.where(~F.col("__rejected") & ~F.col("__unmapped")).withColumns({"source_vendor": F.lit(self.book.vendor), "device_id": F.col("__device"), "moment": F.col("__moment")})
+        return named, {pair: values_of(slots, pair) for pair in pairs}
+
     def counters(self) -> list[Column]:
         """Sums over `frame` that give the run's counters."""
         live = ~F.col("__rejected")

@@ -428,8 +428,9 @@ def _both(spark, d, quantities: set[str] | None = None, **more) -> DataFrame:
 
 @query
 def serving_minute_wide(spark, d):
-    rows = _both(spark, d, {q for q, _ in PAIRS}, moment="moment")
-    return publish.minute_wide(rows, PAIRS, "moment", digits=4).withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
+    wide = publish.minute_wide_of_records(Transform(b.WIDE), b.wide_records(spark, d), b.device_factors(spark, d), PAIRS, digits=4)
+    long = publish.minute_wide_of_records(Transform(b.LONG), b.long_records(spark, d), None, PAIRS, digits=4)
+    return wide.unionByName(long).withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
 
 
 @query

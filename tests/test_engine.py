@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canonflow.functions.identity import literal, measurement_id
-from canonflow.functions.numbers import number
+from canonflow.functions.numbers import mean, number
 from canonflow.functions.timestamps import event_date, instant, utc_text
 from canonflow.operators.merge import spark_type, table_schema, typed_projection
 from canonflow.plans import publish, sink
@@ -681,6 +681,64 @@ def test_minutes_are_counted_as_bits(spark):
     assert "distinct" not in plan.lower() and "SortAggregate" not in plan and "Expand" not in plan
 
 
+MINUTE_RULES = [
+    {"quantity": "pressure", "type": "range", "max": 5, "on_fail": "reject_row"}, {"quantity": "humidity", "type": "range", "max": 40, "on_fail": "drop_row"},
+    {"quantity": "humidity", "type": "range", "min": 10, "on_fail": "flag_suspect"}, {"field": "id", "type": "not_null", "on_fail": "flag_suspect"},
+]
+
+
+def test_minutes_of_records_are_those_of_their_rows(spark):
+    """Rejected, dropped, doubtful, missing and unmapped values, several cells of one pair, NaN, no instant."""
+    columns = [*WIDE.mapping["columns"], {"src": "g", "quantity": "humidity", "phase": "none", "unit": "rh", "variant": "second"}]
+    wide = replace(ruled(WIDE, *MINUTE_RULES), mapping=WIDE.mapping | {"columns": columns})
+    raw = [
+        ("a", "2025-01-01T00:00:05Z", "1", "2.00005", "20.5", "30"), ("a", "2025-01-01T00:00:55Z", "2", "1.1", None, "11"), ("a", "2025-01-01T00:01:00Z", "3", "9", "20", "20"),
+        ("a", "2025-01-01T00:02:00Z", "4", None, "41", "5"), ("a", "2025-01-01T00:02:30Z", None, "1", "20", "20"), ("b", "2025-01-01T00:00:00Z", "5", "-3.25", "nan", None),
+        ("c", "2025-01-01T00:00:00Z", "6", "1", "12", "-1"), ("a", "soon", "7", "1", None, None), ("a", "2025-01-01T00:03:00Z", "8", None, None, None),
+    ]
+    records, factors = spark.createDataFrame(raw, SCHEMA + ", g string"), spark.createDataFrame([("a", 2.0, 1.0), ("b", 0.5, 1.0)], "meter string, uk double, ik double")
+    long = ruled(LONG, {"quantity": "flow", "type": "range", "max": 7, "on_fail": "reject_row"})
+    keyed = [("1", "5.5", "1735689600000"), ("1", "8", "1735689601000"), ("2", "1e9", "1735689602000"), ("3", "4", "1735689900000"), (None, "4", "1735689900000"), ("1", None, "1735690000000")]
+    lines = spark.createDataFrame(keyed, "key string, value string, timestamp string").withColumn("none", F.lit("x"))
+    pairs = [("humidity", "none"), ("pressure", "L1"), ("flow", "none"), ("volume", "none")]
+    for book, found, known in ((wide, records, factors), (long, lines, None)):
+        plan = Transform(book)
+        for digits in (4, None):
+            rows = plan.rows(found, known, "2025-01-01T00:00:00Z", {q for q, _ in pairs}, moment="moment")
+            expected = publish.minute_wide(rows, pairs, "moment", digits)
+            got = publish.minute_wide_of_records(plan, found, known, pairs, digits)
+            shown = lambda d: sorted(str(tuple(None if x is None else f"{x:.9g}" if isinstance(x, float) else str(x) for x in r)) for r in d.collect())
+            assert got.columns == expected.columns and shown(got) == shown(expected) and got.count() == (4 if known else 1)
+    with pytest.raises(ValueError, match="none of"):
+        publish.minute_wide_of_records(Transform(long), lines, None, [("pressure", "L9")])
+
+
+def test_minutes_of_records_are_summed_once_a_record(spark):
+    """No row for each cell, no decimal and no pair that the source can't give among a group's sums."""
+    records = spark.createDataFrame([("a", "2025-01-01T00:00:05Z", "1", "2", "3")], SCHEMA)
+    factors = spark.createDataFrame([("a", 2.0, 1.0)], "meter string, uk double, ik double")
+    found = publish.minute_wide_of_records(Transform(WIDE), records, factors, [("pressure", "L1"), ("humidity", "none"), ("flow", "none")], digits=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    partial = [line for line in plan.splitlines() if "partial_sum" in line]
+    assert "Generate" not in plan and len(partial) == 1 and "decimal" not in partial[0].lower()
+    assert partial[0].count("partial_sum") == 4 and partial[0].count("partial_count") == 2
+    # Records a minute apart aren't summed before they are dealt, as nearly each has a minute of its own; others are.
+    assert "Exchange" in plan[plan.index("partial_sum"):] and plan.count("REPARTITION_BY_COL") == 1
+    quick = publish.minute_wide_of_records(Transform(replace(WIDE, source=WIDE.source | {"defaults": {"interval_s": 1}})), records, factors, [("pressure", "L1")], digits=4)
+    assert "REPARTITION_BY_COL" not in quick._jdf.queryExecution().executedPlan().toString() and quick.collect() == found.select(*quick.columns).collect()
+
+
+def test_means_are_exact_whatever_their_size(spark):
+    """Totals that pass 64 bits, below zero, and of several values in a row."""
+    big = 9.0e14  # in units of four places, just below the largest long
+    rows = [("up", big, big), ("up", big, None), ("down", -big, -big), ("mixed", big, -big), ("mixed", 0.0001, None), ("small", -0.0001, 0.0003), ("none", None, None)]
+    d = spark.createDataFrame(rows, "g string, x double, y double").repartition(3)
+    both = {r.g: r.m for r in d.groupBy("g").agg(mean([F.col("x"), F.col("y")], 4).alias("m")).collect()}
+    assert both == {"up": big, "down": -big, "mixed": 0.0001 / 3, "small": 0.0001, "none": None}
+    one = {r.g: (r.m, r.a) for r in d.groupBy("g").agg(mean([F.col("x")], 4).alias("m"), mean([F.col("x")]).alias("a")).collect()}
+    assert one == {"up": (big, big), "down": (-big, -big), "mixed": ((big + 0.0001) / 2, (big + 0.0001) / 2), "small": (-0.0001, -0.0001), "none": (None, None)}
+
+
 def test_snapshots_are_kept_up_to_date(spark, monkeypatch):
     """A second load makes only the minutes that it touched, and the snapshot equals a full one."""
     for x in ("minutes", "minutes_full"):
